@@ -191,17 +191,17 @@ def cross_validate(
     results = None
     for fold in range(folds):
         model = fit_classifier(balanced(spread.filter(F.col("fold") != fold), label), features, label, estimator())
-        scored = probability(spread, model, features, "__p").withColumn(
+        scored = probability(spread, model, features, "__proba").withColumn(
             "part", F.when(F.col("fold") == fold, "test").otherwise("train")
         )
-        guess = F.when(F.col("__p") > threshold, 1).otherwise(0)
+        guess = F.when(F.col("__proba") > threshold, 1).otherwise(0)
         counts = scored.groupBy("part").agg(
             F.count(F.when((F.col(label) == 1) & (guess == 1), 1)).alias("tp"),
             F.count(F.when((F.col(label) == 0) & (guess == 1), 1)).alias("fp"),
             F.count(F.when((F.col(label) == 1) & (guess == 0), 1)).alias("fn"),
             F.count(F.when((F.col(label) == 0) & (guess == 0), 1)).alias("tn"),
         )
-        rows = with_threshold_metrics(counts).join(ranking_metrics(scored, label, "__p", ["part"]), "part")
+        rows = with_threshold_metrics(counts).join(ranking_metrics(scored, label, "__proba", ["part"]), "part")
         rows = rows.select("part", "roc_auc", "recall", "precision").withColumn("fold", F.lit(fold))
         fetched = rows.collect()  # two rows per fold
         part = df.sparkSession.createDataFrame(fetched, rows.schema)

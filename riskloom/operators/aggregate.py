@@ -16,10 +16,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.functions.columns import all_present, col, level_flag, level_name
+from riskloom.functions.columns import all_present, level_flag, level_name
+from riskloom.session import checkpointed
 
 Spec = Mapping[str, str | Sequence[str]]
 ORDERED = {"first", "last"}
+PLAIN = {"mean": "avg", "max": "max", "min": "min", "count": "count"}
 
 
 @dataclass(frozen=True)
@@ -57,21 +59,24 @@ def sort_position(df: DataFrame, order: Sequence[str]) -> Column:
     return F.struct(*fields)
 
 
-def statistic(stat: str, value: Column, where: Column | None, position: Column | None) -> Column:
-    """One aggregate with the missing-value rules of the feature tables.
+def statistic(stat: str, column: str, where: str | None = None, position: str = "__position") -> str:
+    """SQL text of one aggregate, with the missing-value rules of the feature tables.
 
     A sum over an all-missing subset is 0, but a subset without any row is missing. First and last
-    take the first and last non-missing value in order.
+    take the first and last non-missing value in order. ``where`` names a boolean column.
     """
-    v = value if where is None else F.when(where, value)
+    x = f"`{column}`"
+    v = x if where is None else f"CASE WHEN `{where}` THEN {x} END"
     if stat == "sum":
-        total = F.coalesce(F.sum(v), F.lit(0))
-        return total if where is None else F.when(F.count(F.when(where, F.lit(1))) > 0, total)
+        total = f"coalesce(sum({v}), 0)"
+        return total if where is None else f"CASE WHEN count_if(`{where}`) > 0 THEN {total} END"
     if stat in ORDERED:
-        key = F.when(v.isNotNull(), position)
-        return F.min_by(v, key) if stat == "first" else F.max_by(v, key)
-    plain = {"mean": F.avg, "max": F.max, "min": F.min, "count": F.count, "median": F.median}
-    return plain[stat](v)
+        present = f"{x} IS NOT NULL" if where is None else f"`{where}` AND {x} IS NOT NULL"
+        pick = "min_by" if stat == "first" else "max_by"
+        return f"{pick}({x}, CASE WHEN {present} THEN `{position}` END)"
+    if stat not in PLAIN:
+        raise ValueError(f"unknown statistic {stat}")
+    return f"{PLAIN[stat]}({v})"
 
 
 def aggregate_parts(
@@ -81,15 +86,22 @@ def aggregate_parts(
     order: Sequence[str] = (),
     extra: Sequence[Column] = (),
 ) -> DataFrame:
-    """All parts in one ``groupBy``; rows with a missing key are left out."""
-    needs_order = any(s in ORDERED for p in parts for _, s in stats_of(p.spec))
-    position = sort_position(df, order) if needs_order else None
+    """All parts in one ``groupBy``; rows with a missing key are left out.
+
+    Subset conditions and the sort position become columns once, so they are evaluated once per row
+    however many statistics use them.
+    """
+    helpers = {f"__where{i}": p.where for i, p in enumerate(parts) if p.where is not None}
+    if any(s in ORDERED for p in parts for _, s in stats_of(p.spec)):
+        helpers["__position"] = sort_position(df, order)
     exprs = [
-        statistic(s, F.col(c), p.where, position).alias(stat_name(c, s, p.suffix))
-        for p in parts
+        F.expr(f"{statistic(s, c, None if p.where is None else f'__where{i}')} AS `{stat_name(c, s, p.suffix)}`")
+        for i, p in enumerate(parts)
         for c, s in stats_of(p.spec)
     ]
-    return df.filter(all_present(keys)).groupBy(*keys).agg(*exprs, *extra)
+    rows = df.filter(all_present(keys))
+    rows = rows.withColumns(helpers) if helpers else rows
+    return rows.groupBy(*keys).agg(*exprs, *extra)
 
 
 def group_agg(df: DataFrame, keys: Sequence[str], spec: Spec, order: Sequence[str] = (), suffix: str = "") -> DataFrame:
@@ -207,14 +219,14 @@ def roll_up_by_name(
 def roll_up_with_rest(df: DataFrame, keys: Sequence[str], spec: Spec, drop: Sequence[str] = ()) -> DataFrame:
     """An explicit spec plus the plain mean, under its own name, of every column the spec leaves out."""
     rest = [c for c in df.columns if c not in set(spec) | set(keys) | set(drop)]
-    return aggregate_parts(df, keys, [Part(spec)], extra=[F.avg(c).alias(c) for c in rest])
+    return aggregate_parts(df, keys, [Part(spec)], extra=[F.expr(f"avg(`{c}`) AS `{c}`") for c in rest])
 
 
 def mean_all(df: DataFrame, keys: Sequence[str], drop: Sequence[str] = (), suffix: str = "") -> DataFrame:
     """Mean of every numeric column per key."""
     skip = set(keys) | set(drop)
     numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) and f.name not in skip]
-    return df.filter(all_present(keys)).groupBy(*keys).agg(*[F.avg(c).alias(c + suffix) for c in numeric])
+    return df.filter(all_present(keys)).groupBy(*keys).agg(*[F.expr(f"avg(`{c}`) AS `{c}{suffix}`") for c in numeric])
 
 
 # -- group statistics as row features -------------------------------------------------------------
@@ -241,13 +253,18 @@ def group_statistics(
     """Statistics of each key set, fitted on one table and joined to the rows of several."""
     out = list(apply_to)
     for keys in key_sets:
-        stats = group_agg(fit, keys, spec, suffix="_AGG_" + "_".join(keys))
-        broadcastable = small_enough(stats)
-        table = F.broadcast(stats) if broadcastable else stats
-        out = [rows.join(table, list(keys), "left") for rows in out]
+        stats = fitted_table(group_agg(fit, keys, spec, suffix="_AGG_" + "_".join(keys)))
+        out = [rows.join(stats, list(keys), "left") for rows in out]
     return out
 
 
+def fitted_table(table: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """A lookup table computed once and kept in a checkpoint, because it is applied to several
+    tables; marked for broadcast only if its counted size allows it."""
+    kept = checkpointed(table)
+    return F.broadcast(kept) if small_enough(kept, limit) else kept
+
+
 def merge_client_tables(base: DataFrame, features: Mapping[str, DataFrame], key: str, check: bool = False) -> DataFrame:
     """Left-join client-level feature tables to the base; a clashing name gets its table's prefix."""
     out = base
@@ -257,8 +274,6 @@ def merge_client_tables(base: DataFrame, features: Mapping[str, DataFrame], key:
             if repeated:
                 raise ValueError(f"feature table {prefix} is not unique on {key}")
         taken = set(out.columns) - {key}
-        renamed = table.select(
-            *[col(c).alias(f"{prefix}_{c}") if c in taken else col(c) for c in table.columns]
-        )
+        renamed = table.selectExpr(*[f"`{c}` AS `{prefix}_{c}`" if c in taken else f"`{c}`" for c in table.columns])
         out = out.join(renamed, key, "left")
     return out

@@ -24,7 +24,15 @@ def correlation_matrix(df: DataFrame, cs: Sequence[str], narrow: int = NARROW) -
 
 def _corr_pairs(df: DataFrame, cs: list[str]) -> DataFrame:
     pairs = [(i, j) for i in range(len(cs)) for j in range(i + 1, len(cs))]
-    row = df.agg(*[F.corr(F.col(cs[i]).cast("double"), F.col(cs[j]).cast("double")).alias(f"r{i}_{j}") for i, j in pairs])
+    numbers = df.selectExpr(*[f"cast(`{c}` as double) AS c{i}" for i, c in enumerate(cs)])
+    # built from covariance and deviations, because the corr aggregate fails on a constant column
+    row = numbers.selectExpr(
+        *[
+            f"try_divide(covar_pop(c{i}, c{j}), stddev_pop(CASE WHEN c{j} IS NOT NULL THEN c{i} END) "
+            f"* stddev_pop(CASE WHEN c{i} IS NOT NULL THEN c{j} END)) AS r{i}_{j}"
+            for i, j in pairs
+        ]
+    )
     cells = F.array(*[F.struct(F.lit(cs[i]).alias("a"), F.lit(cs[j]).alias("b"), F.col(f"r{i}_{j}").alias("r")) for i, j in pairs])
     return row.select(F.explode(cells).alias("e")).select("e.*")
 
@@ -35,10 +43,10 @@ def _corr_gram(df: DataFrame, cs: list[str]) -> DataFrame:
     Values are centred on the column means first, so the sums of squares do not cancel. Scan tasks
     are merged to a few per core, because every task sends one number set per column pair.
     """
-    means = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cs)]).first()
+    means = df.selectExpr(*[f"avg(`{c}`) AS m{i}" for i, c in enumerate(cs)]).first()
     centre = np.array([float(means[f"m{i}"] or 0.0) for i in range(len(cs))])
     d = len(cs)
-    numbers = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cs)])
+    numbers = df.selectExpr(*[f"cast(`{c}` as double) AS c{i}" for i, c in enumerate(cs)])
 
     def partial(batches):
         total = np.zeros((4, d, d))
@@ -54,10 +62,11 @@ def _corr_gram(df: DataFrame, cs: list[str]) -> DataFrame:
             rows += len(x)
         if rows:
             n, s, q, p = total
-            for i in range(d - 1):
+            i, j = np.triu_indices(d, k=1)
+            for part in np.array_split(np.arange(len(i)), len(i) // 100_000 + 1):
+                a, b = i[part], j[part]
                 yield pd.DataFrame(
-                    {"i": i, "j": np.arange(i + 1, d), "n": n[i, i + 1:], "si": s[i, i + 1:], "sj": s[i + 1:, i],
-                     "qi": q[i, i + 1:], "qj": q[i + 1:, i], "p": p[i, i + 1:]}
+                    {"i": a, "j": b, "n": n[a, b], "si": s[a, b], "sj": s[b, a], "qi": q[a, b], "qj": q[b, a], "p": p[a, b]}
                 )
 
     tasks = 4 * df.sparkSession.sparkContext.defaultParallelism
@@ -72,10 +81,10 @@ def _corr_gram(df: DataFrame, cs: list[str]) -> DataFrame:
     var_j = F.col("qj") - F.try_divide(F.col("sj") * F.col("sj"), F.col("n"))
     # a variance this far below the raw squares is rounding noise of a constant column
     real = (var_i > F.col("qi") * 1e-13) & (var_j > F.col("qj") * 1e-13)
-    names = F.array(*[F.lit(c) for c in cs])
+    names = "array(" + ", ".join(f"'{c}'" for c in cs) + ")"
     return sums.select(
-        F.get(names, F.col("i")).alias("a"),
-        F.get(names, F.col("j")).alias("b"),
+        F.expr(f"get({names}, i) AS a"),
+        F.expr(f"get({names}, j) AS b"),
         F.when(real, F.try_divide(cov, F.sqrt(F.greatest(var_i, F.lit(0.0))) * F.sqrt(F.greatest(var_j, F.lit(0.0))))).alias("r"),
     )
 

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.columns import recode
-from riskloom.operators.aggregate import lookup, sort_position
+from riskloom.operators.aggregate import BROADCAST_ROWS, sort_position
+from riskloom.session import checkpointed
 
 MAX_LITERAL_LEVELS = 200
 
@@ -33,7 +34,7 @@ def first_seen_codes(df: DataFrame, cs: Sequence[str], order: Sequence[str]) ->
 def label_encode_first_seen(df: DataFrame, cs: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Replace each column by its first-seen code. Small vocabularies become literals; a large one
     is joined as a table instead of being pulled to the driver."""
-    codes = first_seen_codes(df, cs, order)
+    codes = checkpointed(first_seen_codes(df, cs, order))
     sizes = {r["variable"]: r["count"] for r in codes.groupBy("variable").count().collect()}
     small = [c for c in cs if sizes.get(c, 0) <= MAX_LITERAL_LEVELS]
     maps: dict[str, dict] = {c: {} for c in small}
@@ -52,27 +53,49 @@ def label_encode_first_seen(df: DataFrame, cs: Sequence[str], order: Sequence[st
     return out
 
 
-def fit_response(df: DataFrame, c: str, target: str) -> DataFrame:
-    """Share of each class per category: ``<c>_0`` and ``<c>_1``; an absent class has share 0."""
-    known = df.filter(F.col(c).isNotNull())
-    share = lambda k: F.coalesce(
-        F.count(F.when(F.col(target) == k, F.lit(1))) / F.count(F.lit(1)), F.lit(0.0)
+def fit_response(df: DataFrame, cs: Sequence[str], target: str) -> DataFrame:
+    """Rows (variable, value, share_0, share_1): the share of each class per category of many columns,
+    from one scan and one shuffle of partial counts. An absent class has share 0."""
+    cells = F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).cast("string").alias("value")) for c in cs])
+    share = lambda k: F.count(F.when(F.col("__y") == k, F.lit(1))) / F.count(F.lit(1))
+    return (
+        df.select(F.col(target).alias("__y"), F.explode(cells).alias("e"))
+        .filter(F.col("e.value").isNotNull())
+        .groupBy(F.col("e.variable").alias("variable"), F.col("e.value").alias("value"))
+        .agg(share(0).alias("share_0"), share(1).alias("share_1"))
     )
-    return known.groupBy(c).agg(share(0).alias(f"{c}_0"), share(1).alias(f"{c}_1"))
 
 
 def response_encode(fit: DataFrame, apply_to: Sequence[DataFrame], cs: Sequence[str], target: str) -> list[DataFrame]:
-    """Replace categories by their class shares in ``fit``; a category unseen there stays missing."""
-    out = list(apply_to)
+    """Replace categories by their class shares in ``fit`` (``<c>_0``, ``<c>_1``); a category unseen
+    there stays missing. Columns with few levels become literals, so nothing is joined."""
+    if not cs:
+        return list(apply_to)
+    table = checkpointed(fit_response(fit, cs, target))
+    sizes = {r["variable"]: r["count"] for r in table.groupBy("variable").count().collect()}
+    small = [c for c in cs if sizes.get(c, 0) <= MAX_LITERAL_LEVELS]
+    maps: dict[str, dict] = {f"{c}_{k}": {} for c in small for k in (0, 1)}
+    for r in table.filter(F.col("variable").isin(small)).collect() if small else []:
+        for k in (0, 1):
+            maps[f"{r['variable']}_{k}"][r["value"]] = r[f"share_{k}"]
+    literal = {
+        f"{c}_{k}": recode(F.col(c).cast("string"), maps[f"{c}_{k}"]).cast("double") for c in small for k in (0, 1)
+    }
+    out = [df.withColumns(literal).drop(*small) if small else df for df in apply_to]
     for c in cs:
-        table = fit_response(fit, c, target)
-        out = [lookup(df, table, [c]).drop(c) for df in out]
+        if c in set(small):
+            continue
+        part = table.filter(F.col("variable") == c).select(
+            F.col("value").alias("__v"), F.col("share_0").alias(f"{c}_0"), F.col("share_1").alias(f"{c}_1")
+        )
+        part = F.broadcast(part) if sizes[c] <= BROADCAST_ROWS else part
+        out = [df.join(part, F.col(c).cast("string") == F.col("__v"), "left").drop("__v", c) for df in out]
     return out
 
 
 def fit_standard(df: DataFrame, cs: Sequence[str]) -> dict[str, tuple[float, float]]:
     """Mean and population deviation of each column (deviation 1 for a constant column)."""
-    row = df.agg(*[e for i, c in enumerate(cs) for e in (F.avg(c).alias(f"a{i}"), F.stddev_pop(c).alias(f"s{i}"))]).first()
+    row = df.selectExpr(*[e for i, c in enumerate(cs) for e in (f"avg(`{c}`) AS a{i}", f"stddev_pop(`{c}`) AS s{i}")]).first()
     return {c: (row[f"a{i}"], row[f"s{i}"] or 1.0) for i, c in enumerate(cs) if row[f"a{i}"] is not None}
 
 

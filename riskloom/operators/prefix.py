@@ -152,12 +152,13 @@ def exact_quantiles(
     cs = list(cs)
     if not cs:
         return {}
-    counted = df.select(F.count(F.lit(1)).alias("n"), *[F.count(c).alias(f"c{i}") for i, c in enumerate(cs)]).first()
+    counted = df.selectExpr("count(*) AS n", *[f"count(`{c}`) AS c{i}" for i, c in enumerate(cs)]).first()
     if counted["n"] <= small:
-        row = df.select(*[F.percentile(F.col(c).cast("double"), list(probs)).alias(f"q{i}") for i, c in enumerate(cs)]).first()
+        at_probs = "array(" + ", ".join(f"{float(p)!r}D" for p in probs) + ")"
+        row = df.selectExpr(*[f"percentile(cast(`{c}` as double), {at_probs}) AS q{i}" for i, c in enumerate(cs)]).first()
         return {c: list(row[f"q{i}"]) if row[f"q{i}"] is not None else [None] * len(probs) for i, c in enumerate(cs)}
 
-    numbers = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cs)])
+    numbers = df.selectExpr(*[f"cast(`{c}` as double) AS c{i}" for i, c in enumerate(cs)])
     wanted: dict[tuple[int, int], None] = {}
     for i in range(len(cs)):
         n = counted[f"c{i}"]

@@ -25,10 +25,10 @@ def constant_columns(df: DataFrame, protect: Sequence[str] = ()) -> list[str]:
     Minimum, maximum and counts decide this; no distinct count and no shuffle of rows is needed.
     """
     cs = [c for c in df.columns if c not in set(protect)]
-    aggs = [F.count(F.lit(1)).alias("n")]
+    aggs = ["count(*) AS n"]
     for i, c in enumerate(cs):
-        aggs += [F.count(c).alias(f"c{i}"), (F.min(c) == F.max(c)).alias(f"e{i}")]
-    row = df.agg(*aggs).first()
+        aggs += [f"count(`{c}`) AS c{i}", f"min(`{c}`) = max(`{c}`) AS e{i}"]
+    row = df.selectExpr(*aggs).first()
     return [c for i, c in enumerate(cs) if row[f"c{i}"] == 0 or (row[f"c{i}"] == row["n"] and row[f"e{i}"])]
 
 

@@ -24,6 +24,7 @@ from riskloom.operators.aggregate import group_statistics
 from riskloom.operators.encode import response_encode
 from riskloom.operators.models import chained_model_impute, expected_terms
 from riskloom.operators.neighbours import knn_target_mean
+from riskloom.session import checkpointed
 
 # Document flags without information, sentinel and outlier bounds, yes/no codes.
 UNINFORMATIVE_FLAGS = ["FLAG_DOCUMENT_2", "FLAG_DOCUMENT_4", "FLAG_DOCUMENT_10", "FLAG_DOCUMENT_12", "FLAG_DOCUMENT_20"]
@@ -190,6 +191,9 @@ def build_application(
     if previous is not None:
         train, test = expected_terms(previous, [train, test], rounds=term_rounds)
         train, test = add_expected_interest(train), add_expected_interest(test)
+    if impute_ext or previous is not None or neighbours:
+        # several fits below read these tables again
+        train, test = checkpointed(train), checkpointed(test)
     if neighbours:
         name = f"TARGET_NEIGHBORS_{neighbours}_MEAN"
         fit = train.select(key, target, *NEIGHBOUR_FEATURES)
@@ -197,7 +201,8 @@ def build_application(
             knn_target_mean(fit, train, key, NEIGHBOUR_FEATURES, target, neighbours, exclude_self, name),
             knn_target_mean(fit, test, key, NEIGHBOUR_FEATURES, target, neighbours, False, name),
         )
-    train, test = group_statistics(train, [train, test], GROUP_KEYS, GROUP_STATS)
+        train, test = checkpointed(train), checkpointed(test)
     cats = [*string_columns(train), *categorical]
-    train, test = response_encode(train, [train, test], cats, target)
+    wide = group_statistics(train, [train, test], GROUP_KEYS, GROUP_STATS)
+    train, test = response_encode(train, wide, cats, target)
     return train, test

@@ -52,27 +52,21 @@ def scratch(spark: SparkSession) -> str:
 # -- comparable output -----------------------------------------------------------------------------
 
 
-def rounded(df: DataFrame, digits: int = 6, keep: Sequence[str] = ()) -> DataFrame:
+def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every floating column; adding 0.0 turns a negative zero into zero."""
-    out = []
-    for f in df.schema.fields:
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)) and f.name not in set(keep):
-            out.append((F.round(F.col(f"`{f.name}`").cast("double"), digits) + F.lit(0.0)).alias(f.name))
-        else:
-            out.append(F.col(f"`{f.name}`"))
-    return df.select(*out)
+    real = (T.DoubleType, T.FloatType)
+    return df.selectExpr(
+        *[
+            f"round(cast(`{f.name}` as double), {digits}) + 0.0D AS `{f.name}`" if isinstance(f.dataType, real) else f"`{f.name}`"
+            for f in df.schema.fields
+        ]
+    )
 
 
 def all_rounded(df: DataFrame, keys: Sequence[str], digits: int = 6) -> DataFrame:
     """Keys as they are, every other column as a rounded double."""
-    return df.select(
-        *keys,
-        *[
-            (F.round(F.col(f"`{c}`").cast("double"), digits) + F.lit(0.0)).alias(c)
-            for c in df.columns
-            if c not in set(keys)
-        ],
-    )
+    others = [c for c in df.columns if c not in set(keys)]
+    return df.selectExpr(*keys, *[f"round(cast(`{c}` as double), {digits}) + 0.0D AS `{c}`" for c in others])
 
 
 def sql_all_rounded(inner: str, keys: Sequence[str], digits: int = 6) -> str:

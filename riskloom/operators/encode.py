@@ -9,32 +9,39 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.columns import recode
 from riskloom.operators.aggregate import BROADCAST_ROWS, sort_position
+from riskloom.operators.prefix import range_positions
 from riskloom.session import checkpointed
 
 MAX_LITERAL_LEVELS = 200
 
 
-def first_seen_codes(df: DataFrame, cs: Sequence[str], order: Sequence[str]) -> DataFrame:
+def first_seen_codes(
+    df: DataFrame, cs: Sequence[str], order: Sequence[str], window_levels: int = 1_000_000
+) -> DataFrame:
     """Rows (variable, value, code): levels numbered from 1 by first appearance in ``order``.
 
     A missing value is a level of its own. All columns share one scan and one shuffle of partial
-    minima; the final numbering sees one row per level.
+    minima. The numbering sees one row per level: few levels are numbered by a window, many (by
+    their count) over range partitions.
     """
     position = sort_position(df, order)
     cells = F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).cast("string").alias("value")) for c in cs])
-    seen = (
+    seen = checkpointed(
         df.select(position.alias("position"), F.explode(cells).alias("e"))
         .groupBy(F.col("e.variable").alias("variable"), F.col("e.value").alias("value"))
         .agg(F.min("position").alias("position"))
     )
+    if seen.count() > window_levels:
+        numbered = range_positions(seen, ["variable"], ["position"])
+        return numbered.select("variable", "value", (F.col("rank") + 1).alias("code"))
     w = Window.partitionBy("variable").orderBy("position")
-    return seen.select("variable", "value", F.row_number().over(w).alias("code"))
+    return seen.select("variable", "value", F.row_number().over(w).cast("long").alias("code"))
 
 
 def label_encode_first_seen(df: DataFrame, cs: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Replace each column by its first-seen code. Small vocabularies become literals; a large one
     is joined as a table instead of being pulled to the driver."""
-    codes = checkpointed(first_seen_codes(df, cs, order))
+    codes = first_seen_codes(df, cs, order)
     sizes = {r["variable"]: r["count"] for r in codes.groupBy("variable").count().collect()}
     small = [c for c in cs if sizes.get(c, 0) <= MAX_LITERAL_LEVELS]
     maps: dict[str, dict] = {c: {} for c in small}

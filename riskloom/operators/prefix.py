@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.columns import all_present
+from riskloom.session import checkpointed
 
 ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 10_000
@@ -117,6 +118,25 @@ def rank_in_group(
     )
 
 
+def range_positions(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Zero-based ``rank`` within each group for any order columns and any group size.
+
+    Rows are range-partitioned by group and order, which cuts a large group over many tasks, and
+    checkpointed, which fixes the partitions; each part is ranked and shifted by the parts before.
+    """
+    ranged = checkpointed(df.repartitionByRange(*by, *order).withColumn("__part", F.spark_partition_id()))
+    ranked = ranged.withColumn("rank", F.row_number().over(Window.partitionBy(*by, "__part").orderBy(*order)) - 1)
+    earlier = Window.partitionBy(*by).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        ranged.groupBy(*by, "__part")
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .select(*by, "__part", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__off"))
+    )
+    return (
+        ranked.join(offsets, [*by, "__part"], "left").withColumn("rank", F.col("rank") + F.col("__off")).drop("__part", "__off")
+    )
+
+
 def empirical_cdf(df: DataFrame, value: str, by: Sequence[str] = (), rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Empirical distribution per group, one row per distinct value.
 

@@ -13,7 +13,7 @@ from riskloom.plans.client_table import add_cross_table_features
 from riskloom.plans.installments import add_installment_features
 from riskloom.plans.previous import add_previous_features, clean_previous
 from riskloom.plans.snapshots import add_card_features, clean_card
-from riskloom.queries.base import Tables, all_rounded, query, rounded, scratch, sql_all_rounded
+from riskloom.queries.base import Tables, all_rounded, query, rounded, scratch, shift
 from riskloom.queries.loan_tables import LOAN_TABLES, oracle_text
 from riskloom.sources import tables as S
 
@@ -272,15 +272,14 @@ APP_LARGE = {
 
 
 def sql_features(source: str, keys: list[str], fine: dict[str, str], coarse: dict[str, str] | None = None) -> str:
-    cols = [*keys, *[f"round(CAST({e} AS DOUBLE), 6) + 0.0 AS {n}" for n, e in fine.items()]]
+    cols = [*keys, *[f"round(CAST({e} AS DOUBLE) + {shift(6)}, 6) + 0.0 AS {n}" for n, e in fine.items()]]
     cols += [f"round(CAST({e} AS DOUBLE), 2) + 0.0 AS {n}" for n, e in (coarse or {}).items()]
     return f"SELECT {', '.join(cols)} FROM ({source}) AS src"
 
 
 def features(df, keys: list[str], fine, coarse=()):
-    a = all_rounded(df.select(*keys, *fine), keys, 6)
-    extra = [(F.round(F.col(c).cast("double"), 2) + F.lit(0.0)).alias(c) for c in coarse]
-    return df.select(*keys, *[(F.round(F.col(c).cast("double"), 6) + F.lit(0.0)).alias(c) for c in fine], *extra) if coarse else a
+    out = all_rounded(df.select(*keys, *fine, *coarse), [*keys, *coarse], 6)
+    return out.withColumns({c: F.round(F.col(c).cast("double"), 2) + F.lit(0.0) for c in coarse}) if coarse else out
 
 
 @query("b6_application_features", sql_features(APP_CLEAN, ["SK_ID_CURR"], APP_FEATURES, APP_LARGE))

@@ -55,6 +55,13 @@ def test_first_seen_codes(spark):
     assert [r["c"] for r in out] == [1, 2, 3, 1, 4]
 
 
+def test_first_seen_codes_over_range_partitions(spark):
+    df = spark.range(500).selectExpr("id AS o", "cast((id * 37) % 211 as string) AS a", "cast(id % 7 as string) AS b")
+    few = E.first_seen_codes(df, ["a", "b"], ["o"])
+    many = E.first_seen_codes(df, ["a", "b"], ["o"], window_levels=10)
+    assert sorted(few.collect()) == sorted(many.collect()) and many.count() == 218
+
+
 def test_response_shares(spark, monkeypatch):
     fit = spark.createDataFrame([("a", 1), ("a", 0), ("b", 0), (None, 1)], "c string, y int")
     new = spark.createDataFrame([("a",), ("b",), ("x",), (None,)], "c string")

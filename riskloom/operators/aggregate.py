@@ -137,24 +137,23 @@ def categories(c: str, named: Sequence[str], suffix: str = "_") -> dict[str, Col
 
 
 def _ends(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, from_end: bool) -> DataFrame:
+    """Rows with their position counted from the chosen end in ``__pos``."""
     if not order:
         raise ValueError("taking rows from an end needs an explicit order with a unique tie-break")
     sort = [F.desc_nulls_first(c) if from_end else F.asc_nulls_last(c) for c in order]
     w = Window.partitionBy(*keys).orderBy(*sort)
-    return (
-        df.filter(all_present(keys)).withColumn("__pos", F.row_number().over(w)).filter(F.col("__pos") <= n).drop("__pos")
-    )
+    return df.filter(all_present(keys)).withColumn("__pos", F.row_number().over(w)).filter(F.col("__pos") <= n)
 
 
 def take_first(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
     """First ``n`` rows per key. The rank filter is limited before the shuffle (WindowGroupLimit),
     so a hot key sends at most ``n`` rows per map task."""
-    return _ends(df, keys, order, n, from_end=False)
+    return _ends(df, keys, order, n, from_end=False).drop("__pos")
 
 
 def take_last(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
     """Last ``n`` rows per key, missing order values counting as the latest."""
-    return _ends(df, keys, order, n, from_end=True)
+    return _ends(df, keys, order, n, from_end=True).drop("__pos")
 
 
 def agg_with_ends(
@@ -173,10 +172,13 @@ def agg_with_ends(
     """
     names = {"last": f"_LAST_{last}", "first": f"_FIRST_{first}", "all": "_ALL"} | dict(suffixes or {})
     out = group_agg(df, keys, spec, order, names["all"])
+    # inside an end the position is one number, which keeps its first/last aggregates primitive
     if first:
-        out = group_agg(take_first(df, keys, order, first), keys, spec, order, names["first"]).join(out, list(keys))
+        rows = _ends(df, keys, order, first, from_end=False)
+        out = group_agg(rows, keys, spec, ["__pos"], names["first"]).join(out, list(keys))
     if last:
-        out = group_agg(take_last(df, keys, order, last), keys, spec, order, names["last"]).join(out, list(keys))
+        rows = _ends(df, keys, order, last, from_end=True).withColumn("__pos", -F.col("__pos"))
+        out = group_agg(rows, keys, spec, ["__pos"], names["last"]).join(out, list(keys))
     return out
 
 

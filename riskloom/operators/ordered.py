@@ -33,9 +33,13 @@ def ewm_mean(
     order: Sequence[str],
     alpha: float,
     hot_rows: int | None = HOT_KEY_ROWS,
+    position: str | None = None,
 ) -> DataFrame:
     """Exponentially weighted mean per key, added as ``EXP_<column>`` (or the given names).
 
+    ``position`` names an extra column with whole numbers that grow in order within each key; later
+    first/last aggregates can use this one number instead of the order columns.
+
     Ordinary keys are computed with windows on one exchange. Keys with more than ``hot_rows`` rows
     are found by a counted pre-pass and go through the range-partitioned form, which cuts a single
     key over many tasks. ``hot_rows=None`` skips the pre-pass.
@@ -45,25 +49,29 @@ def ewm_mean(
     targets = _targets(columns)
     rows = df.filter(all_present(keys))
     if hot_rows is None:
-        return _ewm_windows(rows, targets, keys, order, alpha)
+        return _ewm_windows(rows, targets, keys, order, alpha, position)
     hot = rows.groupBy(*keys).count().filter(F.col("count") > hot_rows).select(*keys)
     if hot.limit(1).count() == 0:
-        return _ewm_windows(rows, targets, keys, order, alpha)
+        return _ewm_windows(rows, targets, keys, order, alpha, position)
     marked = F.broadcast(hot) if small_enough(hot) else hot
-    cold = _ewm_windows(rows.join(marked, list(keys), "left_anti"), targets, keys, order, alpha)
-    wide = _ewm_ranged(rows.join(marked, list(keys), "left_semi"), targets, keys, order, alpha)
+    cold = _ewm_windows(rows.join(marked, list(keys), "left_anti"), targets, keys, order, alpha, position)
+    wide = _ewm_ranged(rows.join(marked, list(keys), "left_semi"), targets, keys, order, alpha, position)
     return cold.unionByName(wide)
 
 
 def ewm_mean_global(
-    df: DataFrame, columns: Sequence[str] | Mapping[str, str], order: Sequence[str], alpha: float
+    df: DataFrame,
+    columns: Sequence[str] | Mapping[str, str],
+    order: Sequence[str],
+    alpha: float,
+    position: str | None = None,
 ) -> DataFrame:
     """The same mean over the whole table in one global order."""
-    return _ewm_ranged(df, _targets(columns), [], order, alpha)
+    return _ewm_ranged(df, _targets(columns), [], order, alpha, position)
 
 
 def _ewm_windows(
-    df: DataFrame, targets: Mapping[str, str], keys: Sequence[str], order: Sequence[str], alpha: float
+    df: DataFrame, targets: Mapping[str, str], keys: Sequence[str], order: Sequence[str], alpha: float, position: str | None
 ) -> DataFrame:
     """Window form. Weights grow instead of shrinking (``x / r^pos``), restarting every block so
     that they stay in double range; the block before supplies its sums through a range frame, and
@@ -95,7 +103,7 @@ def _ewm_windows(
         fresh[f"__e{i}"] = F.when(F.col(source).isNotNull(), F.try_divide(num, den))
     rows = rows.withColumns(fresh)
     held = [F.last(f"__e{i}", ignorenulls=True).over(upto).alias(out) for i, out in enumerate(targets)]
-    return rows.select(*df.columns, *held)
+    return rows.select(*df.columns, *held, *([F.col("__rn").alias(position)] if position else []))
 
 
 def _ewm_scan(x: np.ndarray, starts: np.ndarray, decay: float, carry: tuple[np.ndarray, np.ndarray] | None):
@@ -130,7 +138,7 @@ def _ewm_scan(x: np.ndarray, starts: np.ndarray, decay: float, carry: tuple[np.n
 
 
 def _ewm_ranged(
-    df: DataFrame, targets: Mapping[str, str], keys: Sequence[str], order: Sequence[str], alpha: float
+    df: DataFrame, targets: Mapping[str, str], keys: Sequence[str], order: Sequence[str], alpha: float, position: str | None
 ) -> DataFrame:
     """Range-partitioned form for a global order or for keys too long for one task.
 
@@ -201,14 +209,19 @@ def _ewm_ranged(
         carried = (row["last_key"], mean, weight)
 
     def apply(batches):
+        seen = 0
         for pdf, _, _, held, _ in chunks(batches, carries):
             out = pdf[kept].copy()
             for i, name in enumerate(names_out):
                 out[name] = held[:, i]
+            if position:
+                # partitions are numbered in order, so this grows along every key
+                out[position] = pdf["__part"].astype("int64") * (1 << 40) + np.arange(seen, seen + len(pdf))
+                seen += len(pdf)
             yield out
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    added = ", ".join(f"`{t}` double" for t in targets)
+    added = ", ".join([f"`{t}` double" for t in targets] + ([f"`{position}` long"] if position else []))
     result = ranged.mapInPandas(apply, f"{fields}, {added}")
     return result.withColumns({t: F.nanvl(F.col(t), F.lit(None)) for t in targets})
 

@@ -39,7 +39,8 @@ def same(got, want):
 def test_ewm_per_key(spark, history, alpha, hot_rows):
     want = history.sort_values(["k", "o"]).reset_index(drop=True)
     df = nan_to_null(spark.createDataFrame(history)).repartition(5)
-    got = O.ewm_mean(df, ["x", "y"], ["k"], ["o"], alpha, hot_rows).toPandas().sort_values(["k", "o"])
+    got = O.ewm_mean(df, ["x", "y"], ["k"], ["o"], alpha, hot_rows, "pos").toPandas().sort_values(["k", "o"])
+    assert got.groupby("k").pos.is_monotonic_increasing.all() and not got.duplicated(["k", "pos"]).any()
     for c in ("x", "y"):
         same(got[f"EXP_{c}"], want.groupby("k")[c].transform(lambda v: v.ewm(alpha=alpha).mean()))
 

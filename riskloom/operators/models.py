@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.columns import decide, numeric_columns, percent_score
 from riskloom.operators.encode import class_weights
-from riskloom.operators.metrics import confusion, ranking_metrics, with_threshold_metrics
+from riskloom.operators.metrics import confusion, evaluate_at_threshold, ranking_metrics, with_threshold_metrics
 from riskloom.operators.sampling import stratified_folds, train_validation_split
 
 FEATURES = "__features"
@@ -233,3 +233,27 @@ def grid_search(
 
 def threshold_report(df: DataFrame, label: str, score_col: str, threshold: float) -> DataFrame:
     return with_threshold_metrics(confusion(df, label, score_col, threshold))
+
+
+def evaluate_experiment(
+    train: DataFrame,
+    valid: DataFrame,
+    key: str,
+    features: Sequence[str],
+    label: str,
+    estimator: Callable[[], Estimator],
+    threshold: float,
+    title: str,
+    folds: int = 10,
+    seed: int = 0,
+) -> DataFrame:
+    """One result row: threshold and ranking measures on the validation rows, cross-validation on the
+    training rows (``train_*_mean``, ``test_*_std``, ...). Ready to be appended to a results table."""
+    model = fit_classifier(balanced(train, label), features, label, estimator())
+    row = evaluate_at_threshold(probability(valid, model, features, "__proba"), label, "__proba", threshold, title)
+    folded = cross_validate(train, key, features, label, estimator, folds, threshold, seed)
+    measures = [f"{m}_{s}" for m in ("roc_auc", "recall", "precision") for s in ("mean", "std")]
+    wide = folded.agg(
+        *[F.max(F.when(F.col("part") == part, F.col(m))).alias(f"{part}_{m}") for part in ("train", "test") for m in measures]
+    )
+    return row.crossJoin(F.broadcast(wide))  # one row each

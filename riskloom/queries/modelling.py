@@ -198,6 +198,15 @@ def t8(t: Tables):
     return rounded(M.evaluate_at_threshold(t.sql(SCORED), "y", "p", 0.3, "price fraction"))
 
 
+@query("t8_experiment_row")
+def t8b(t: Tables):
+    df = application(t)
+    return ML.evaluate_experiment(
+        df.filter(TRAIN), df.filter(TEST), "SK_ID_CURR", FEATURES, "TARGET",
+        lambda: ML.forest_classifier("TARGET", trees=3, depth=3), 0.5, "small forest", folds=2,
+    )
+
+
 @query("t9_grid_search")
 def t9(t: Tables):
     return ML.grid_search(

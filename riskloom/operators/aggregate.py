@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.functions.columns import all_present, level_flag, level_name
+from riskloom.operators.profile import frequencies
 from riskloom.session import checkpointed
 
 Spec = Mapping[str, str | Sequence[str]]
@@ -193,6 +194,14 @@ def levels_of(df: DataFrame, c: str, limit: int = 10_000) -> list:
     return sorted(r[0] for r in rows)
 
 
+def levels_of_all(df: DataFrame, cs: Sequence[str], limit: int = 10_000) -> dict[str, list[str]]:
+    """Levels of several text categories from one scan, with the same bound on what is pulled."""
+    rows = frequencies(df, cs).select("variable", "value").limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"{', '.join(cs)} have more than {limit} levels, too many for one column each")
+    return {c: sorted(r["value"] for r in rows if r["variable"] == c) for c in cs}
+
+
 def share_exprs(c: str, levels: Sequence, prefix: str, suffix: str = "") -> list[Column]:
     """Share of a key's rows in each level (rows with a missing category count in the base)."""
     return [F.avg(level_flag(c, v)).alias(level_name(prefix, v) + suffix) for v in levels]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,7 +47,7 @@ def scratch(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         return tempfile.mkdtemp(prefix="riskloom-")
-    return f"{named.rstrip('/')}/{next(tempfile._get_candidate_names())}"
+    return f"{named.rstrip('/')}/{uuid.uuid4()}"
 
 
 # -- comparable output -----------------------------------------------------------------------------

@@ -32,6 +32,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
     unset is a folder set here.
     """
     spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="riskloom-checkpoint-"))
+    if not spark.sparkContext.getCheckpointDir():
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="riskloom-checkpoint-"))
     return df.checkpoint(eager=True)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from riskloom.llm import packing, pareto
+from riskloom.llm import disclosure, guesscost, languages, packing, pareto
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,3 +36,21 @@ def op2(spark, folder):
 def op10(spark, folder):
     out = pareto.mix_sources(documents(spark, folder))
     return out.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+@query("op3_guess_cost_secrets")
+def op3(spark, folder):
+    return guesscost.scan_secrets(documents(spark, folder))
+
+
+@query("op4_mixture_language_id")
+def op4(spark, folder):
+    docs = documents(spark, folder)
+    names, model = languages.train(docs.where(~languages.held_out()), F.col("lang"))
+    return languages.detect(docs, names, model)
+
+
+@query("op6_disclosure_pii")
+def op6(spark, folder):
+    out = disclosure.scan_personal(documents(spark, folder))
+    return out.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", disclosure.spans_column().alias("spans"), F.coalesce(F.size("added"), F.lit(0)).alias("n_terms"))

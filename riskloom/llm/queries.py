@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import disclosure, guesscost, languages, packing, pareto
+from riskloom.llm import chosenpath, disclosure, guesscost, languages, packing, pareto
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -54,3 +54,8 @@ def op4(spark, folder):
 def op6(spark, folder):
     out = disclosure.scan_personal(documents(spark, folder))
     return out.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", disclosure.spans_column().alias("spans"), F.coalesce(F.size("added"), F.lit(0)).alias("n_terms"))
+
+
+@query("op1_chosen_path_join")
+def op1(spark, folder):
+    return chosenpath.similarity_classes(documents(spark, folder))

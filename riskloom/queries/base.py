@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.operators.aggregate import stat_name, stats_of
+from riskloom.session import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -43,11 +42,8 @@ def query(name: str, sql: str | None = None):
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder for a round trip, under the session's checkpoint folder where one is named."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        return tempfile.mkdtemp(prefix="riskloom-")
-    return f"{named.rstrip('/')}/{uuid.uuid4()}"
+    """A new folder for a round trip, below the session's shared folder."""
+    return shared_folder(spark)
 
 
 # -- comparable output -----------------------------------------------------------------------------

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +19,7 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "12g"))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -25,14 +27,30 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8) -> SparkS
     )
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the folder the session names.
+def shared_root(spark: SparkSession) -> str:
+    """The folder that driver and executors share, named by ``spark.checkpoint.dir``.
 
-    ``spark.checkpoint.dir`` is read from the session; only where a cluster (or test) left it
-    unset is a folder set here.
+    Only a local session may do without the setting (tests, a bench): its one machine is then the
+    place. On a cluster a machine-local folder would be invisible to the executors, so it is an error.
     """
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="riskloom-checkpoint-"))
+    context = spark.sparkContext
+    named = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        if not context.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        named = tempfile.mkdtemp(prefix="riskloom-")
+        context.setCheckpointDir(named)
+    return named.rstrip("/")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder below the shared one, for a table that a job writes and a later one reads."""
+    return f"{shared_root(spark)}/{uuid.uuid4()}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in the folder the session names."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_root(df.sparkSession))
     return df.checkpoint(eager=True)

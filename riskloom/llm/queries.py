@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import chosenpath, disclosure, guesscost, languages, packing, pareto
+from riskloom.llm import chosenpath, disclosure, guesscost, languages, packing, pareto, tokenfile
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -59,3 +59,10 @@ def op6(spark, folder):
 @query("op1_chosen_path_join")
 def op1(spark, folder):
     return chosenpath.similarity_classes(documents(spark, folder))
+
+
+@query("op7_rans_token_file")
+def op7(spark, folder):
+    import public_tokenizers
+
+    return tokenfile.round_trip(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import chosenpath, disclosure, guesscost, languages, packing, pareto, tokenfile
+from riskloom.llm import chosenpath, disclosure, guesscost, imatch, languages, packing, pareto, tokenfile
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -66,3 +66,8 @@ def op7(spark, folder):
     import public_tokenizers
 
     return tokenfile.round_trip(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op9_imatch_fingerprints")
+def op9(spark, folder):
+    return imatch.fingerprints(documents(spark, folder))

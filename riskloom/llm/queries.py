@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import chosenpath, disclosure, guesscost, imatch, languages, packing, pareto, tokenfile
+from riskloom.llm import chosenpath, disclosure, guesscost, imatch, languages, packing, pareto, suffixes, tokenfile
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -71,3 +71,8 @@ def op7(spark, folder):
 @query("op9_imatch_fingerprints")
 def op9(spark, folder):
     return imatch.fingerprints(documents(spark, folder))
+
+
+@query("op8_two_stage_suffix_dedup")
+def op8(spark, folder):
+    return suffixes.remove_repeats(documents(spark, folder))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import chosenpath, disclosure, guesscost, imatch, languages, packing, pareto, suffixes, tokenfile
+from riskloom.llm import chosenpath, disclosure, divergence, guesscost, imatch, languages, packing, pareto, suffixes, tokenfile
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -76,3 +76,8 @@ def op9(spark, folder):
 @query("op8_two_stage_suffix_dedup")
 def op8(spark, folder):
     return suffixes.remove_repeats(documents(spark, folder))
+
+
+@query("op5_divergence_quality")
+def op5(spark, folder):
+    return divergence.judge(documents(spark, folder))

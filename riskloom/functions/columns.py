@@ -7,7 +7,7 @@ features stay inside one projection and one code-generated stage. Missing is alw
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from operator import add, and_
 
@@ -152,7 +152,7 @@ def as_category(c: ColumnLike) -> Column:
 
 def one_hot(df: DataFrame, c: str, levels: Sequence, prefix: str) -> DataFrame:
     """Add one 0/1 column per given level; a missing value is 0 everywhere."""
-    return df.withColumns({level_name(prefix, v): level_flag(c, v) for v in levels})
+    return df.withColumns({name: level_flag(c, v) for v, name in level_names(prefix, levels).items()})
 
 
 def level_flag(c: ColumnLike, level) -> Column:
@@ -164,6 +164,22 @@ def level_name(prefix: str, level) -> str:
     return f"{prefix}_" + "".join(ch if ch.isalnum() else "_" for ch in str(level))
 
 
+def distinct_names(values: Sequence, name: Callable) -> dict:
+    """A name per value; where several values have one name, the later ones get a number behind it."""
+    out, used = {}, set()
+    for v in values:
+        n, k = name(v), 2
+        while n in used:
+            n, k = f"{name(v)}_{k}", k + 1
+        used.add(n)
+        out[v] = n
+    return out
+
+
+def level_names(prefix: str, levels: Sequence) -> dict:
+    return distinct_names(levels, lambda v: level_name(prefix, v))
+
+
 # -- scores -----------------------------------------------------------------------------------
 
 # Lower edges of the risk bands on the 0..100 score, with their labels.

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.functions.columns import all_present, level_flag, level_name
+from riskloom.functions.columns import all_present, distinct_names, level_flag, level_names
 from riskloom.operators.profile import frequencies
 from riskloom.session import checkpointed
 
@@ -47,13 +47,18 @@ def stat_name(column: str, stat: str, suffix: str = "") -> str:
 def sort_position(df: DataFrame, order: Sequence[str]) -> Column:
     """A single comparable value for an ascending sort with missing values last.
 
-    One numeric column stays a double, which keeps ``min_by``/``max_by`` buffers primitive and the
-    aggregate hash-based; several columns become a struct.
+    One numeric column stays primitive, which keeps ``min_by``/``max_by`` buffers small and the aggregate
+    hash-based: whole numbers stay whole (doubles would join those above 2^53), and a missing fraction
+    sorts as NaN, behind infinity. Several columns become a struct.
     """
     if not order:
         raise ValueError("first/last need an explicit order with a unique tie-break")
-    if len(order) == 1 and isinstance(df.schema[order[0]].dataType, T.NumericType):
-        return F.coalesce(F.col(order[0]).cast("double"), F.lit(float("inf")))
+    if len(order) == 1:
+        kind = df.schema[order[0]].dataType
+        if isinstance(kind, T.IntegralType):
+            return F.coalesce(F.col(order[0]).cast("long"), F.lit((1 << 63) - 1))
+        if isinstance(kind, (T.DoubleType, T.FloatType)):
+            return F.coalesce(F.col(order[0]).cast("double"), F.lit(float("nan")))
     fields: list[Column] = []
     for i, name in enumerate(order):
         fields += [F.col(name).isNull().alias(f"n{i}"), F.col(name).alias(f"v{i}")]
@@ -129,7 +134,7 @@ def periods(age: str, latest: int, suffix: str = "_YEAR_") -> dict[str, Column]:
 
 def categories(c: str, named: Sequence[str], suffix: str = "_") -> dict[str, Column]:
     """Subsets for each named category and one for all others; a missing category belongs to the rest."""
-    out = {f"{suffix}{v.upper()}": F.col(c) == F.lit(v) for v in named}
+    out = {f"{suffix}{n}": F.col(c) == F.lit(v) for v, n in distinct_names(named, lambda v: v.upper()).items()}
     out[f"{suffix}REST"] = ~F.coalesce(F.col(c).isin(*named), F.lit(False))
     return out
 
@@ -204,7 +209,7 @@ def levels_of_all(df: DataFrame, cs: Sequence[str], limit: int = 10_000) -> dict
 
 def share_exprs(c: str, levels: Sequence, prefix: str, suffix: str = "") -> list[Column]:
     """Share of a key's rows in each level (rows with a missing category count in the base)."""
-    return [F.avg(level_flag(c, v)).alias(level_name(prefix, v) + suffix) for v in levels]
+    return [F.avg(level_flag(c, v)).alias(name + suffix) for v, name in level_names(prefix, levels).items()]
 
 
 def category_shares(

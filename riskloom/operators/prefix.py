@@ -145,7 +145,9 @@ def empirical_cdf(df: DataFrame, value: str, by: Sequence[str] = (), rows_per_bu
     """
     runs = running_totals(df, value, {"n": F.lit(1)}, by, rows_per_bucket)
     totals = df.filter(all_present([value, *by])).groupBy(*by).agg(F.count(F.lit(1)).alias("total"))
-    runs = runs.join(F.broadcast(totals), list(by), "left") if by else runs.crossJoin(F.broadcast(totals))
+    # one row per group: broadcast only below the counted bound
+    totals = totals if by and totals.limit(ROWS_PER_BUCKET + 1).count() > ROWS_PER_BUCKET else F.broadcast(totals)
+    runs = runs.join(totals, list(by), "left") if by else runs.crossJoin(totals)
     span = F.col("total") - F.lit(1)
     return runs.select(
         *by,

@@ -8,9 +8,14 @@ from pyspark.sql import functions as F
 from riskloom.operators.prefix import ROWS_PER_BUCKET, rank_in_group
 
 
+def hash_text(key: str, seed: int) -> Column:
+    """A text in random order that depends on the id and the seed only; other engines have the same function."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+
+
 def hash_unit(key: str, seed: int) -> Column:
     """A number in [0, 1) that depends on the id and the seed only."""
-    return F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1 << 52)) / F.lit(float(1 << 52))
+    return F.conv(F.substring(hash_text(key, seed), 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
 
 
 def train_validation_split(df: DataFrame, key: str, test_size: float = 0.25, seed: int = 0) -> tuple[DataFrame, DataFrame]:
@@ -22,7 +27,7 @@ def train_validation_split(df: DataFrame, key: str, test_size: float = 0.25, see
 def stratified_sample(df: DataFrame, by: str, key: str, n: int, seed: int) -> DataFrame:
     """``n`` rows of every class. The rank filter is applied before the shuffle as well, so a large
     class sends at most ``n`` rows per map task."""
-    w = Window.partitionBy(by).orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key))
+    w = Window.partitionBy(by).orderBy(hash_text(key, seed), F.col(key))
     return (
         df.filter(F.col(by).isNotNull()).withColumn("__pos", F.row_number().over(w)).filter(F.col("__pos") <= n).drop("__pos")
     )
@@ -30,7 +35,7 @@ def stratified_sample(df: DataFrame, by: str, key: str, n: int, seed: int) -> Da
 
 def preview(df: DataFrame, n: int, key: str | None = None, seed: int = 0) -> DataFrame:
     """First rows, or rows in hash order when a key is given."""
-    return df.limit(n) if key is None else df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key)).limit(n)
+    return df.limit(n) if key is None else df.orderBy(hash_text(key, seed), F.col(key)).limit(n)
 
 
 def stratified_folds(

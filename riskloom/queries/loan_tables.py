@@ -246,3 +246,32 @@ def oracle_text(name: str) -> str:
     return LOAN_TABLES[name].format(
         customer="customer", orders="orders", lineitem="lineitem", events="events"
     )
+
+
+# -- column lists of the derived tables --------------------------------------------------------------
+
+APPLICATION_TEXT = """NAME_CONTRACT_TYPE CODE_GENDER FLAG_OWN_CAR FLAG_OWN_REALTY NAME_INCOME_TYPE NAME_EDUCATION_TYPE NAME_FAMILY_STATUS
+NAME_HOUSING_TYPE OCCUPATION_TYPE ORGANIZATION_TYPE EMERGENCYSTATE_MODE""".split()
+APPLICATION_WHOLE = [
+    *"CNT_CHILDREN HOUR_APPR_PROCESS_START REGION_RATING_CLIENT REGION_RATING_CLIENT_W_CITY".split(),
+    *"FLAG_MOBIL FLAG_EMP_PHONE FLAG_WORK_PHONE FLAG_CONT_MOBILE FLAG_PHONE FLAG_EMAIL".split(),
+    *"REG_REGION_NOT_LIVE_REGION REG_REGION_NOT_WORK_REGION LIVE_REGION_NOT_WORK_REGION".split(),
+    *"REG_CITY_NOT_LIVE_CITY REG_CITY_NOT_WORK_CITY LIVE_CITY_NOT_WORK_CITY".split(),
+    *[f"FLAG_DOCUMENT_{n}" for n in (3, 5, 6, 7, 8, 9, 11, 13, 14, 15, 16, 17, 18, 19, 21)],
+]
+APPLICATION_REAL = [
+    *"AMT_CREDIT AMT_INCOME_TOTAL AMT_ANNUITY AMT_GOODS_PRICE EXT_SOURCE_1 EXT_SOURCE_2 EXT_SOURCE_3 OWN_CAR_AGE".split(),
+    *"DAYS_BIRTH DAYS_EMPLOYED DAYS_REGISTRATION DAYS_ID_PUBLISH DAYS_LAST_PHONE_CHANGE CNT_FAM_MEMBERS REGION_POPULATION_RELATIVE".split(),
+    *[f"{kind}_{n}_CNT_SOCIAL_CIRCLE" for n in (30, 60) for kind in ("OBS", "DEF")],
+    *[f"AMT_REQ_CREDIT_BUREAU_{unit}" for unit in ("HOUR", "DAY", "WEEK", "MON", "QRT", "YEAR")],
+    *[f"{m}_{s}" for s in ("AVG", "MODE", "MEDI") for m in HOUSING],
+    "TOTALAREA_MODE",
+]
+APPLICATION_NUMBERS = APPLICATION_WHOLE + APPLICATION_REAL
+PREVIOUS_TEXT = """NAME_CONTRACT_TYPE WEEKDAY_APPR_PROCESS_START FLAG_LAST_APPL_PER_CONTRACT NAME_CASH_LOAN_PURPOSE NAME_CONTRACT_STATUS
+NAME_PAYMENT_TYPE CODE_REJECT_REASON NAME_TYPE_SUITE NAME_CLIENT_TYPE NAME_GOODS_CATEGORY NAME_PORTFOLIO NAME_PRODUCT_TYPE CHANNEL_TYPE
+NAME_SELLER_INDUSTRY NAME_YIELD_GROUP PRODUCT_COMBINATION""".split()
+PREVIOUS_WHOLE = "SK_ID_PREV SK_ID_CURR HOUR_APPR_PROCESS_START NFLAG_LAST_APPL_IN_DAY".split()
+PREVIOUS_REAL = """AMT_ANNUITY AMT_APPLICATION AMT_CREDIT AMT_DOWN_PAYMENT AMT_GOODS_PRICE RATE_DOWN_PAYMENT RATE_INTEREST_PRIMARY
+RATE_INTEREST_PRIVILEGED DAYS_DECISION SELLERPLACE_AREA CNT_PAYMENT DAYS_FIRST_DRAWING DAYS_FIRST_DUE DAYS_LAST_DUE_1ST_VERSION
+DAYS_LAST_DUE DAYS_TERMINATION NFLAG_INSURED_ON_APPROVAL""".split()

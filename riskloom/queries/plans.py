@@ -382,10 +382,8 @@ def p10(t: Tables):
 
 @query(
     "p11_client_comparison",
-    f"SELECT variable, client_value, mean, median, mode FROM ({REF_SQL}) r JOIN ("
-    + " UNION ALL ".join(
-        f"SELECT '{c}' AS variable, CAST({c} AS VARCHAR) AS client_value FROM ({oracle_text('application')}) WHERE SK_ID_CURR = 7" for c in REF_NUM + REF_CAT
-    )
+    f"WITH one AS MATERIALIZED (SELECT * FROM ({oracle_text('application')}) WHERE SK_ID_CURR = 7) SELECT variable, client_value, mean, median, mode FROM ({REF_SQL}) r JOIN ("
+    + " UNION ALL ".join(f"SELECT '{c}' AS variable, CAST({c} AS VARCHAR) AS client_value FROM one" for c in REF_NUM + REF_CAT)
     + ") c USING (variable)",
 )
 def p11(t: Tables):

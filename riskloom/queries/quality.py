@@ -11,11 +11,12 @@ from riskloom.operators import impute as I
 from riskloom.operators import ordered as O
 from riskloom.operators import selection as S
 from riskloom.queries.base import Tables, all_rounded, query, rounded, sql_all_rounded
-from riskloom.queries.loan_tables import LOAN_TABLES, oracle_text
+from riskloom.queries.loan_tables import APPLICATION_NUMBERS, APPLICATION_TEXT, LOAN_TABLES, oracle_text
 from riskloom.functions.columns import one_hot, recode
 
 APP = oracle_text("application")
-NUMBERS = ["AMT_ANNUITY", "EXT_SOURCE_1", "OWN_CAR_AGE", "AMT_REQ_CREDIT_BUREAU_YEAR"]
+WITH_APP = f"WITH app AS MATERIALIZED ({APP}) "
+NUMBERS = APPLICATION_NUMBERS
 # train and test are told apart by market segment
 TRAIN, TEST = "SEGMENT <> 'BUILDING'", "SEGMENT = 'BUILDING'"
 
@@ -27,9 +28,9 @@ def application(t: Tables):
 @query(
     "q1_median_impute",
     sql_all_rounded(
-        "SELECT SK_ID_CURR, " + ", ".join(
-            f"coalesce({c}, (SELECT median({c}) FROM ({APP}) WHERE {TRAIN})) AS {c}" for c in NUMBERS
-        ) + f" FROM ({APP})",
+        WITH_APP + "SELECT SK_ID_CURR, " + ", ".join(
+            f"coalesce({c}, (SELECT median({c}) FROM app WHERE {TRAIN})) AS {c}" for c in NUMBERS
+        ) + f" FROM app",
         ["SK_ID_CURR"],
     ),
 )
@@ -38,14 +39,14 @@ def q1(t: Tables):
     return all_rounded(I.fill(df.select("SK_ID_CURR", *NUMBERS), I.fit_medians(df.filter(TRAIN), NUMBERS)), ["SK_ID_CURR"])
 
 
-CATS = ["OCCUPATION_TYPE", "FLAG_OWN_CAR", "EMERGENCYSTATE_MODE"]
+CATS = APPLICATION_TEXT
 
 
 @query(
     "q2_mode_impute",
-    "SELECT SK_ID_CURR, " + ", ".join(
-        f"coalesce({c}, (SELECT {c} FROM ({APP}) WHERE {c} IS NOT NULL AND {TRAIN} GROUP BY 1 ORDER BY count(*) DESC, {c} LIMIT 1)) AS {c}" for c in CATS
-    ) + f" FROM ({APP})",
+    WITH_APP + "SELECT SK_ID_CURR, " + ", ".join(
+        f"coalesce({c}, (SELECT {c} FROM app WHERE {c} IS NOT NULL AND {TRAIN} GROUP BY 1 ORDER BY count(*) DESC, {c} LIMIT 1)) AS {c}" for c in CATS
+    ) + f" FROM app",
 )
 def q2(t: Tables):
     df = application(t)
@@ -53,13 +54,13 @@ def q2(t: Tables):
     return out
 
 
-SPARSE = ["OWN_CAR_AGE", "EXT_SOURCE_1", "AMT_ANNUITY", "OCCUPATION_TYPE", "AMT_CREDIT"]
+SPARSE = APPLICATION_TEXT + APPLICATION_NUMBERS
 
 
 @query(
     "q3_drop_sparse",
-    " UNION ALL ".join(
-        f"SELECT variable FROM (SELECT '{c}' AS variable, round(100.0 * (count(*) - count({c})) / count(*), 2) AS p FROM ({APP})) WHERE p > 30"
+    WITH_APP + " UNION ALL ".join(
+        f"SELECT variable FROM (SELECT '{c}' AS variable, round(100.0 * (count(*) - count({c})) / count(*), 2) AS p FROM app) WHERE p > 30"
         for c in SPARSE
     ),
 )
@@ -190,10 +191,10 @@ def q11(t: Tables):
 
 @query(
     "q12_standard_scale",
-    "SELECT SK_ID_CURR, " + ", ".join(
-        f"round(coalesce(({c} - (SELECT avg({c}) FROM ({APP}) WHERE {TRAIN})) / (SELECT stddev_pop({c}) FROM ({APP}) WHERE {TRAIN}), 0), 6) + 0.0 AS {c}"
+    WITH_APP + "SELECT SK_ID_CURR, " + ", ".join(
+        f"round(coalesce(({c} - (SELECT avg({c}) FROM app WHERE {TRAIN})) / (SELECT stddev_pop({c}) FROM app WHERE {TRAIN}), 0), 6) + 0.0 AS {c}"
         for c in NUMBERS
-    ) + f" FROM ({APP})",
+    ) + f" FROM app",
 )
 def q12(t: Tables):
     df = application(t).select("SK_ID_CURR", "SEGMENT", *NUMBERS)

@@ -64,7 +64,10 @@ def a5(t: Tables):
     return a.withColumn("side", F.lit("customer")).unionByName(b.withColumn("side", F.lit("supplier")))
 
 
-@query("a6_train_validation_split")
+@query(
+    "a6_train_validation_split",
+    "SELECT *, CASE WHEN ('0x' || substr(md5('7:' || o_orderkey), 1, 13))::BIGINT / 4503599627370496.0 >= 0.25 THEN 'train' ELSE 'validation' END AS side FROM orders",
+)
 def a6(t: Tables):
     train, validation = train_validation_split(t.orders, "o_orderkey", 0.25, 7)
     return train.withColumn("side", F.lit("train")).unionByName(validation.withColumn("side", F.lit("validation")))

@@ -10,7 +10,15 @@ from riskloom.operators import profile as P
 from riskloom.operators.sampling import preview, stratified_sample
 from riskloom.operators.selection import label_selection
 from riskloom.queries.base import Tables, all_rounded, query, rounded, scratch, sql_all_rounded, sql_spec
-from riskloom.queries.loan_tables import LOAN_TABLES, oracle_text
+from riskloom.queries.loan_tables import (
+    APPLICATION_NUMBERS,
+    APPLICATION_TEXT,
+    LOAN_TABLES,
+    PREVIOUS_REAL,
+    PREVIOUS_TEXT,
+    PREVIOUS_WHOLE,
+    oracle_text,
+)
 from riskloom.sources.tables import append_results
 
 # whole thousands keep every sum exact in both engines
@@ -309,8 +317,8 @@ def g11(t: Tables):
 
 def _profile_sql(c: str, kind: str, numeric: bool) -> str:
     moments = (
-        f"round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std, min({c})::DOUBLE AS low, round(quantile_cont({c}::DOUBLE, 0.25), 4) AS q25, "
-        f"round(median({c}::DOUBLE), 4) AS median, round(quantile_cont({c}::DOUBLE, 0.75), 4) AS q75, max({c})::DOUBLE AS high, NULL AS top, NULL AS top_count"
+        f"round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std, round(min({c})::DOUBLE, 4) AS low, round(quantile_cont({c}::DOUBLE, 0.25), 4) AS q25, "
+        f"round(median({c}::DOUBLE), 4) AS median, round(quantile_cont({c}::DOUBLE, 0.75), 4) AS q75, round(max({c})::DOUBLE, 4) AS high, NULL AS top, NULL AS top_count"
         if numeric
         else "NULL AS mean, NULL AS std, NULL AS low, NULL AS q25, NULL AS median, NULL AS q75, NULL AS high, "
         f"(SELECT {c} FROM src WHERE {c} IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, {c} LIMIT 1) AS top, "
@@ -323,8 +331,7 @@ def _profile_sql(c: str, kind: str, numeric: bool) -> str:
 
 
 PROFILED = {
-    "SK_ID_PREV": ("bigint", True), "AMT_CREDIT": ("double", True), "AMT_ANNUITY": ("double", True), "CNT_PAYMENT": ("double", True),
-    "NAME_TYPE_SUITE": ("string", False), "NAME_GOODS_CATEGORY": ("string", False),
+    **{c: ("bigint", True) for c in PREVIOUS_WHOLE}, **{c: ("double", True) for c in PREVIOUS_REAL}, **{c: ("string", False) for c in PREVIOUS_TEXT},
 }
 
 
@@ -349,12 +356,11 @@ def g12b(t: Tables):
     "g13_missing_report",
     f"WITH src AS ({oracle_text('application')}) SELECT * FROM (" + " UNION ALL ".join(
         f"SELECT '{c}' AS variable, count(*) - count({c}) AS missing, round(100.0 * (count(*) - count({c})) / count(*), 2) AS percent FROM src"
-        for c in ("SK_ID_CURR", "OCCUPATION_TYPE", "AMT_ANNUITY", "EXT_SOURCE_1", "OWN_CAR_AGE", "AMT_CREDIT")
+        for c in ["SK_ID_CURR", "SEGMENT", "TARGET", *APPLICATION_TEXT, *APPLICATION_NUMBERS]
     ) + ") WHERE missing > 0",
 )
 def g13(t: Tables):
-    cs = ["SK_ID_CURR", "OCCUPATION_TYPE", "AMT_ANNUITY", "EXT_SOURCE_1", "OWN_CAR_AGE", "AMT_CREDIT"]
-    return P.missing_report(t.sql(LOAN_TABLES["application"]).select(*cs))
+    return P.missing_report(t.sql(LOAN_TABLES["application"]))
 
 
 @query(
@@ -414,10 +420,10 @@ def g17(t: Tables):
     return P.density_by_class(df, "amount", "y", 25)
 
 
-REF_NUM = ["AMT_CREDIT", "AMT_ANNUITY", "CNT_CHILDREN"]
-REF_CAT = ["NAME_INCOME_TYPE", "OCCUPATION_TYPE"]
-REF_SQL = f"WITH src AS ({oracle_text('application')}) " + " UNION ALL ".join(
-    [f"SELECT '{c}' AS variable, round(avg({c}), 6) AS mean, median({c}::DOUBLE) AS median, NULL AS mode FROM src" for c in REF_NUM]
+REF_NUM = APPLICATION_NUMBERS
+REF_CAT = APPLICATION_TEXT
+REF_SQL = f"WITH src AS MATERIALIZED ({oracle_text('application')}) " + " UNION ALL ".join(
+    [f"SELECT '{c}' AS variable, round(avg({c}), 6) AS mean, round(median({c}::DOUBLE), 6) AS median, NULL AS mode FROM src" for c in REF_NUM]
     + [
         f"SELECT '{c}', NULL, NULL, (SELECT {c} FROM src WHERE {c} IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, {c} LIMIT 1)"
         for c in REF_CAT
@@ -432,11 +438,11 @@ def g18(t: Tables):
 
 @query(
     "g19_duplicate_rows",
-    "SELECT count(*) AS table_rows, count(DISTINCT (o_custkey, o_orderstatus, o_orderpriority)) AS distinct_rows, "
-    "count(*) - count(DISTINCT (o_custkey, o_orderstatus, o_orderpriority)) AS duplicate_rows FROM orders",
+    "SELECT count(*) AS table_rows, count(DISTINCT (o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority)) AS distinct_rows, "
+    "count(*) - count(DISTINCT (o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority)) AS duplicate_rows FROM orders",
 )
 def g19(t: Tables):
-    return P.duplicate_rows(t.orders.select("o_custkey", "o_orderstatus", "o_orderpriority"))
+    return P.duplicate_rows(t.orders)
 
 
 STAT_KEYS = [["o_orderstatus", "o_orderpriority"], ["o_orderstatus"]]
@@ -529,12 +535,20 @@ def l4(t: Tables):
     return out
 
 
-@query("l6_stratified_sample")
+def _hash_sql(key: str, seed: int) -> str:
+    return f"md5('{seed}:' || {key})"
+
+
+@query(
+    "l6_stratified_sample",
+    f"SELECT SK_ID_CURR, TARGET FROM (SELECT SK_ID_CURR, TARGET, row_number() OVER (PARTITION BY TARGET ORDER BY {_hash_sql('SK_ID_CURR', 84)}, SK_ID_CURR) AS n "
+    f"FROM ({oracle_text('application')}) WHERE TARGET IS NOT NULL) WHERE n <= 100",
+)
 def l6(t: Tables):
     return stratified_sample(t.sql(LOAN_TABLES["application"]).select("SK_ID_CURR", "TARGET"), "TARGET", "SK_ID_CURR", 100, 84)
 
 
-@query("l8_preview")
+@query("l8_preview", f"SELECT * FROM orders ORDER BY {_hash_sql('o_orderkey', 84)}, o_orderkey LIMIT 20")
 def l8(t: Tables):
     return preview(t.orders, 20, "o_orderkey", 84)
 

@@ -85,3 +85,25 @@ def test_first_and_last_keep_the_aggregate_hash_based(spark):
     df = spark.range(100).selectExpr("id % 5 AS k", "cast(id as double) AS o", "cast(id as double) AS x")
     plan = A.group_agg(df, ["k"], {"x": "mean last"}, ["o"])._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_whole_number_order_above_2_53_stays_exact(spark):
+    base = 8192 << 40
+    rows = [("a", base + i, float(i)) for i in range(4)] + [("a", None, 9.0), ("b", None, 1.0)]
+    df = spark.createDataFrame(rows, "k string, o long, v double")
+    got = {r["k"]: r for r in A.group_agg(df, ["k"], {"v": "first last"}, order=["o"]).collect()}
+    assert (got["a"]["V_FIRST"], got["a"]["V_LAST"]) == (0.0, 9.0)
+    assert got["b"]["V_FIRST"] == 1.0
+
+
+def test_infinity_sorts_before_missing(spark):
+    df = spark.createDataFrame([("a", None, 1.0), ("a", float("inf"), 2.0), ("a", 1.0, 3.0)], "k string, o double, v double")
+    row = A.group_agg(df, ["k"], {"v": "first last"}, order=["o"]).first()
+    assert (row["V_FIRST"], row["V_LAST"]) == (3.0, 1.0)
+
+
+def test_levels_with_like_names_get_columns_of_their_own(spark):
+    df = spark.createDataFrame([("a", "x-y"), ("a", "x y"), ("a", "X y")], "k string, c string")
+    row = A.category_shares(df, ["k"], "c", "C", ["x-y", "x y"]).first()
+    assert row.asDict() == {"k": "a", "C_x_y": 1 / 3, "C_x_y_2": 1 / 3}
+    assert list(A.categories("c", ["x y", "X y"])) == ["_X Y", "_X Y_2", "_REST"]

@@ -8,8 +8,11 @@ tokens, to at most ``DEPTH`` levels. With ``q`` the chance that a pair at the th
 to the last level, ``(1 - q) ^ runs`` bounds the chance to miss it; the number of runs follows from the
 wanted recall.
 
-Buckets are searched by brute force on sketches for candidate links; a bucket whose nodes are alike is
-finished in one pass, since a node that was reached needs no second one. The connected components of
+A split keeps a share of ``mean similarity / threshold`` of a bucket's pairs but multiplies its rows; where that
+share is above a half, the bucket is searched at once.
+
+Buckets are searched by brute force on sketches for candidate links; one whose nodes are alike is finished in
+one pass, since a node that was reached needs no second one. The connected components of
 candidates are then compared exactly, block against block, on whole sets: this decides every link and its
 count, and also finds links inside a component that no bucket held. Nodes are never expanded into copies
 and pairs never leave a task; only sums per node and one edge per node and block do.
@@ -37,7 +40,7 @@ from riskloom.session import checkpointed
 
 SHINGLE, THRESHOLD, RECALL = 5, 0.8, 0.999
 LIMIT, DEPTH, BLOCK, BUCKET_BLOCK = 512, 4, 1024, 8192
-BINS, MARGIN = 128, 0.11
+BINS, MARGIN, DENSE = 128, 0.11, 0.5
 _CHUNK = 1 << 20
 U = np.uint64
 
@@ -128,6 +131,37 @@ def _deeper(threshold: float):
     return run
 
 
+def _signs(batches):
+    """Per path and task: nodes, and per bin the sum of a random sign of the bin's value."""
+    total: dict[int, tuple[int, np.ndarray]] = {}
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        path = batch.column(0).to_numpy()
+        sk = strings(batch.column(2))[0].view(np.uint16).reshape(-1, BINS)
+        sign = (mix(sk.astype(U) * U(BINS) + np.arange(BINS, dtype=U)) >> U(63)).astype(np.int64) * 2 - 1
+        sign[sk == 0] = 0
+        names, of = np.unique(path, return_inverse=True)
+        sums = np.zeros((len(names), BINS), np.int64)
+        np.add.at(sums, of, sign)
+        for name, n, z in zip(names.tolist(), np.bincount(of).tolist(), sums, strict=True):
+            old = total.get(name, (0, 0))
+            total[name] = (old[0] + n, old[1] + z)
+    if total:
+        yield pa.RecordBatch.from_arrays([pa.array(list(total)), pa.array([n for n, _ in total.values()]), pa.array([z.tobytes() for _, z in total.values()])], names=["path", "n", "z"])
+
+
+def _likeness(batches):
+    """Mean similarity of two nodes of a bucket: the squared sign sums count, in expectation, pairs of equal values."""
+    total: dict[int, tuple[int, np.ndarray]] = {}
+    for batch in batches:
+        for name, n, z in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            old = total.get(name, (0, 0))
+            total[name] = (old[0] + n, old[1] + np.frombuffer(z, np.int64))
+    mean = [float((z.astype(float) ** 2).mean()) / n**2 for n, z in total.values()]
+    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(mean, pa.float64())], names=["path", "mean"])
+
+
 def grouped(batches, keys: int, run):
     """Rows arrive sorted by their first ``keys`` columns; ``run`` gets one table per group."""
     held: list[pa.RecordBatch] = []
@@ -212,15 +246,18 @@ def candidates(nodes: DataFrame, threshold: float) -> DataFrame:
         buckets = rows.groupBy("path").agg(F.count(F.lit(1)).alias("members"), F.sum(F.xxhash64("node").cast("decimal(20,0)")).cast("decimal(38,0)").alias("who")).where("members > 1")
         # buckets of the same members are searched once
         buckets = buckets.groupBy("members", "who").agg(F.min("path").alias("path")).select("path", "members")
-        rows = checkpointed(rows.join(buckets, "path"))
+        rows = checkpointed(rows.join(buckets, "path").select("path", "node", "members"))
         done = rows if level == DEPTH else rows.where(F.col("members") <= LIMIT)
         leaves = done if leaves is None else leaves.union(done)
         if level < DEPTH:
             rows = rows.where(F.col("members") > LIMIT)
             if rows.limit(1).count() == 0:
                 break
-            rows = rows.select("path", "node").join(sides.select("node", "sketch"), "node").select("path", "node", "sketch")
-            rows = checkpointed(rows.mapInArrow(_deeper(threshold), "path long, node long"))
+            large = checkpointed(rows.join(sides.select("node", "sketch"), "node").select("path", "node", "sketch", "members"))
+            mean = large.select("path", "node", "sketch").mapInArrow(_signs, "path long, n long, z binary").repartition("path").mapInArrow(_likeness, "path long, mean double")
+            large = large.join(small(checkpointed(mean)), "path")
+            leaves = leaves.union(large.where(F.col("mean") >= DENSE * threshold).select("path", "node", "members"))
+            rows = checkpointed(large.where(F.col("mean") < DENSE * threshold).select("path", "node", "sketch").mapInArrow(_deeper(threshold), "path long, node long"))
     found = block_pairs(leaves, "members", BUCKET_BLOCK, "path", "node").join(sides, "node").select("path", "part", "node", "n", "sketch")
     found = found.repartition("path", "part").sortWithinPartitions("path", "part")
     return found.mapInArrow(_search(threshold), "a long, b long").distinct()

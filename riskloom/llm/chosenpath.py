@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import binary_column, parts_for, pieces, small, strings
+from riskloom.llm.common import binary_column, parts_for, pieces, small, strings, unused
 from riskloom.llm.components import components
 from riskloom.llm.hashing import distinct, mix, shingles, text_words
 from riskloom.session import checkpointed
@@ -364,3 +364,20 @@ def similarity_classes(docs: DataFrame, *, threshold: float = THRESHOLD, recall:
     info = info.join(low, "root").select("node", "class_id", "copies", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
     out = rows.select("doc_id", "node").join(info, "node", "left")
     return out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("links", F.lit(0)).alias("n_links"), F.coalesce("copies", F.lit(1)).alias("n_copies"))
+
+
+def one_per_class(docs: DataFrame, **parameters) -> DataFrame:
+    """The document with the smallest id of every class, with the input's columns.
+
+    Rows that repeat an id and a text count once; rows that repeat an id with other texts, and rows without
+    an id, stay or go together.
+    """
+    key = unused(docs, "doc")
+    classes = checkpointed(similarity_classes(docs, **parameters).select(F.col("doc_id").alias(key), "class_id"))
+    gone = small(classes.where(F.col(key) != F.col("class_id")).select(key).distinct())
+    kept = docs.join(gone, F.col("doc_id") == F.col(key), "left_anti")
+    twice = checkpointed(classes.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(key))
+    if twice.limit(1).count() == 0:
+        return kept
+    same, twice = F.col("doc_id").eqNullSafe(F.col(key)), small(twice)
+    return kept.join(twice, same, "left_anti").unionByName(kept.join(twice, same, "left_semi").dropDuplicates(["doc_id", "text"]))

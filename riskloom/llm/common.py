@@ -35,6 +35,13 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
 def strings(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of an Arrow string or binary column without copying; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom.llm.common import pieces, small, strings, text_or_empty
 from riskloom.llm.hashing import distinct, text_words, word_hashes
@@ -185,7 +186,7 @@ def sanitise(docs: DataFrame, **parameters) -> DataFrame:
             new = [None if t is None else clean_text(t, [(x["start"], x["stop"]) for x in a or []]) for t, a in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(new, pa.string())], names=["row", "clean"])
 
-    out = rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, clean string")
+    out = rows.mapInArrow(run, T.StructType([rows.schema["row"], T.StructField("clean", T.StringType())]))
     cols = []
     for c in docs.columns:
         if c == "text":

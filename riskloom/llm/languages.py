@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom.llm.common import pieces, strings, text_or_empty
 
@@ -165,4 +166,10 @@ def detect(docs: DataFrame, names: list[str], model: np.ndarray, *, penalty: flo
     if not keep:
         return docs.select(*cols).mapInArrow(run, SCHEMA)
     rows = docs.select(*cols, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    return rows.mapInArrow(keeping, f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double")
+    return rows.mapInArrow(keeping, T.StructType([rows.schema["row"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
+
+
+def accepted(docs: DataFrame, names: list[str], model: np.ndarray, *, least: float = 0.5) -> DataFrame:
+    """The documents of which one learned language holds at least ``least``, with the input's columns."""
+    rows = detect(docs, names, model, keep=True).where((F.col("lang_pred") != "und") & (F.col("score") >= least))
+    return rows.select(*[F.col("row")[c].alias(c) for c in docs.columns])

@@ -98,6 +98,13 @@ def mix_sources(
     return out.select(*(["row"] if keep_text else []), "doc_id", "size", "source_size", "target", "copies", "taken")
 
 
+def mixed(docs: DataFrame, **parameters) -> DataFrame:
+    """The rows of the mix with the input's columns: a document taken twice is there twice."""
+    rows = mix_sources(docs, keep_text=True, **parameters).where("copies > 0")
+    rows = rows.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    return rows.select(*[F.col("row")[c].alias(c) for c in docs.columns])
+
+
 ORACLE = """
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM d GROUP BY source),

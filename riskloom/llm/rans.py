@@ -13,7 +13,7 @@ import zlib
 import numpy as np
 
 U = np.uint64
-SCALE, LOW, LANES, STEPS = 20, 1 << 31, 256, 128
+SCALE, LOW, LANES, STEPS = 20, 1 << 31, 1024, 128
 _HEAD = struct.Struct("<4sBxHIIII")
 _MAGIC = b"RANS"
 
@@ -45,8 +45,8 @@ class Table:
     """Frequencies, their running sums and the symbol of every slot."""
 
     def __init__(self, freq: np.ndarray):
-        self.freq = np.asarray(freq, U)
-        self.start = (np.cumsum(freq) - freq).astype(U)
+        self.freq = np.asarray(freq, np.uint32)
+        self.start = (np.cumsum(freq) - freq).astype(np.uint32)
         self.slot = np.repeat(np.arange(len(freq), dtype=np.uint32), freq)
         self.code = zlib.crc32(np.asarray(freq, "<u4").tobytes())
 
@@ -57,7 +57,7 @@ def encode(ids: np.ndarray, table: Table, lanes: int = LANES, every: int = STEPS
         lanes //= 2
     steps = -(-n // lanes)
     state = np.full(lanes, LOW, U)
-    f, c = table.freq[ids], table.start[ids]
+    f, c = table.freq[ids].astype(U), table.start[ids].astype(U)
     if n and not f.all():
         raise ValueError("an id is missing from the table")
     words, marks, written = [], [], 0
@@ -70,8 +70,8 @@ def encode(ids: np.ndarray, table: Table, lanes: int = LANES, every: int = STEPS
             words.append(out[::-1])
             written += len(out)
             x = np.where(full, x >> U(32), x)
-        q, r = np.divmod(x, freq)
-        state[: b - a] = (q << U(SCALE)) + r + c[a:b]
+        q = x // freq
+        state[: b - a] = (q << U(SCALE)) + (x - q * freq) + c[a:b]
         if step % every == 0:
             marks.append((written, state.copy()))
     stream = np.concatenate(words)[::-1] if words else np.zeros(0, np.uint32)

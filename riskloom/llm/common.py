@@ -42,6 +42,12 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def slices(batch: pa.RecordBatch, rows: int = 500):
+    """A batch in short runs of rows, so that few texts are Python objects at a time."""
+    for i in range(0, batch.num_rows, rows):
+        yield batch.slice(i, rows)
+
+
 def strings(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of an Arrow string or binary column without copying; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -19,11 +19,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.llm.common import pieces, small, strings, text_or_empty
+from riskloom.llm.common import pieces, slices, small, strings, text_or_empty
 from riskloom.llm.hashing import distinct, text_words, word_hashes
 from riskloom.llm.spans import PII_KINDS, digest, joined, personal
 from riskloom.session import checkpointed
@@ -82,7 +83,7 @@ def scan_base(docs: DataFrame, window: int) -> DataFrame:
     """Fixed spans of every document, its entities, and the terms around them with their places."""
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             rows = []
             for key, code, text in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 spans = personal(text)
@@ -178,12 +179,13 @@ def sanitise(docs: DataFrame, **parameters) -> DataFrame:
     """The documents with every text sanitised and the other columns as they are."""
     found = scan_personal(docs, **parameters).where("added is not null").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "added").dropDuplicates(["_id", "_digest"])
     found = small(checkpointed(found))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_or_empty()).alias("digest"), F.col("text"))
-    rows = rows.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")), "left").select("row", "text", "added")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_or_empty()).alias("digest"))
+    rows = rows.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")), "left").select("row", "added")
 
     def run(batches):
-        for batch in batches:
-            new = [None if t is None else clean_text(t, [(x["start"], x["stop"]) for x in a or []]) for t, a in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+        for batch in (part for whole in batches for part in slices(whole)):
+            texts = pc.struct_field(batch.column(0), "text").to_pylist()
+            new = [None if t is None else clean_text(t, [(x["start"], x["stop"]) for x in a or []]) for t, a in zip(texts, batch.column(1).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(new, pa.string())], names=["row", "clean"])
 
     out = rows.mapInArrow(run, T.StructType([rows.schema["row"], T.StructField("clean", T.StringType())]))

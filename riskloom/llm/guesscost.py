@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.llm.common import slices
 from riskloom.llm.spans import SECRET_KINDS, digest, joined, ordered, secrets
 
 # fixed values: frequent words of passwords, most frequent first
@@ -112,7 +113,7 @@ def scan_secrets(docs: DataFrame, *, min_cost: float = MIN_COST) -> DataFrame:
     """One row per document with the counts and spans of its secrets."""
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             rows = []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 base, added, top = find(text, min_cost)

@@ -69,10 +69,8 @@ def _corr_gram(df: DataFrame, cs: list[str]) -> DataFrame:
                     {"i": a, "j": b, "n": n[a, b], "si": s[a, b], "sj": s[b, a], "qi": q[a, b], "qj": q[b, a], "p": p[a, b]}
                 )
 
-    tasks = 4 * df.sparkSession.sparkContext.defaultParallelism
     sums = (
-        numbers.coalesce(tasks)
-        .mapInPandas(partial, "i int, j int, n double, si double, sj double, qi double, qj double, p double")
+        numbers.mapInPandas(partial, "i int, j int, n double, si double, sj double, qi double, qj double, p double")
         .groupBy("i", "j")
         .agg(*[F.sum(c).alias(c) for c in ("n", "si", "sj", "qi", "qj", "p")])
     )

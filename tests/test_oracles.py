@@ -6,8 +6,8 @@ from oracle import compare, connect
 from riskloom.queries import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-# covered by tests of their own or only slow repetitions of a smaller query
-SLOW = {"p1_application_with_models", "p8_client_table", "t9_grid_search"}
+# the scoring set runs the selection as its first part
+SLOW = {"p9_feature_selection"}
 
 
 @pytest.fixture(scope="module")

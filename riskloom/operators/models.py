@@ -18,6 +18,7 @@ from riskloom.functions.columns import decide, numeric_columns, percent_score
 from riskloom.operators.encode import class_weights
 from riskloom.operators.metrics import confusion, evaluate_at_threshold, ranking_metrics, with_threshold_metrics
 from riskloom.operators.sampling import stratified_folds, train_validation_split
+from riskloom.session import checkpointed
 
 FEATURES = "__features"
 
@@ -26,8 +27,12 @@ def assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol=FEATURES, handleInvalid="keep")
 
 
-def as_features(df: DataFrame, features: Sequence[str], missing: float = 0.0) -> DataFrame:
-    """Feature columns as doubles with missing values replaced."""
+# what a tree sees for a missing value: below every true one, so that a split can part them
+MISSING = -1e30
+
+
+def as_features(df: DataFrame, features: Sequence[str], missing: float = MISSING) -> DataFrame:
+    """Feature columns as doubles; missing values become a value of their own, never a true 0."""
     return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(missing)) for c in features})
 
 
@@ -40,14 +45,29 @@ def balanced(df: DataFrame, label: str, weight: str = "__weight") -> DataFrame:
     return df.withColumn(weight, out if out is not None else F.lit(1.0))
 
 
+HOLD = "__hold"
+
+
+def fit(rows: DataFrame, features: Sequence[str], label: str, estimator: Estimator) -> PipelineModel:
+    """Fit on the feature columns. Boosting ends where a tenth of the rows, held out by a hash of their
+    values, stops gaining; a table so small that the tenth is empty is boosted for all rounds."""
+    if isinstance(estimator, (GBTClassifier, GBTRegressor)) and estimator.isDefined(estimator.validationIndicatorCol):
+        rows = rows.withColumn(HOLD, F.pmod(F.xxhash64(*features, label), F.lit(10)) == 0)
+        if rows.filter(HOLD).limit(1).count() == 0 or rows.filter(~F.col(HOLD)).limit(1).count() == 0:
+            estimator = estimator.copy()
+            estimator.clear(estimator.validationIndicatorCol)
+    return Pipeline(stages=[assembler(features), estimator]).fit(rows)
+
+
 def fit_classifier(df: DataFrame, features: Sequence[str], label: str, estimator: Estimator) -> PipelineModel:
     rows = as_features(df.filter(F.col(label).isNotNull()), features).withColumn(label, F.col(label).cast("double"))
-    return Pipeline(stages=[assembler(features), estimator]).fit(rows)
+    return fit(rows, features, label, estimator)
 
 
-def boosted_classifier(label: str, rounds: int = 20, depth: int = 5, rate: float = 0.1, seed: int = 0) -> GBTClassifier:
+def boosted_classifier(label: str, rounds: int = 10_000, depth: int = 5, rate: float = 0.1, seed: int = 0) -> GBTClassifier:
     return GBTClassifier(
-        featuresCol=FEATURES, labelCol=label, weightCol="__weight", maxIter=rounds, maxDepth=depth, stepSize=rate, seed=seed
+        featuresCol=FEATURES, labelCol=label, weightCol="__weight", maxIter=rounds, maxDepth=depth, stepSize=rate, seed=seed,
+        validationIndicatorCol=HOLD, validationTol=0.01,
     )
 
 
@@ -58,7 +78,19 @@ def forest_classifier(label: str, trees: int = 100, depth: int = 5, seed: int =
 
 
 def boosted_regressor(label: str, rounds: int, depth: int, rate: float, seed: int = 0) -> GBTRegressor:
-    return GBTRegressor(featuresCol=FEATURES, labelCol=label, maxIter=rounds, maxDepth=depth, stepSize=rate, seed=seed)
+    return GBTRegressor(
+        featuresCol=FEATURES, labelCol=label, maxIter=rounds, maxDepth=depth, stepSize=rate, seed=seed,
+        validationIndicatorCol=HOLD, validationTol=0.01,
+    )
+
+
+def save_model(model: PipelineModel, path: str) -> None:
+    """Keep a fitted pipeline in a folder all executors share."""
+    model.write().overwrite().save(path)
+
+
+def load_model(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
 
 
 def probability(df: DataFrame, model: Model, features: Sequence[str], name: str = "probability") -> DataFrame:
@@ -85,6 +117,7 @@ def importance(
 
     MLlib reports impurity gain for both model kinds (no split counts).
     """
+    df = checkpointed(df.select(key, label, *features))  # read by every run and every tree
     total = [0.0] * len(features)
     for i in range(runs):
         train, _ = train_validation_split(df, key, 0.25, seed + i)
@@ -125,7 +158,7 @@ def chained_model_impute(
     for target in targets:
         known = train if target == targets[0] else tables[0]
         rows = as_features(known.filter(F.col(target).isNotNull()), features).select(*features, F.col(target).cast("double").alias("__y"))
-        model = Pipeline(stages=[assembler(features), boosted_regressor("__y", rounds, depth, rate)]).fit(rows)
+        model = fit(checkpointed(rows), features, "__y", boosted_regressor("__y", rounds, depth, rate))
         tables = [_fill_predicted(t, model, features, target) for t in tables]
         features = [*features, target]
     return tables
@@ -146,8 +179,8 @@ def expected_terms(
     previous: DataFrame,
     applications: Sequence[DataFrame],
     name: str = "EXPECTED_CNT_PAYMENT",
-    rounds: int = 100,
-    depth: int = 5,
+    rounds: int = 5000,
+    depth: int = 9,
     rate: float = 0.3,
 ) -> list[DataFrame]:
     """Learn the number of payments from credit, annuity and their ratio; predict it for applications."""
@@ -163,7 +196,7 @@ def expected_terms(
 
     known = inputs(previous.select("AMT_CREDIT", "AMT_ANNUITY", "CNT_PAYMENT").dropna(), fill=False)
     rows = as_features(known, features).withColumn("__y", F.col("CNT_PAYMENT").cast("double"))
-    model = Pipeline(stages=[assembler(features), boosted_regressor("__y", rounds, depth, rate, seed=125)]).fit(rows)
+    model = fit(checkpointed(rows), features, "__y", boosted_regressor("__y", rounds, depth, rate, seed=125))
     return [
         model.transform(as_features(inputs(df, fill=True), features)).select(*df.columns, F.col("prediction").alias(name))
         for df in applications
@@ -173,6 +206,10 @@ def expected_terms(
 # -- validation ----------------------------------------------------------------------------------
 
 
+def with_folds(df: DataFrame, key: str, features: Sequence[str], label: str, folds: int, seed: int) -> DataFrame:
+    return checkpointed(stratified_folds(df.select(key, label, *features), label, key, folds, seed))
+
+
 def cross_validate(
     df: DataFrame,
     key: str,
@@ -182,12 +219,14 @@ def cross_validate(
     folds: int = 10,
     threshold: float = 0.5,
     seed: int = 0,
+    spread: DataFrame | None = None,
 ) -> DataFrame:
     """Stratified cross-validation: mean and population deviation of AUC, recall and precision.
 
-    Train and test rows of a fold are scored in one pass and measured side by side.
+    Train and test rows of a fold are scored in one pass and measured side by side. The features with their
+    fold are kept once (or given as ``spread``), since every fit and every score reads them.
     """
-    spread = stratified_folds(df, label, key, folds, seed)
+    spread = with_folds(df, key, features, label, folds, seed) if spread is None else spread
     results = None
     for fold in range(folds):
         model = fit_classifier(balanced(spread.filter(F.col("fold") != fold), label), features, label, estimator())
@@ -222,10 +261,11 @@ def grid_search(
 ) -> DataFrame:
     """Cross-validated test AUC of every parameter combination, best first."""
     names = list(grid)
+    spread = with_folds(df, key, features, label, folds, seed)
     out = []
     for values in product(*grid.values()):
         params = dict(zip(names, values, strict=True))
-        table = cross_validate(df, key, features, label, lambda p=params: make(label, **p), folds, seed=seed)
+        table = cross_validate(df, key, features, label, lambda p=params: make(label, **p), folds, seed=seed, spread=spread)
         auc = table.filter(F.col("part") == "test").first()["roc_auc_mean"]
         out.append((str(params), auc))
     return df.sparkSession.createDataFrame(out, "params string, roc_auc double").orderBy(F.desc("roc_auc"), "params")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from riskloom.functions.columns import DENIED
 from riskloom.operators import metrics as M
 from riskloom.operators import models as ML
 from riskloom.operators.explain import explain
@@ -11,12 +12,12 @@ from riskloom.operators.neighbours import knn_target_mean
 from riskloom.operators.sampling import stratified_sample
 from riskloom.plans.application import NEIGHBOUR_FEATURES, add_application_features, clean_application
 from riskloom.queries.base import Tables, query, rounded
-from riskloom.queries.loan_tables import LOAN_TABLES, oracle_text
+from riskloom.queries.loan_tables import APPLICATION_NUMBERS, LOAN_TABLES, oracle_text
 from riskloom.queries.quality import TEST, TRAIN
 
 # -- neighbours ----------------------------------------------------------------------------------
 
-K = 25
+K = 500
 POINTS = (
     "SELECT SK_ID_CURR AS id, TARGET, SEGMENT, coalesce(EXT_SOURCE_1, 0) AS f0, coalesce(EXT_SOURCE_2, 0) AS f1, coalesce(EXT_SOURCE_3, 0) AS f2, "
     f"coalesce(AMT_CREDIT / (AMT_ANNUITY + 0.00001), 0) AS f3 FROM ({oracle_text('application')})"
@@ -54,41 +55,43 @@ def k1b(t: Tables):
 
 # -- models --------------------------------------------------------------------------------------
 
-FEATURES = ["AMT_CREDIT", "AMT_ANNUITY", "EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3", "DAYS_BIRTH"]
+FEATURES = APPLICATION_NUMBERS
+# attributions are made for models on selected features
+FEW = ["AMT_CREDIT", "AMT_ANNUITY", "EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3", "DAYS_BIRTH"]
 
 
 def application(t: Tables):
     return clean_application(t.sql(LOAN_TABLES["application"]))
 
 
-def model(t: Tables):
+def model(t: Tables, features=FEATURES):
     rows = ML.balanced(application(t).filter(TRAIN), "TARGET")
-    return ML.fit_classifier(rows, FEATURES, "TARGET", ML.boosted_classifier("TARGET", rounds=5, depth=3))
+    return ML.fit_classifier(rows, features, "TARGET", ML.boosted_classifier("TARGET"))
 
 
 @query("k2_chained_model_impute")
 def k2(t: Tables):
-    df = application(t).select("SK_ID_CURR", "SEGMENT", "AMT_CREDIT", "DAYS_BIRTH", "CNT_CHILDREN", "EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3")
+    df = application(t)
     train, test = ML.chained_model_impute(
-        df.filter(TRAIN), [df.filter(TEST)], ["EXT_SOURCE_2", "EXT_SOURCE_3", "EXT_SOURCE_1"], exclude=["SK_ID_CURR"], rounds=3
+        df.filter(TRAIN), [df.filter(TEST)], ["EXT_SOURCE_2", "EXT_SOURCE_3", "EXT_SOURCE_1"], exclude=["SK_ID_CURR", "TARGET"]
     )
     return train.unionByName(test)
 
 
 @query("k3_expected_terms")
 def k3(t: Tables):
-    (out,) = ML.expected_terms(t.sql(LOAN_TABLES["previous"]), [application(t)], rounds=5, depth=4)
+    (out,) = ML.expected_terms(t.sql(LOAN_TABLES["previous"]), [application(t)])
     return out.select("SK_ID_CURR", "EXPECTED_CNT_PAYMENT")
 
 
 @query("k4_importance_boosted")
 def k4(t: Tables):
-    return ML.importance_boosted(application(t), "SK_ID_CURR", FEATURES, "TARGET", rounds=5, depth=3)
+    return ML.importance_boosted(application(t), "SK_ID_CURR", FEATURES, "TARGET")
 
 
 @query("k4_importance_forest")
 def k4b(t: Tables):
-    return ML.importance_forest(application(t), "SK_ID_CURR", FEATURES, "TARGET", trees=10, depth=4)
+    return ML.importance_forest(application(t), "SK_ID_CURR", FEATURES, "TARGET")
 
 
 @query("k5_score")
@@ -98,10 +101,44 @@ def k5(t: Tables):
 
 @query("k6_explain")
 def k6(t: Tables):
-    fitted = model(t)
+    fitted = model(t, FEW)
     clients = application(t).filter(TEST)
-    background = stratified_sample(application(t).filter(TRAIN), "TARGET", "SK_ID_CURR", 10, 84)
-    return explain(clients, "SK_ID_CURR", FEATURES, background, lambda df: ML.probability(df, fitted, FEATURES), draws=20)
+    background = stratified_sample(application(t).filter(TRAIN), "TARGET", "SK_ID_CURR", 100, 84)
+    return explain(clients, "SK_ID_CURR", FEW, background, lambda df: ML.probability(df, fitted, FEW), draws=200)
+
+
+@query("k6_contributions_add_up", f"SELECT SK_ID_CURR, 0.0::DOUBLE AS gap FROM ({oracle_text('application')}) WHERE {TEST}")
+def k6b(t: Tables):
+    """The contributions of a client add up to its score less the background's mean score."""
+    return rounded(k6(t).groupBy("SK_ID_CURR").agg((F.sum("contribution") - F.max(F.col("score") - F.col("expected"))).alias("gap")), 6)
+
+
+@query("k4_importances_add_up", f"SELECT unnest({FEATURES}) AS feature, 1.0::DOUBLE AS total")
+def k4c(t: Tables):
+    """One importance per feature; they add up to one."""
+    out = k4b(t)
+    return rounded(out.crossJoin(F.broadcast(out.agg(F.sum("importance").alias("total")))).select("feature", "total"))
+
+
+@query(
+    "k2_given_values_stay",
+    f"SELECT SK_ID_CURR, round(EXT_SOURCE_1, 6) AS EXT_SOURCE_1, round(EXT_SOURCE_2, 6) AS EXT_SOURCE_2, round(EXT_SOURCE_3, 6) AS EXT_SOURCE_3, 0 AS gaps FROM ({oracle_text('application')})",
+)
+def k2b(t: Tables):
+    """Given values are as they were, and no gap is left."""
+    filled, names = k2(t), ("EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3")
+    given = application(t).select("SK_ID_CURR", *[F.col(c).alias(f"had_{c}") for c in names])
+    both = filled.select("SK_ID_CURR", *names).join(given, "SK_ID_CURR")
+    gaps = sum((F.col(c).isNull().cast("int") for c in names), F.lit(0))
+    return rounded(both.select("SK_ID_CURR", *[F.when(F.col(f"had_{c}").isNotNull(), F.col(c)).alias(c) for c in names], gaps.alias("gaps")))
+
+
+@query("k5_decisions_follow_scores", f"SELECT SK_ID_CURR, true AS sound FROM ({oracle_text('application')})")
+def k5b(t: Tables):
+    """Scores are in range, and percent score and decision follow from the probability."""
+    p = F.col("proba")
+    sound = p.between(0, 1) & (F.abs(F.col("credit_score") - 100 * p) <= 1) & ((F.col("prediction") == DENIED) == (F.col("credit_score") >= 50))
+    return k5(t).select("SK_ID_CURR", sound.alias("sound"))
 
 
 # -- evaluation: order status as the truth, a price fraction as the score ------------------------
@@ -185,7 +222,7 @@ def t6(t: Tables):
 @query("t7_cross_validate")
 def t7(t: Tables):
     return ML.cross_validate(
-        application(t), "SK_ID_CURR", FEATURES, "TARGET", lambda: ML.forest_classifier("TARGET", trees=3, depth=3), folds=3
+        application(t), "SK_ID_CURR", FEATURES, "TARGET", lambda: ML.forest_classifier("TARGET", trees=20)
     )
 
 
@@ -203,12 +240,12 @@ def t8b(t: Tables):
     df = application(t)
     return ML.evaluate_experiment(
         df.filter(TRAIN), df.filter(TEST), "SK_ID_CURR", FEATURES, "TARGET",
-        lambda: ML.forest_classifier("TARGET", trees=3, depth=3), 0.5, "small forest", folds=2,
+        lambda: ML.forest_classifier("TARGET", trees=20), 0.5, "forest",
     )
 
 
 @query("t9_grid_search")
 def t9(t: Tables):
     return ML.grid_search(
-        application(t), "SK_ID_CURR", FEATURES, "TARGET", ML.forest_classifier, {"trees": [2], "depth": [2, 4]}, folds=2
+        application(t), "SK_ID_CURR", FEATURES, "TARGET", ML.forest_classifier, {"trees": [10, 20], "depth": [3, 5]}
     )

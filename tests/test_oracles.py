@@ -6,7 +6,7 @@ from oracle import compare, connect
 from riskloom.queries import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-# the scoring set runs the selection as its first part
+# takes over a minute; run by tests/oracle.py
 SLOW = {"p9_feature_selection"}
 
 

@@ -1,15 +1,22 @@
 """Information-theoretic sanitisation of personal data.
 
 The fixed patterns find protected entities (e-mail addresses, IP addresses, card and phone numbers).
-Terms near an entity reveal it to the degree in which the corpus ties both together: with document
-frequencies ``f`` over ``N`` documents, the pointwise mutual information of term and entity is
-``log2(N f(t, e) / (f(t) f(e)))`` and the information of the entity is ``log2(N / f(e))``. Where a term
-gives away at least ``threshold`` of the entity's information, its occurrences around that entity are
-spans of kind ``term``: they are generalised, or removed if generalising leaves the same text.
+Terms in the same document reveal an entity to the degree in which the corpus ties both together: with
+document frequencies ``f`` over ``N`` documents, the pointwise mutual information of term and entity is
+``log2(P(e | t) / P(e))`` and the information of the entity is ``log2(1 / P(e))``, where ``P(e)`` is
+``f(e) / N``. ``P(e | t)`` is smoothed towards ``P(e)`` by ``prior`` documents,
+``(f(t, e) + prior P(e)) / (f(t) + prior)``: a rare entity is revealed by the terms of its one document, a
+frequent one takes more documents in agreement. Where a term gives away at least ``threshold`` of the
+entity's information, all its occurrences in documents of that entity are spans of kind ``term``: they are
+generalised, or removed if generalising leaves the same text.
+
+A term is a run of characters other than white space and fixed spans, in lower case and without
+punctuation at its ends, that has a letter or a digit.
 
 Defined results: null counts as an empty text, which has no spans; equal rows give equal results; spans of
-the fixed patterns stay and added ones never overlap them; with fewer than ``support`` documents that hold
-both a term and an entity nothing is added; other columns are ignored.
+the fixed patterns stay and added ones never overlap them; in a corpus of fewer documents than
+``(1 + prior) ** (1 / (1 - threshold))`` (58) an entity of one document gets no terms; other columns are
+ignored.
 
 Entities and terms travel as 64-bit hashes. Counts are summed before they are shuffled, so that an entity
 or a term in a third of all documents is one partial sum per task.
@@ -17,6 +24,8 @@ or a term in a third of all documents is one partial sum per task.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -24,20 +33,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.llm.common import pieces, slices, small, strings, text_or_empty
-from riskloom.llm.hashing import distinct, text_words, word_hashes
+from riskloom.llm.common import BROADCAST_ROWS, pieces, slices, small, strings, text_or_empty
+from riskloom.llm.hashing import distinct, word_bounds, word_hashes
 from riskloom.llm.spans import PII_KINDS, digest, joined, personal
 from riskloom.session import checkpointed
 
-WINDOW, THRESHOLD, SUPPORT = 4, 0.9, 3
+THRESHOLD, PRIOR = 0.9, 0.5
 _CHUNK = 1 << 20
 KINDS = (*PII_KINDS, "term")
-_SPACES = " \t\n\x0b\x0c\r"
+_WORD = re.compile(r"[^ \t\n\x0b\x0c\r]+")
 _EDGE = ".,;:!?\"'()[]{}<>"
-
-
-def digit_free(word: str) -> bool:
-    return len(word) >= 3 and word.isalpha()
+_EDGE_MAP = np.zeros(256, bool)
+_EDGE_MAP[[ord(c) for c in _EDGE]] = True
 
 
 def hash_of(values: list[str]) -> np.ndarray:
@@ -46,27 +53,6 @@ def hash_of(values: list[str]) -> np.ndarray:
     return word_hashes(data, offsets[:-1], offsets[1:]).view(np.int64)
 
 
-def words_around(text: str, start: int, end: int, spans: list, window: int) -> list[tuple[int, int]]:
-    """Places of up to ``window`` words on either side that no span of ``spans`` touches."""
-    out: list[tuple[int, int]] = []
-    for side in (-1, 1):
-        at, found = (start - 1, 0) if side < 0 else (end, 0)
-        while 0 <= at < len(text) and found < window:
-            while 0 <= at < len(text) and text[at] in _SPACES:
-                at += side
-            if not 0 <= at < len(text):
-                break
-            far = at
-            while 0 <= far < len(text) and text[far] not in _SPACES:
-                far += side
-            a, b = (far + 1, at + 1) if side < 0 else (at, far)
-            found += 1
-            if not any(a < e and s < b for _, s, e in spans):
-                out.append((a, b))
-            at = far
-    return out
-
-
 def trimmed(text: str, a: int, b: int) -> tuple[int, int]:
     while a < b and text[a] in _EDGE:
         a += 1
@@ -75,41 +61,57 @@ def trimmed(text: str, a: int, b: int) -> tuple[int, int]:
     return a, b
 
 
-_BASE = pa.schema([("doc_id", pa.int64()), ("digest", pa.int64()), ("n_email", pa.int64()), ("n_ip", pa.int64()), ("n_card", pa.int64()), ("n_phone", pa.int64()), ("base_sha256", pa.string()), ("base", pa.string()), ("near", pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("start", pa.int32()), ("stop", pa.int32()), ("first", pa.bool_())]))), ("entities", pa.list_(pa.int64()))])
-_BASE_SQL = "doc_id long, digest long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string, near array<struct<entity:long,term:long,start:int,stop:int,first:boolean>>, entities array<long>"
+def terms_of(text: str, spans: list) -> dict[str, list[tuple[int, int]]]:
+    """The places of every term outside the fixed spans."""
+    parts, free = [], 0
+    for _, a, b in spans:
+        parts += [text[free:a], " " * (b - max(a, free))]
+        free = max(free, b)
+    out: dict[str, list[tuple[int, int]]] = {}
+    for m in _WORD.finditer("".join(parts) + text[free:]):
+        a, b = trimmed(text, m.start(), m.end())
+        if any(map(str.isalnum, text[a:b])):
+            out.setdefault(text[a:b].lower(), []).append((a, b))
+    return out
+
+
+_TERMS = pa.list_(pa.struct([("term", pa.int64()), ("places", pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())])))]))
+_BASE = pa.schema([("doc_id", pa.int64()), ("digest", pa.int64()), ("n_email", pa.int64()), ("n_ip", pa.int64()), ("n_card", pa.int64()), ("n_phone", pa.int64()), ("base_sha256", pa.string()), ("base", pa.string()), ("terms", _TERMS), ("entities", pa.list_(pa.int64()))])
+_BASE_SQL = "doc_id long, digest long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string, terms array<struct<term:long,places:array<struct<start:int,stop:int>>>>, entities array<long>"
 
 
-def scan_base(docs: DataFrame, window: int) -> DataFrame:
-    """Fixed spans of every document, its entities, and the terms around them with their places."""
+def scan_base(docs: DataFrame) -> DataFrame:
+    """Fixed spans of every document, its entities, and the terms of documents with entities with their places."""
 
     def run(batches):
         for batch in (part for whole in batches for part in slices(whole)):
             rows = []
             for key, code, text in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 spans = personal(text)
-                near, entities = [], []
+                terms, entities = [], []
                 if spans:
-                    names = [f"{k}:{text[a:b].lower()}" for k, a, b in spans]
-                    codes = hash_of(names).tolist()
-                    entities = sorted(set(codes))
-                    places = []
-                    for (_, a, b), e in zip(spans, codes, strict=True):
-                        for w in words_around(text, a, b, spans, window):
-                            s, t = trimmed(text, *w)
-                            if digit_free(text[s:t]):
-                                places.append((e, s, t))
-                    seen: set = set()
-                    for (e, s, t), term in zip(places, hash_of([text[s:t].lower() for _, s, t in places]).tolist() if places else [], strict=True):
-                        near.append({"entity": e, "term": term, "start": s, "stop": t, "first": (e, term) not in seen})
-                        seen.add((e, term))
+                    entities = sorted(set(hash_of([f"{k}:{text[a:b].lower()}" for k, a, b in spans]).tolist()))
+                    found = terms_of(text, spans)
+                    terms = [{"term": t, "places": [{"start": a, "stop": b} for a, b in at]} for t, at in zip(hash_of(list(found)).tolist() if found else [], found.values(), strict=True)]
                 n = [sum(s[0] == k for s in spans) for k in PII_KINDS]
-                rows.append((key, code, *n, digest(spans), joined(spans), near, entities))
+                rows.append((key, code, *n, digest(spans), joined(spans), terms, entities))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _BASE, strict=True)] if rows else [pa.array([], f.type) for f in _BASE], schema=_BASE)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_or_empty()).alias("digest"), text_or_empty().alias("text"))
     return rows.mapInArrow(run, _BASE_SQL)
 
 
+def trimmed_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words without punctuation at their ends, and each text's first place among them."""
+    start, end, _ = word_bounds(data, offsets)
+    here, edge = np.arange(len(data)), _EDGE_MAP[data]
+    first = np.minimum.accumulate(np.where(edge, len(data), here)[::-1])[::-1][start]
+    stop = np.maximum.accumulate(np.where(edge, -1, here))[end - 1] + 1
+    some = first < np.minimum(stop, end)
+    start, end = first[some], stop[some]
+    return word_hashes(data, start, end), np.searchsorted(start, offsets)
+
+
 def term_frequency(docs: DataFrame) -> DataFrame:
     """In how many documents each word (lower case, without punctuation at its ends) occurs, by its hash."""
 
@@ -118,37 +120,54 @@ def term_frequency(docs: DataFrame) -> DataFrame:
             data, offsets = strings(batch.column(0))
             parts = []
             for i, j in pieces(offsets, _CHUNK):
-                words, at = text_words(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                words, at = trimmed_words(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
                 parts.append(distinct(words, at)[0])
             terms, n = np.unique(np.concatenate(parts), return_counts=True) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
             yield pa.RecordBatch.from_pydict({"term": pa.array(terms.view(np.int64), pa.int64()), "n": pa.array(n.astype(np.int32), pa.int32())})
 
-    # punctuation becomes white space, so that a word is hashed without it
-    plain = F.translate(F.lower(text_or_empty()), _EDGE, " " * len(_EDGE))
-    return docs.select(plain.alias("text")).mapInArrow(run, "term long, n int").groupBy("term").agg(F.sum("n").alias("f_term"))
+    return docs.select(F.lower(text_or_empty()).alias("text")).mapInArrow(run, "term long, n int").groupBy("term").agg(F.sum("n").alias("f_term"))
+
 
+def near_terms(base: DataFrame, single: DataFrame, terms: DataFrame, n_docs: int, threshold: float, prior: float) -> DataFrame:
+    """Entities and terms of every document, without the pairs that cannot reach the threshold.
 
-def revealing_terms(base: DataFrame, docs: DataFrame, n_docs: int, threshold: float, support: int) -> DataFrame:
+    Term and entity meet in ``f(e)`` documents at most, so a frequent term cannot reveal a rare entity. Only the
+    most frequent terms and entities are looked up; any other term may be as rare as need be, and any other
+    entity as frequent as the last one looked up.
+    """
+    words = terms.orderBy(F.desc("f_term"), "term").limit(BROADCAST_ROWS)
+    many = checkpointed(single.orderBy(F.desc("f_entity"), "entity").limit(BROADCAST_ROWS))
+    floor = many.agg(F.min("f_entity")).first()[0] or 0
+    rows = base.select("doc_id", "digest", F.explode("entities").alias("entity"), "terms").join(F.broadcast(many), "entity", "left")
+    rows = rows.select("doc_id", "digest", "entity", F.coalesce("f_entity", F.lit(floor)).alias("most"), F.posexplode("terms.term").alias("place", "term"))
+    rows = rows.join(F.broadcast(words), "term", "left")
+    known = F.col("most") / F.lit(float(n_docs))
+    least = F.coalesce("f_term", F.lit(0)) + F.lit(prior)
+    return rows.where(least * F.pow(known, F.lit(1 - threshold)) <= (F.col("most") + F.lit(prior) * known) * (1 + 1e-9)).select("doc_id", "digest", "entity", "place", "term")
+
+
+def revealing_terms(near: DataFrame, single: DataFrame, terms: DataFrame, n_docs: int, threshold: float, prior: float) -> DataFrame:
     """Pairs of entity and term whose mutual information reaches the threshold."""
-    both = base.select(F.explode("near").alias("x")).where("x.first").groupBy("x.entity", "x.term").agg(F.count(F.lit(1)).alias("f_both")).where(F.col("f_both") >= support)
-    single = base.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("f_entity"))
-    pairs = both.join(single, "entity").join(term_frequency(docs), "term")
-    n = F.lit(float(n_docs))
-    pmi = F.log2(n * F.col("f_both") / (F.col("f_term") * F.col("f_entity")))
-    own = F.log2(n / F.col("f_entity"))
-    return pairs.where((own > 0) & (pmi >= F.lit(threshold) * own)).select("entity", "term")
+    both = near.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("f_both"))
+    # a term that stands beside a fixed span is not always a word of its own in the corpus
+    pairs = both.join(small(single), "entity").join(terms, "term", "left").withColumn("f_term", F.greatest("f_term", "f_both"))
+    known = F.col("f_entity") / F.lit(float(n_docs))
+    pmi = F.log2((F.col("f_both") + F.lit(prior) * known) / ((F.col("f_term") + F.lit(prior)) * known))
+    return pairs.where((known < 1) & (pmi >= F.lit(threshold) * -F.log2(known))).select("entity", "term")
 
 
-def scan_personal(docs: DataFrame, *, window: int = WINDOW, threshold: float = THRESHOLD, support: int = SUPPORT) -> DataFrame:
+def scan_personal(docs: DataFrame, *, threshold: float = THRESHOLD, prior: float = PRIOR) -> DataFrame:
     """doc_id, digest of the text, counts, base_sha256, base spans and the added spans as start-stop pairs."""
-    base = checkpointed(scan_base(docs, window))
-    pairs = small(checkpointed(revealing_terms(base, docs, base.count(), threshold, support)))
-    near = base.select("doc_id", "digest", F.explode("near").alias("x")).select("doc_id", "digest", F.col("x.entity").alias("entity"), F.col("x.term").alias("term"), F.col("x.start").alias("start"), F.col("x.stop").alias("stop"))
-    added = near.join(pairs, ["entity", "term"]).select("doc_id", "digest", "start", "stop").distinct()
-    added = added.groupBy("doc_id", "digest").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("added"))
+    base = checkpointed(scan_base(docs))
+    single = base.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("f_entity"))
+    terms, n_docs = checkpointed(term_frequency(docs)), base.count()
+    near = near_terms(base, single, terms, n_docs, threshold, prior)
+    pairs = small(checkpointed(revealing_terms(near, single, terms, n_docs, threshold, prior)))
+    added = near.join(pairs, ["entity", "term"]).groupBy("doc_id", "digest").agg(F.collect_set("place").alias("places"))
     added = added.withColumnsRenamed({"doc_id": "_id", "digest": "_digest"})
     out = base.join(added, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")), "left")
-    return out.select("doc_id", "digest", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "base", "added")
+    spans = F.sort_array(F.flatten(F.transform("places", lambda k: F.col("terms")[k]["places"])))
+    return out.select("doc_id", "digest", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "base", spans.alias("added"))
 
 
 def spans_column(base: str = "base", added: str = "added"):

@@ -94,6 +94,18 @@ def test_terms_that_reveal_an_entity(make):
     assert "zorblax" not in clean[0] and "@" not in clean[0] and clean[100] == rows[6][1]
 
 
+def test_terms_far_from_an_entity_and_of_rare_entities(make):
+    prose = "please ask someone of the office today about the number and more "
+    rows = [(i, prose * 2) for i in range(300)]
+    rows += [(1000, f"{prose} O'Neil and Jean-Luc {prose} mail one.two@mail.com, {prose} user47x; {prose} o'neil Qi")]
+    rows += [(2000 + i, f"{prose} Zorblax {prose} 10.1.2.3 {prose} zorblax") for i in range(2)]
+    got = {r["doc_id"]: r for r in disclosure.scan_personal(make(rows)).collect()}
+    words = {k: [t[x["start"] : x["stop"]] for x in got[k]["added"]] for k, t in rows[300:]}
+    assert words[1000] == ["O'Neil", "Jean-Luc", "mail", "user47x", "o'neil", "Qi"]
+    assert words[2000] == words[2001] == ["Zorblax", "zorblax"] and got[0]["added"] is None
+    assert not {"O'Neil", "Jean-Luc", "user47x", "Zorblax"} & set(" ".join(r["text"] for r in disclosure.sanitise(make(rows)).collect()).split())
+
+
 def test_term_frequency_counts_documents(make):
     rows = [(1, "one two two, three"), (2, "Two. four"), (3, None)]
     got = {r["term"]: r["f_term"] for r in disclosure.term_frequency(make(rows)).collect()}

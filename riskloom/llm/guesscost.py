@@ -5,7 +5,8 @@ brute-force characters, in decimal logarithms of guesses, found by dynamic progr
 the value. A value that no cheap reading explains is reported as a span of kind ``guess``.
 
 Defined results: null counts as an empty text, which has no spans; equal rows give equal results; a span
-of the fixed patterns always stays, and an added span never overlaps one; other columns are ignored.
+of the fixed patterns always stays, and an added span may overlap one but is never wholly inside it; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -100,7 +101,7 @@ def find(text: str, min_cost: float = MIN_COST) -> tuple[list, list, float]:
             cost = guess_cost(value, known)
             top = max(top, cost)
             a, b = m.start(1), m.start(1) + len(value)
-            if cost >= min_cost and not any(a < e and s < b for _, s, e in base):
+            if cost >= min_cost and not any(s <= a and b <= e for _, s, e in base):
                 added.append(("guess", a, b))
     return base, added, top
 

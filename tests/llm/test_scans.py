@@ -81,6 +81,13 @@ def test_strong_values_in_context_are_added():
     assert [k for k, _, _ in base] == ["assign"]
 
 
+def test_values_longer_than_their_fixed_span_are_added():
+    text = "password: Abcd1234!Xy9#q and token=Abcd1234Xy9kq"
+    base, added, _ = guesscost.find(text)
+    assert [text[a:b] for _, a, b in base] == ["password: Abcd1234", "token=Abcd1234Xy9kq"]
+    assert [text[a:b] for _, a, b in added] == ["Abcd1234!Xy9#q"]
+
+
 def test_terms_that_reveal_an_entity(make):
     rows = [(i, f"please ask zorblax of mail one.two@mail.com today number {i}") for i in range(6)]
     rows += [(100 + i, "please ask someone of the office today about the number and more") for i in range(60)]

@@ -2,7 +2,9 @@
 
 The guess cost of a value is the cheapest way to write it as words, dates, repeats, keyboard walks and
 brute-force characters, in decimal logarithms of guesses, found by dynamic programming over the end of
-the value. A value that no cheap reading explains is reported as a span of kind ``guess``.
+the value. A value that no cheap reading explains is reported as a span of kind ``guess``. Words are the
+frequent words of passwords, words that occur twice in the same text, and the words of the corpus, ranked by
+the number of documents that hold them.
 
 Defined results: null counts as an empty text, which has no spans; equal rows give equal results; a span
 of the fixed patterns always stays, and an added span may overlap one but is never wholly inside it; other
@@ -13,7 +15,8 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Collection
+from collections import Counter
+from collections.abc import Collection, Mapping
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,6 +24,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm.common import slices
 from riskloom.llm.spans import SECRET_KINDS, digest, joined, ordered, secrets
+from riskloom.session import checkpointed
 
 # fixed values: frequent words of passwords, most frequent first
 WORDS = """password admin welcome login letmein monkey dragon master secret football baseball shadow sunshine princess
@@ -30,6 +34,10 @@ KEY_ROWS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./", "abc
 KINDS = (*SECRET_KINDS, "guess")
 MIN_COST, MIN_LENGTH = 10.0, 8
 LONGEST_WORD = 32
+# a corpus word holds this share of all pairs of document and word (so there are at most 500,000) and is in this many documents
+WORD_SHARE, WORD_DOCS = 2e-6, 3
+_COUNTED = 500_000
+_LETTERS = re.compile(r"[^\W\d_]{3,}")
 
 _CONTEXT = re.compile(
     r"""(?<![A-Za-z])(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|(?:access|private|auth)[_-]?key|credentials?|authorization|bearer|login|pin)"""
@@ -46,9 +54,10 @@ def char_cost(c: str) -> float:
     return math.log10(10 if c.isdigit() else 26 if c.isalpha() and c.isascii() else 33 if c.isascii() else 100)
 
 
-def guess_cost(value: str, known: Collection[str] = ()) -> float:
-    """Decimal logarithm of the guesses of the cheapest segmentation; ``known``: words that are free to look up nearby."""
-    n, low = len(value), value.lower()
+def guess_cost(value: str, known: Collection[str] = (), ranks: Mapping[str, int] | None = None) -> float:
+    """Decimal logarithm of the guesses of the cheapest segmentation; ``known``: words that are free to look up nearby; ``ranks``: of corpus words."""
+    n, low, ranks = len(value), value.lower(), ranks or {}
+    lower = low if len(low) == n else "".join(c.lower() if len(c.lower()) == 1 else c for c in value)
     best = [0.0] + [math.inf] * n
     same = {}  # same[u][j]: characters from j on that equal the one u places later
     for unit in range(1, min(8, n // 2) + 1):
@@ -56,34 +65,67 @@ def guess_cost(value: str, known: Collection[str] = ()) -> float:
         for j in range(n - unit - 1, -1, -1):
             run[j] = run[j + 1] + 1 if value[j] == value[j + unit] else 0
         same[unit] = run
+    anchor: dict[tuple[int, int], int] = {}  # the last start tried, by unit and place modulo the unit
     for j in range(n):
         here = best[j]
         # a brute-force span grows one character at a time
         best[j + 1] = min(best[j + 1], here + char_cost(value[j]))
         for k in range(j + 3, min(n, j + LONGEST_WORD) + 1):
-            part = low[j:k]
-            rank = _RANK.get(part) or (len(_RANK) + len(known) + 1 if part in known else 0)
-            if rank:
+            part = lower[j:k]
+            rank = min(_RANK.get(part, math.inf), ranks.get(part, math.inf), len(_RANK) + len(known) + 1 if part in known else math.inf)
+            if rank < math.inf:
                 case = 0 if value[j:k] == part else 1
                 best[k] = min(best[k], here + math.log10(rank + 1) + case * math.log10(2 * (k - j)))
-        if m := _DATE.match(value, j):
-            for k in {m.end(), j + 4} if m.end() - j >= 4 else {m.end()}:
+        if value[j].isdigit():
+            for k in range(j + 4, min(n, j + 10) + 1):
                 if _DATE.fullmatch(value, j, k):
                     best[k] = min(best[k], here + math.log10(365 * 120 if k - j > 4 else 365))
         k = j + 1
-        while k < n and (low[k - 1], low[k]) in _NEXT:
+        while k < n and (lower[k - 1], lower[k]) in _NEXT:
             k += 1
             if k - j >= 3:
                 best[k] = min(best[k], here + math.log10(47 * 2 * (k - j)))
         for unit in range(1, min(8, (n - j) // 2) + 1):
-            # a repeat is read as far as it goes
-            if (times := same[unit][j] // unit + 1) > 1:
+            if same[unit][j] < unit:
+                continue
+            # a start inside a run adds nothing where the earlier one gives every later repeat at no more
+            first = anchor.get((unit, j % unit))
+            if first is not None and same[unit][first] >= j - first and here >= best[first] + math.log10(((j - first) // unit + 2) / 2):
+                continue
+            anchor[unit, j % unit] = j
+            cost = here + sum(map(char_cost, value[j : j + unit]))
+            for times in range(2, same[unit][j] // unit + 2):
                 k = j + unit * times
-                best[k] = min(best[k], here + sum(map(char_cost, value[j : j + unit])) + math.log10(times))
+                best[k] = min(best[k], cost + math.log10(times))
     return best[n]
 
 
-def find(text: str, min_cost: float = MIN_COST) -> tuple[list, list, float]:
+def lexicon(docs: DataFrame, *, share: float = WORD_SHARE, least: int = WORD_DOCS) -> dict[str, int]:
+    """The rank of every corpus word by the number of documents that hold it, ties by the word."""
+
+    def run(batches):
+        seen: Counter[str] = Counter()
+
+        def out():
+            return pa.RecordBatch.from_pydict({"word": pa.array(seen.keys(), pa.string()), "n": pa.array(seen.values(), pa.int64())})
+
+        for batch in (part for whole in batches for part in slices(whole)):
+            for text in batch.column(0).to_pylist():
+                seen.update({w for w in _LETTERS.findall(text.lower()) if len(w) <= LONGEST_WORD})
+            if len(seen) > _COUNTED:
+                yield out()
+                seen.clear()
+        yield out()
+
+    counts = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, "word string, n long")
+    counts = checkpointed(counts.groupBy("word").agg(F.sum("n").alias("n")))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    rows = counts.where(F.col("n") >= max(float(least), share * total)).toArrow()
+    order = sorted(zip(rows.column("n").to_pylist(), rows.column("word").to_pylist(), strict=True), key=lambda x: (-x[0], x[1]))
+    return {w: i + 1 for i, (_, w) in enumerate(order)}
+
+
+def find(text: str, min_cost: float = MIN_COST, ranks: Mapping[str, int] | None = None) -> tuple[list, list, float]:
     """Fixed spans, added spans and the highest guess cost of any value in a credential context."""
     base, added, top = secrets(text), [], 0.0
     low = text.lower()
@@ -96,9 +138,9 @@ def find(text: str, min_cost: float = MIN_COST) -> tuple[list, list, float]:
             if known is None:
                 seen: set[str] = set()
                 known = set()
-                for w in re.findall(r"[^\W\d_]{3,}", low):
+                for w in _LETTERS.findall(low):
                     (known if w in seen else seen).add(w)
-            cost = guess_cost(value, known)
+            cost = guess_cost(value, known, ranks)
             top = max(top, cost)
             a, b = m.start(1), m.start(1) + len(value)
             if cost >= min_cost and not any(s <= a and b <= e for _, s, e in base):
@@ -112,12 +154,14 @@ _ARROW = pa.schema([("doc_id", pa.int64()), *[(c, pa.int64()) for c in ("n_assig
 
 def scan_secrets(docs: DataFrame, *, min_cost: float = MIN_COST) -> DataFrame:
     """One row per document with the counts and spans of its secrets."""
+    words = docs.sparkSession.sparkContext.broadcast(lexicon(docs))
 
     def run(batches):
+        ranks = words.value
         for batch in (part for whole in batches for part in slices(whole)):
             rows = []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                base, added, top = find(text, min_cost)
+                base, added, top = find(text, min_cost, ranks)
                 n = [sum(s[0] == k for s in base) for k in SECRET_KINDS]
                 rows.append((key, *n, digest(base), joined(ordered([*base, *added], KINDS)), len(added), top))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _ARROW, strict=True)] if rows else [pa.array([], f.type) for f in _ARROW], schema=_ARROW)

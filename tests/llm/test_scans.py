@@ -74,6 +74,22 @@ def test_guess_cost_is_the_cheapest_segmentation():
         assert best - 1e-9 <= got <= best + 1.5, value
 
 
+def test_guess_cost_equals_the_cheapest_segmentation():
+    rng = random.Random(4)
+    parts = ["pass", "test", "qwe", "123", "aa", "abab", "2021", "X", "9", "k!", "1111", "xyx", "ab"]
+    values = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 4)))[:10] for _ in range(60)]
+    for value in [*values, "aaab", "aaaapass", "1111112021", "abababc"]:
+        assert abs(guesscost.guess_cost(value) - every_segmentation(value)) < 1e-9, value
+
+
+def test_ordinary_words_of_the_corpus_are_no_secrets(make):
+    rows = [(i, "the answer was incorrect and patience is mandatory") for i in range(5)]
+    rows += [(10, "the password is incorrect"), (11, "secret is patience"), (12, "authorization: mandatory"), (13, "password is Zx8!kQ2vLp0w")]
+    got = {r["doc_id"]: r for r in guesscost.scan_secrets(make(rows)).collect()}
+    assert [got[k]["n_guess"] for k in (10, 11, 12, 13)] == [0, 0, 0, 1]
+    assert guesscost.lexicon(make(rows))["incorrect"] == 1 and "password" not in guesscost.lexicon(make(rows))
+
+
 def test_strong_values_in_context_are_added():
     text = "login: hunter2 then bearer: Zx8!kQ2vLp0w and secret = 'abcdefgh12345678'; pwd: aaaaaaaaaaaa"
     base, added, _ = guesscost.find(text)

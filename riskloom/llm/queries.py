@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import chosenpath, disclosure, divergence, guesscost, imatch, languages, packing, pareto, suffixes, tokenfile
+from riskloom.llm import chosenpath, disclosure, divergence, guesscost, imatch, languages, merkle, packing, pareto, repair, sql, suffixes, tokenfile
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -81,3 +81,13 @@ def op8(spark, folder):
 @query("op5_divergence_quality")
 def op5(spark, folder):
     return divergence.judge(documents(spark, folder))
+
+
+@query("op13_persistent_audit_repair", sql.REPAIR)
+def op13(spark, folder):
+    return repair.repair(spark.read.parquet(f"{folder}/conversations.parquet"))
+
+
+@query("op12_path_copying_manifest", sql.MANIFEST)
+def op12(spark, folder):
+    return merkle.manifest(documents(spark, folder), merkle.tampered_leaf())

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import chosenpath, disclosure, divergence, guesscost, imatch, languages, merkle, packing, pareto, repair, sql, suffixes, tokenfile
+from riskloom.llm import chosenpath, disclosure, divergence, guesscost, hostpaths, imatch, languages, merkle, packing, pareto, repair, sql, suffixes, tokenfile
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -91,3 +91,8 @@ def op13(spark, folder):
 @query("op12_path_copying_manifest", sql.MANIFEST)
 def op12(spark, folder):
     return merkle.manifest(documents(spark, folder), merkle.tampered_leaf())
+
+
+@query("op11_consensus_host_paths", sql.MAIN_TEXT)
+def op11(spark, folder):
+    return hostpaths.main_text(spark.read.parquet(f"{folder}/pages.parquet")).select("page_id", "url", "text", "n_chars")

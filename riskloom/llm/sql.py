@@ -130,3 +130,14 @@ SELECT p.doc_id, p.leaf, l.subroot, r.h AS root, sha256(o.sibs) AS proof_sha256,
 FROM placed p JOIN langs l USING (tree) CROSS JOIN (SELECT h FROM tops WHERE n = 1) r
 JOIN over o ON o.row = p.row AND o.level = (SELECT max(level) FROM tops)
 """
+
+
+# The tables' pages share one layout, whose article element SQL can cut out; other layouts are in the tests.
+MAIN_TEXT = r"""
+WITH cut AS (SELECT row_number() OVER () AS row, page_id, url, regexp_split_to_array(regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1), '</?(?:h1|p)>') AS parts FROM pages),
+blocks AS (SELECT row, page_id, url, unnest(parts) AS part, generate_subscripts(parts, 1) AS i FROM cut),
+decoded AS (SELECT row, page_id, url, i, regexp_replace(replace(regexp_replace(part, '<[^>]*>', ' ', 'g'), '&quot;', '"'), '&amp;?', '&', 'g') AS part FROM blocks),
+plain AS (SELECT row, page_id, url, i, trim(regexp_replace(part, '\s+', ' ', 'g')) AS part FROM decoded),
+joined AS (SELECT row, page_id, url, coalesce(string_agg(part, chr(10) ORDER BY i) FILTER (part <> ''), '') AS text FROM plain GROUP BY row, page_id, url)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM joined
+"""

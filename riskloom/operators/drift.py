@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.operators.prefix import ROWS_PER_BUCKET, exact_quantiles, running_totals
+from riskloom.operators.prefix import ROWS_PER_BUCKET, running_totals
+from riskloom.operators.quantiles import exact_quantiles
 from riskloom.operators.profile import frequencies
 
 # Share used for an empty bin in the stability index, and the drift limits.

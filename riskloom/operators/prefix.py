@@ -1,4 +1,4 @@
-"""Running sums, order statistics and empirical distributions over whole tables.
+"""Running sums, positions and empirical distributions over whole tables.
 
 None of these may sort a table in one task. Values are cut into contiguous buckets at approximate
 quantiles; each bucket is ranked on its own and shifted by the totals of the buckets before it.
@@ -19,8 +19,6 @@ from riskloom.session import checkpointed
 
 ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 10_000
-# Up to this many rows an exact percentile may be computed by one aggregate.
-SMALL_TABLE = 1_000_000
 
 
 def value_splits(df: DataFrame, value: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> list[float]:
@@ -156,133 +154,3 @@ def empirical_cdf(df: DataFrame, value: str, by: Sequence[str] = (), rows_per_bu
         F.try_divide(F.col("cum_n") - F.col("n"), span).alias("cdf_low"),
         F.try_divide(F.col("cum_n") - F.lit(1), span).alias("cdf_high"),
     )
-
-
-# -- exact quantiles ------------------------------------------------------------------------------
-
-
-def exact_quantiles(
-    df: DataFrame, cs: Sequence[str], probs: Sequence[float], small: int = SMALL_TABLE, accuracy: int = 10_000
-) -> dict[str, list[float | None]]:
-    """Linearly interpolated quantiles of many columns, without sorting or shuffling rows.
-
-    A small table (by its counted size) uses the exact aggregate. A large one narrows a bracket
-    around every wanted rank: each pass takes approximate quantiles inside the bracket and counts
-    the rows below it, until the few values left in the brackets can be counted exactly. Each pass
-    shrinks a bracket about ``accuracy`` / 4 times, so two or three scans do.
-    """
-    cs = list(cs)
-    if not cs:
-        return {}
-    counted = df.selectExpr("count(*) AS n", *[f"count(`{c}`) AS c{i}" for i, c in enumerate(cs)]).first()
-    if counted["n"] <= small:
-        at_probs = "array(" + ", ".join(f"{float(p)!r}D" for p in probs) + ")"
-        row = df.selectExpr(*[f"percentile(cast(`{c}` as double), {at_probs}) AS q{i}" for i, c in enumerate(cs)]).first()
-        return {c: list(row[f"q{i}"]) if row[f"q{i}"] is not None else [None] * len(probs) for i, c in enumerate(cs)}
-
-    numbers = df.selectExpr(*[f"cast(`{c}` as double) AS c{i}" for i, c in enumerate(cs)])
-    wanted: dict[tuple[int, int], None] = {}
-    for i in range(len(cs)):
-        n = counted[f"c{i}"]
-        for p in probs if n else ():
-            at = p * (n - 1)
-            wanted[i, math.floor(at)] = None
-            wanted[i, math.ceil(at)] = None
-    values = _order_statistics(numbers, list(wanted), small, accuracy)
-    out: dict[str, list[float | None]] = {}
-    for i, c in enumerate(cs):
-        n = counted[f"c{i}"]
-        res: list[float | None] = []
-        for p in probs:
-            if not n:
-                res.append(None)
-                continue
-            at = p * (n - 1)
-            lo, hi = values[i, math.floor(at)], values[i, math.ceil(at)]
-            res.append(lo + (hi - lo) * (at - math.floor(at)))
-        out[c] = res
-    return out
-
-
-def _order_statistics(numbers: DataFrame, ranks: list[tuple[int, int]], small: int, accuracy: int) -> dict:
-    """Value at each (column, zero-based rank)."""
-    limit = max(1, min(20_000, small // 10))
-    inf = float("inf")
-    bracket = {r: (-inf, inf) for r in ranks}
-    done: dict[tuple[int, int], float] = {}
-    while True:
-        open_ranks = [r for r in ranks if r not in done]
-        if not open_ranks:
-            return done
-        stats = []
-        for j, (i, _) in enumerate(open_ranks):
-            x, (low, high) = F.col(f"c{i}"), bracket[open_ranks[j]]
-            inside = (x >= low) & (x <= high)
-            stats += [
-                F.count(F.when(x < low, x)).alias(f"b{j}"),
-                F.count(F.when(inside, x)).alias(f"m{j}"),
-                F.min(F.when(inside, x)).alias(f"lo{j}"),
-                F.max(F.when(inside, x)).alias(f"hi{j}"),
-            ]
-        seen = numbers.agg(*stats).first()
-        to_read, to_narrow = [], []
-        for j, r in enumerate(open_ranks):
-            if seen[f"lo{j}"] == seen[f"hi{j}"]:
-                done[r] = seen[f"lo{j}"]
-            elif seen[f"m{j}"] <= limit:
-                to_read.append((j, r))
-            else:
-                to_narrow.append((j, r))
-        if to_read:
-            cells = F.array(
-                *[
-                    F.when((F.col(f"c{r[0]}") >= bracket[r][0]) & (F.col(f"c{r[0]}") <= bracket[r][1]),
-                           F.struct(F.lit(j).alias("j"), F.col(f"c{r[0]}").alias("x")))
-                    for j, r in to_read
-                ]
-            )
-            rows = (
-                numbers.select(F.explode(F.filter(cells, lambda e: e.isNotNull())).alias("e"))
-                .groupBy("e.j", "e.x")
-                .count()
-                .collect()  # at most ``limit`` counted rows per open bracket
-            )
-            found: dict[int, list[tuple[float, int]]] = {}
-            for row in rows:
-                found.setdefault(row["j"], []).append((row["x"], row["count"]))
-            for j, r in to_read:
-                at = seen[f"b{j}"]
-                for x, n in sorted(found[j]):
-                    at += n
-                    if at > r[1]:
-                        done[r] = x
-                        break
-        if to_narrow:
-            sketches = []
-            for j, r in to_narrow:
-                x, (low, high) = F.col(f"c{r[0]}"), bracket[r]
-                p = (r[1] - seen[f"b{j}"]) / max(1, seen[f"m{j}"] - 1)
-                step = 2.0 / accuracy
-                sketches.append(
-                    F.percentile_approx(
-                        F.when((x >= low) & (x <= high), x), [max(0.0, p - step), min(1.0, p + step)], accuracy
-                    ).alias(f"s{j}")
-                )
-            narrowed = numbers.agg(*sketches).first()
-            checks = []
-            for j, r in to_narrow:
-                x, (low, high) = F.col(f"c{r[0]}"), narrowed[f"s{j}"]
-                checks += [F.count(F.when(x < low, x)).alias(f"b{j}"), F.count(F.when(x <= high, x)).alias(f"u{j}")]
-            verified = numbers.agg(*checks).first()
-            for j, r in to_narrow:
-                low, high = narrowed[f"s{j}"]
-                if verified[f"b{j}"] <= r[1] < verified[f"u{j}"] and (low, high) != (seen[f"lo{j}"], seen[f"hi{j}"]):
-                    bracket[r] = (low, high)
-                elif verified[f"b{j}"] > r[1]:
-                    bracket[r] = (bracket[r][0], low)
-                elif verified[f"u{j}"] <= r[1]:
-                    bracket[r] = (high, bracket[r][1])
-                else:  # the sketch kept the whole bracket: halve the value range instead
-                    mid = (low + high) / 2.0
-                    below = numbers.filter(F.col(f"c{r[0]}") <= mid).count()
-                    bracket[r] = (low, mid) if below > r[1] else (math.nextafter(mid, inf), high)

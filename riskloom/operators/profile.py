@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.functions.columns import numeric_columns, split_by_kind
-from riskloom.operators.prefix import exact_quantiles
+from riskloom.operators.quantiles import exact_quantiles
 
 # The percentiles printed when none are asked for.
 DEFAULT_PERCENTILES = [0, 25, 50, 75, 90, 92, 94, 96, 98, 100]

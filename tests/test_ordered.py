@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from riskloom.functions.columns import nan_to_null
 from riskloom.operators import ordered as O
 from riskloom.operators import prefix as P
+from riskloom.operators import quantiles as Q
 from riskloom.operators.sampling import stratified_folds, stratified_sample, train_validation_split
 
 
@@ -63,17 +64,39 @@ def test_ewm_needs_an_order(spark):
         O.ewm_mean(spark.range(1), ["id"], ["id"], [], 0.5)
 
 
-@pytest.mark.parametrize("small", [10_000, 50])
-def test_exact_quantiles(spark, history, small):
+@pytest.mark.parametrize("sample_rows", [10_000, 50])
+def test_exact_quantiles(spark, history, sample_rows):
     df = nan_to_null(spark.createDataFrame(history)).withColumn("same", F.lit(4.0)).withColumn(
         "hot", F.when(F.col("o") % 3 == 0, F.lit(7.0)).otherwise(F.col("x"))
     ).withColumn("none", F.lit(None).cast("double"))
     probs = [0.0, 0.1, 0.25, 0.5, 0.99, 1.0]
-    got = P.exact_quantiles(df, ["x", "y", "o", "same", "hot", "none"], probs, small=small, accuracy=100)
+    got = Q.exact_quantiles(df, ["x", "y", "o", "same", "hot", "none"], probs, sample_rows)
     assert got["none"] == [None] * len(probs)
     pdf = df.toPandas()
     for c in ("x", "y", "o", "same", "hot"):
         assert got[c] == pytest.approx(list(np.nanpercentile(pdf[c].astype(float), [100 * p for p in probs])), abs=1e-9)
+    assert Q.exact_quantiles(df.limit(0), ["x"], [0.5]) == {"x": [None]}
+
+
+def test_a_rank_outside_its_bracket_is_found_again(spark, history, monkeypatch):
+    monkeypatch.setattr(Q, "REACH", 0.01)
+    df = spark.createDataFrame(history)
+    want = np.percentile(history.o, [25, 50, 75])
+    assert Q.exact_quantiles(df, ["o"], [0.25, 0.5, 0.75], 5)["o"] == pytest.approx(list(want))
+
+
+def test_quantiles_of_1500_columns(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    pdf = pd.DataFrame(np.round(rng.normal(size=(600, 1500)) * 50), columns=[f"c{i}" for i in range(1500)])
+    pdf = pdf.mask(rng.random(pdf.shape) < 0.1)
+    pdf["c7"] = np.nan
+    folder = f"{tmp_path}/wide"
+    nan_to_null(spark.createDataFrame(pdf)).repartition(4).write.mode("overwrite").parquet(folder)
+    df = spark.read.parquet(folder)
+    for rows in (100, 100_000):
+        got = Q.exact_quantiles(df, list(pdf.columns), [0.5], rows)
+        assert got["c7"] == [None]
+        assert all(got[c][0] == np.nanmedian(pdf[c]) for c in pdf.columns if c != "c7")
 
 
 @pytest.mark.parametrize("rows_per_bucket", [10**6, 97])

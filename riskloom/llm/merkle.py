@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.llm.common import small
 from riskloom.operators.prefix import range_positions
 from riskloom.session import checkpointed
 
@@ -143,7 +144,7 @@ def _climb(nodes: DataFrame, versions: DataFrame, block: int) -> tuple[DataFrame
         versions = checkpointed(versions)
         above = first.join(own.withColumnRenamed("rank", "at"), ["tree", "at"])
         first = checkpointed(above.select("tree", "rank", F.floor(F.col("at") / block).alias("at"), F.concat("path", "more").alias("path")))
-        nodes = made.where("place = -1").select("tree", F.col("block").alias("rank"), "top").join(sizes, "tree")
+        nodes = made.where("place = -1").select("tree", F.col("block").alias("rank"), "top").join(small(sizes), "tree")
     return nodes, versions, first.select("tree", "rank", "path")
 
 
@@ -186,10 +187,11 @@ def manifest(docs: DataFrame, tampered: Column | None = None, *, block: int = BL
     leaves = range_positions(leaves, ["tree"], ["doc_id", "top"]).withColumn("block", F.floor(F.col("rank") / block))
     leaves = checkpointed(leaves.select("doc_id", "tree", "top", F.when(F.col("changed") != F.col("top"), F.col("changed")).alias("changed"), "rank", "block"))
     sizes = leaves.groupBy("tree").agg(F.count(F.lit(1)).alias("n"))
-    leaves = leaves.join(sizes, "tree")
+    # never dealt by tree alone, which may hold most rows: blocks are dealt by (tree, block)
+    leaves = leaves.join(small(sizes), "tree")
     made = checkpointed(leaves.groupBy("tree", "block").applyInArrow(_tops(block), NODES))
     tops = made.where("place = -1").select("tree", F.col("block").alias("rank"), "top")
-    nodes = tops.join(tops.groupBy("tree").agg(F.count(F.lit(1)).alias("n")), "tree")
+    nodes = tops.join(small(tops.groupBy("tree").agg(F.count(F.lit(1)).alias("n"))), "tree")
     versions = made.where("place >= 0").select("tree", F.col("block").alias("rank"), "top", "block", "place", F.col("tree").alias("own"))
     subroots, versions, paths = _climb(nodes, versions, block)
     subroots = checkpointed(subroots.select("tree", F.col("top").alias("subroot")))
@@ -197,10 +199,10 @@ def manifest(docs: DataFrame, tampered: Column | None = None, *, block: int = BL
     ranked = checkpointed(range_positions(subroots.withColumn("all", F.lit("")), ["all"], ["tree"]))
     count = ranked.count()
     nodes = ranked.select(F.col("all").alias("tree"), "rank", F.lit(count).cast("long").alias("n"), F.col("subroot").alias("top"))
-    versions = versions.drop("rank", "tree").join(ranked.select(F.col("tree").alias("own"), F.col("all").alias("tree"), "rank"), "own")
+    versions = versions.drop("rank", "tree").join(small(ranked.select(F.col("tree").alias("own"), F.col("all").alias("tree"), "rank")), "own")
     root, versions, upper = _climb(nodes, versions, block)
     upper = ranked.join(upper.select("rank", F.col("path").alias("more")), "rank").crossJoin(F.broadcast(root.select(F.col("top").alias("root"))))  # one row
-    paths = paths.join(upper.select("tree", "subroot", "root", "more"), "tree")
+    paths = paths.join(small(upper.select("tree", "subroot", "root", "more")), "tree")
     above = paths.select("tree", F.col("rank").alias("block"), F.lit(-1).alias("place"), F.lit(None).cast("string").alias("top"), F.concat("path", "more").alias("path"), "subroot", "root")
     changed = versions.select(F.col("own").alias("tree"), "block", "place", "top", F.lit(None).cast("array<string>").alias("path"), *[F.lit(None).cast("string").alias(c) for c in ("subroot", "root")])
     both = above.unionByName(changed)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.columns import recode
 from riskloom.operators.aggregate import BROADCAST_ROWS, sort_position
+from riskloom.operators.moments import column_moments
 from riskloom.operators.prefix import range_positions
 from riskloom.session import checkpointed
 
@@ -102,8 +103,7 @@ def response_encode(fit: DataFrame, apply_to: Sequence[DataFrame], cs: Sequence[
 
 def fit_standard(df: DataFrame, cs: Sequence[str]) -> dict[str, tuple[float, float]]:
     """Mean and population deviation of each column (deviation 1 for a constant column)."""
-    row = df.selectExpr(*[e for i, c in enumerate(cs) for e in (f"avg(`{c}`) AS a{i}", f"stddev_pop(`{c}`) AS s{i}")]).first()
-    return {c: (row[f"a{i}"], row[f"s{i}"] or 1.0) for i, c in enumerate(cs) if row[f"a{i}"] is not None}
+    return {c: (m.mean, m.deviation or 1.0) for c, m in column_moments(df, cs).items() if m.present}
 
 
 def standard_scale(df: DataFrame, fitted: Mapping[str, tuple[float, float]]) -> DataFrame:

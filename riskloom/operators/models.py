@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from itertools import product
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import inheritable_thread_target
+from pyspark.ml import PipelineModel
 from pyspark.ml.base import Estimator, Model
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +23,7 @@ from riskloom.operators.sampling import stratified_folds, train_validation_split
 from riskloom.session import checkpointed
 
 FEATURES = "__features"
+CONCURRENT = 4  # fits at a time
 
 
 def assembler(features: Sequence[str]) -> VectorAssembler:
@@ -36,6 +39,24 @@ def as_features(df: DataFrame, features: Sequence[str], missing: float = MISSING
     return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(missing)) for c in features})
 
 
+HOLD = "__hold"
+
+
+def kept_vectors(df: DataFrame, features: Sequence[str], keep: Sequence[str], label: str | None = None) -> DataFrame:
+    """The kept columns and all features as one vector, assembled once and checkpointed.
+
+    Every fit reads this table: however many features there are, its plan has a handful of columns. With a
+    ``label``, rows without one are left out, the label becomes a double and a tenth of the rows, chosen by a
+    hash of their values, is marked as held out.
+    """
+    values = "array(" + ", ".join(f"coalesce(cast(`{c}` as double), {MISSING!r}D)" for c in features) + ")"
+    rows = df if label is None else df.filter(F.col(label).isNotNull())
+    kept = [f"cast(`{c}` as double) AS `{c}`" if c == label else f"`{c}`" for c in keep]
+    rows = rows.selectExpr(*kept, f"{values} AS __values")
+    marks = [] if label is None else [(F.pmod(F.xxhash64("__values", label), F.lit(10)) == 0).alias(HOLD)]
+    return checkpointed(rows.select(*keep, *marks, array_to_vector("__values").alias(FEATURES)))
+
+
 def balanced(df: DataFrame, label: str, weight: str = "__weight") -> DataFrame:
     """Balanced class weights as a column: two literals, no join."""
     table = {r[label]: r["weight"] for r in class_weights(df, label).collect()}  # one row per class
@@ -45,23 +66,33 @@ def balanced(df: DataFrame, label: str, weight: str = "__weight") -> DataFrame:
     return df.withColumn(weight, out if out is not None else F.lit(1.0))
 
 
-HOLD = "__hold"
+def scaled_vectors(vectors: DataFrame, fitted: Sequence[tuple[float, float]]) -> DataFrame:
+    """Vectors centred and scaled by a (mean, deviation) per feature, with 0 where a value is missing."""
+    means, devs = (F.array(*[F.lit(float(v)) for v in values]) for values in zip(*fitted, strict=True))
+    values = vector_to_array(FEATURES)
+    centred = F.zip_with(values, means, lambda x, m: F.when(x != F.lit(MISSING), x - m).otherwise(F.lit(0.0)))
+    scaled = F.zip_with(centred, devs, lambda x, d: x / d)
+    return checkpointed(vectors.withColumn(FEATURES, array_to_vector(scaled)))
 
 
-def fit(rows: DataFrame, features: Sequence[str], label: str, estimator: Estimator) -> PipelineModel:
-    """Fit on the feature columns. Boosting ends where a tenth of the rows, held out by a hash of their
-    values, stops gaining; a table so small that the tenth is empty is boosted for all rounds."""
+def fit_vectors(rows: DataFrame, features: Sequence[str], estimator: Estimator) -> PipelineModel:
+    """Fit on rows of ``kept_vectors``. Boosting ends where the held-out tenth stops gaining; a table so small
+    that the tenth is empty is boosted for all rounds. The result takes plain feature columns."""
     if isinstance(estimator, (GBTClassifier, GBTRegressor)) and estimator.isDefined(estimator.validationIndicatorCol):
-        rows = rows.withColumn(HOLD, F.pmod(F.xxhash64(*features, label), F.lit(10)) == 0)
-        if rows.filter(HOLD).limit(1).count() == 0 or rows.filter(~F.col(HOLD)).limit(1).count() == 0:
+        seen = rows.agg(F.count_if(HOLD).alias("held"), F.count_if(~F.col(HOLD)).alias("rest")).first()
+        if not seen["held"] or not seen["rest"]:
             estimator = estimator.copy()
             estimator.clear(estimator.validationIndicatorCol)
-    return Pipeline(stages=[assembler(features), estimator]).fit(rows)
+    return PipelineModel(stages=[assembler(features), estimator.fit(rows)])
+
+
+def fit(rows: DataFrame, features: Sequence[str], label: str, estimator: Estimator) -> PipelineModel:
+    return fit_vectors(kept_vectors(rows, features, [label], label), features, estimator)
 
 
 def fit_classifier(df: DataFrame, features: Sequence[str], label: str, estimator: Estimator) -> PipelineModel:
-    rows = as_features(df.filter(F.col(label).isNotNull()), features).withColumn(label, F.col(label).cast("double"))
-    return fit(rows, features, label, estimator)
+    """Fit on the feature columns; the column ``__weight`` (see ``balanced``) weighs the rows."""
+    return fit_vectors(kept_vectors(df, features, [label, "__weight"], label), features, estimator)
 
 
 def boosted_classifier(label: str, rounds: int = 10_000, depth: int = 5, rate: float = 0.1, seed: int = 0) -> GBTClassifier:
@@ -117,14 +148,24 @@ def importance(
 
     MLlib reports impurity gain for both model kinds (no split counts).
     """
-    df = checkpointed(df.select(key, label, *features))  # read by every run and every tree
+    return vector_importance(kept_vectors(df, features, [key, label], label), key, features, label, estimator, runs, seed)
+
+
+def vector_importance(
+    vectors: DataFrame, key: str, features: Sequence[str], label: str, estimator: Estimator, runs: int = 1, seed: int = 0
+) -> DataFrame:
+    """The same on rows of ``kept_vectors``, which several models may share."""
     total = [0.0] * len(features)
     for i in range(runs):
-        train, _ = train_validation_split(df, key, 0.25, seed + i)
-        model = fit_classifier(balanced(train, label), features, label, estimator)
+        train, _ = train_validation_split(vectors, key, 0.25, seed + i)
+        model = fit_vectors(balanced(train, label), features, estimator)
         values = model.stages[-1].featureImportances.toArray()
         total = [t + float(v) / runs for t, v in zip(total, values, strict=True)]
-    return df.sparkSession.createDataFrame(list(zip(features, total, strict=True)), "feature string, importance double")
+    return df_of(vectors, features, total)
+
+
+def df_of(like: DataFrame, features: Sequence[str], values: Sequence[float]) -> DataFrame:
+    return like.sparkSession.createDataFrame(list(zip(features, values, strict=True)), "feature string, importance double")
 
 
 def importance_boosted(df, key, features, label, runs: int = 1, seed: int = 0, **params) -> DataFrame:
@@ -157,8 +198,7 @@ def chained_model_impute(
     features = [c for c in numeric_columns(train, exclude) if c in shared and c not in set(targets)]
     for target in targets:
         known = train if target == targets[0] else tables[0]
-        rows = as_features(known.filter(F.col(target).isNotNull()), features).select(*features, F.col(target).cast("double").alias("__y"))
-        model = fit(checkpointed(rows), features, "__y", boosted_regressor("__y", rounds, depth, rate))
+        model = fit(known.withColumn("__y", F.col(target).cast("double")), features, "__y", boosted_regressor("__y", rounds, depth, rate))
         tables = [_fill_predicted(t, model, features, target) for t in tables]
         features = [*features, target]
     return tables
@@ -195,8 +235,8 @@ def expected_terms(
         )
 
     known = inputs(previous.select("AMT_CREDIT", "AMT_ANNUITY", "CNT_PAYMENT").dropna(), fill=False)
-    rows = as_features(known, features).withColumn("__y", F.col("CNT_PAYMENT").cast("double"))
-    model = fit(checkpointed(rows), features, "__y", boosted_regressor("__y", rounds, depth, rate, seed=125))
+    rows = known.withColumn("__y", F.col("CNT_PAYMENT").cast("double"))
+    model = fit(rows, features, "__y", boosted_regressor("__y", rounds, depth, rate, seed=125))
     return [
         model.transform(as_features(inputs(df, fill=True), features)).select(*df.columns, F.col("prediction").alias(name))
         for df in applications
@@ -206,8 +246,76 @@ def expected_terms(
 # -- validation ----------------------------------------------------------------------------------
 
 
+def concurrently(like: DataFrame, steps: Sequence[Callable[[], object]], workers: int = CONCURRENT) -> list:
+    """Results of driver steps that each submit Spark jobs, run a few at a time and given in their order.
+
+    Each worker has a scheduler pool, so that with fair scheduling the fits share the cluster and one
+    that waits for its driver leaves its cores to the others.
+    """
+    context = like.sparkSession.sparkContext
+
+    def in_pool(number: int, step: Callable[[], object]):
+        def run():
+            context.setLocalProperty("spark.scheduler.pool", f"fit-{number % workers}")
+            return step()
+
+        return inheritable_thread_target(run)
+
+    with ThreadPoolExecutor(workers) as pool:
+        return [f.result() for f in [pool.submit(in_pool(i, step)) for i, step in enumerate(steps)]]
+
+
 def with_folds(df: DataFrame, key: str, features: Sequence[str], label: str, folds: int, seed: int) -> DataFrame:
-    return checkpointed(stratified_folds(df.select(key, label, *features), label, key, folds, seed))
+    """Rows with their fold and the features as one vector, kept once for all fits and scores."""
+    spread = stratified_folds(df.select(key, label, *features).filter(F.col(label).isNotNull()), label, key, folds, seed)
+    return kept_vectors(spread, features, [key, label, "fold"], label)
+
+
+def fold_weights(spread: DataFrame, label: str, folds: int) -> list[dict[float, float]]:
+    """Balanced class weights of every fold's training rows, from one count (classes x folds rows)."""
+    counts = {(r["fold"], r[label]): r["count"] for r in spread.groupBy("fold", label).count().collect()}
+    out = []
+    for fold in range(folds):
+        per_class: dict[float, int] = {}
+        for (other, y), n in counts.items():
+            if other != fold:
+                per_class[y] = per_class.get(y, 0) + n
+        total = sum(per_class.values())
+        out.append({y: total / (len(per_class) * n) for y, n in per_class.items()})
+    return out
+
+
+def fold_measures(
+    spread: DataFrame, features: Sequence[str], label: str, makers: Mapping[str, Callable[[], Estimator]], folds: int, threshold: float
+) -> DataFrame:
+    """AUC, recall and precision of the train and test rows of every named estimator and fold.
+
+    All fits run on the one kept table, several at a time; then one job scores every row with every model
+    and measures all of them, so nothing but the models passes the driver.
+    """
+    weights = fold_weights(spread, label, folds)
+    context = [(name, make, fold) for name, make in makers.items() for fold in range(folds)]
+
+    def step(make: Callable[[], Estimator], fold: int):
+        weight = F.coalesce(*[F.when(F.col(label) == y, F.lit(w)) for y, w in weights[fold].items()], F.lit(1.0))
+        return lambda: fit_vectors(spread.filter(F.col("fold") != fold).withColumn("__weight", weight), features, make()).stages[-1]
+
+    models = concurrently(spread, [step(make, fold) for _, make, fold in context])
+    scored = None
+    for (name, _, fold), model in zip(context, models, strict=True):
+        part = F.when(F.col("fold") == fold, "test").otherwise("train")
+        rows = model.transform(spread).select(
+            F.lit(name).alias("model"), F.lit(fold).alias("round"), part.alias("part"), label, vector_to_array("probability")[1].alias("__proba")
+        )
+        scored = rows if scored is None else scored.unionByName(rows)
+    scored = checkpointed(scored)
+    guess = F.when(F.col("__proba") > threshold, 1).otherwise(0)
+    by = ["model", "round", "part"]
+    counts = scored.groupBy(*by).agg(
+        *[F.count_if((F.col(label) == y) & (guess == g)).alias(n) for n, y, g in (("tp", 1, 1), ("fp", 0, 1), ("fn", 1, 0), ("tn", 0, 0))]
+    )
+    rows = with_threshold_metrics(counts).join(ranking_metrics(scored, label, "__proba", by), by)
+    return rows.select(*by, "roc_auc", "recall", "precision")
 
 
 def cross_validate(
@@ -219,34 +327,13 @@ def cross_validate(
     folds: int = 10,
     threshold: float = 0.5,
     seed: int = 0,
-    spread: DataFrame | None = None,
 ) -> DataFrame:
-    """Stratified cross-validation: mean and population deviation of AUC, recall and precision.
-
-    Train and test rows of a fold are scored in one pass and measured side by side. The features with their
-    fold are kept once (or given as ``spread``), since every fit and every score reads them.
-    """
-    spread = with_folds(df, key, features, label, folds, seed) if spread is None else spread
-    results = None
-    for fold in range(folds):
-        model = fit_classifier(balanced(spread.filter(F.col("fold") != fold), label), features, label, estimator())
-        scored = probability(spread, model, features, "__proba").withColumn(
-            "part", F.when(F.col("fold") == fold, "test").otherwise("train")
-        )
-        guess = F.when(F.col("__proba") > threshold, 1).otherwise(0)
-        counts = scored.groupBy("part").agg(
-            F.count(F.when((F.col(label) == 1) & (guess == 1), 1)).alias("tp"),
-            F.count(F.when((F.col(label) == 0) & (guess == 1), 1)).alias("fp"),
-            F.count(F.when((F.col(label) == 1) & (guess == 0), 1)).alias("fn"),
-            F.count(F.when((F.col(label) == 0) & (guess == 0), 1)).alias("tn"),
-        )
-        rows = with_threshold_metrics(counts).join(ranking_metrics(scored, label, "__proba", ["part"]), "part")
-        rows = rows.select("part", "roc_auc", "recall", "precision").withColumn("fold", F.lit(fold))
-        fetched = rows.collect()  # two rows per fold
-        part = df.sparkSession.createDataFrame(fetched, rows.schema)
-        results = part if results is None else results.unionByName(part)
+    """Stratified cross-validation: mean and population deviation of AUC, recall and precision of the train
+    and test rows."""
+    spread = with_folds(df, key, features, label, folds, seed)
+    measures = fold_measures(spread, features, label, {"": estimator}, folds, threshold)
     aggs = [e for m in ("roc_auc", "recall", "precision") for e in (F.avg(m).alias(f"{m}_mean"), F.stddev_pop(m).alias(f"{m}_std"))]
-    return results.groupBy("part").agg(*aggs)
+    return measures.groupBy("part").agg(*aggs)
 
 
 def grid_search(
@@ -256,19 +343,16 @@ def grid_search(
     label: str,
     make: Callable[..., Estimator],
     grid: Mapping[str, Sequence],
-    folds: int = 3,
+    folds: int = 10,
     seed: int = 0,
 ) -> DataFrame:
     """Cross-validated test AUC of every parameter combination, best first."""
-    names = list(grid)
     spread = with_folds(df, key, features, label, folds, seed)
-    out = []
-    for values in product(*grid.values()):
-        params = dict(zip(names, values, strict=True))
-        table = cross_validate(df, key, features, label, lambda p=params: make(label, **p), folds, seed=seed, spread=spread)
-        auc = table.filter(F.col("part") == "test").first()["roc_auc_mean"]
-        out.append((str(params), auc))
-    return df.sparkSession.createDataFrame(out, "params string, roc_auc double").orderBy(F.desc("roc_auc"), "params")
+    combinations = [dict(zip(grid, values, strict=True)) for values in product(*grid.values())]
+    makers = {str(p): (lambda p=p: make(label, **p)) for p in combinations}
+    measures = fold_measures(spread, features, label, makers, folds, 0.5).filter("part = 'test'")
+    table = measures.groupBy(F.col("model").alias("params")).agg(F.avg("roc_auc").alias("roc_auc"))
+    return table.orderBy(F.desc("roc_auc"), "params")
 
 
 def threshold_report(df: DataFrame, label: str, score_col: str, threshold: float) -> DataFrame:

@@ -10,6 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.functions.columns import numeric_columns
+from riskloom.operators.moments import column_moments
 from riskloom.operators.ordered import minmax_scale, rank_by
 from riskloom.operators.profile import top_k
 
@@ -25,11 +27,17 @@ def constant_columns(df: DataFrame, protect: Sequence[str] = ()) -> list[str]:
     Minimum, maximum and counts decide this; no distinct count and no shuffle of rows is needed.
     """
     cs = [c for c in df.columns if c not in set(protect)]
+    numbers = numeric_columns(df.select(*cs))
+    moments = column_moments(df, numbers)
+    # whole numbers beyond the range of a double are compared as they are
+    exact = [c for c in cs if c not in moments or (moments[c].low == moments[c].high and abs(moments[c].low or 0.0) >= 2.0**53)]
     aggs = ["count(*) AS n"]
-    for i, c in enumerate(cs):
+    for i, c in enumerate(exact):
         aggs += [f"count(`{c}`) AS c{i}", f"min(`{c}`) = max(`{c}`) AS e{i}"]
     row = df.selectExpr(*aggs).first()
-    return [c for i, c in enumerate(cs) if row[f"c{i}"] == 0 or (row[f"c{i}"] == row["n"] and row[f"e{i}"])]
+    found = {c for c, m in moments.items() if m.present == 0 or (m.present == row["n"] and m.low == m.high)} - set(exact)
+    found |= {c for i, c in enumerate(exact) if row[f"c{i}"] == 0 or (row[f"c{i}"] == row["n"] and row[f"e{i}"])}
+    return [c for c in cs if c in found]
 
 
 def drop_constant(df: DataFrame, protect: Sequence[str] = ()) -> tuple[DataFrame, list[str]]:

@@ -41,6 +41,19 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def once(build: Callable[[Tables], object]):
+    """Build a staged result once per session and folder; its tables are kept below the shared folder."""
+    kept: dict[tuple[str, str], object] = {}
+
+    def get(t: Tables):
+        at = t.spark.sparkContext.applicationId, t.folder
+        if at not in kept:
+            kept[at] = build(t)
+        return kept[at]
+
+    return get
+
+
 def scratch(spark: SparkSession) -> str:
     """A new folder for a round trip, below the session's shared folder."""
     return shared_folder(spark)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.columns import DENIED
@@ -84,11 +87,31 @@ def k3(t: Tables):
     return out.select("SK_ID_CURR", "EXPECTED_CNT_PAYMENT")
 
 
+@query(
+    "k3_terms_within_the_known_ones",
+    f"SELECT SK_ID_CURR, true AS sound FROM ({oracle_text('application')})",
+)
+def k3b(t: Tables):
+    """One expected term per application, no further outside the known terms than half their range."""
+    known = t.sql(LOAN_TABLES["previous"]).select("AMT_CREDIT", "AMT_ANNUITY", "CNT_PAYMENT").dropna()
+    ends = known.agg(F.min("CNT_PAYMENT").alias("low"), F.max("CNT_PAYMENT").alias("high"))
+    slack = (F.col("high") - F.col("low")) / 2
+    return k3(t).join(F.broadcast(ends)).select("SK_ID_CURR", F.col("EXPECTED_CNT_PAYMENT").between(F.col("low") - slack, F.col("high") + slack).alias("sound"))
+
+
 @query("k4_importance_boosted")
 def k4(t: Tables):
     return ML.importance_boosted(application(t), "SK_ID_CURR", FEATURES, "TARGET")
 
 
+@query("k4_boosted_add_up", f"SELECT unnest({FEATURES}) AS feature, 1.0::DOUBLE AS total, true AS sound")
+def k4d(t: Tables):
+    """One boosted importance per feature, none negative; they add up to one."""
+    out = k4(t)
+    total = out.agg(F.sum("importance").alias("total"))  # one row
+    return rounded(out.join(F.broadcast(total)).select("feature", "total", (F.col("importance") >= 0).alias("sound")))
+
+
 @query("k4_importance_forest")
 def k4b(t: Tables):
     return ML.importance_forest(application(t), "SK_ID_CURR", FEATURES, "TARGET")
@@ -221,9 +244,28 @@ def t6(t: Tables):
 
 @query("t7_cross_validate")
 def t7(t: Tables):
-    return ML.cross_validate(
-        application(t), "SK_ID_CURR", FEATURES, "TARGET", lambda: ML.forest_classifier("TARGET", trees=20)
-    )
+    return ML.cross_validate(application(t), "SK_ID_CURR", FEATURES, "TARGET", lambda: ML.forest_classifier("TARGET"))
+
+
+@query("t7_measures_in_range", "SELECT unnest(['test', 'train']) AS part, true AS sound")
+def t7b(t: Tables):
+    """One row per side; means lie in 0 to 1, deviations in 0 to 1/2, and the forest knows its own training rows better."""
+    out = t7(t)
+    names = ("roc_auc", "recall", "precision")
+    sound = reduce(lambda x, y: x & y, [F.col(f"{m}_mean").between(0, 1) & F.col(f"{m}_std").between(0, 0.5) for m in names])
+    best = F.max("roc_auc_mean").over(Window.partitionBy(F.lit(0)))  # two rows
+    return out.select("part", (sound & ((F.col("part") == "test") | (F.col("roc_auc_mean") == best))).alias("sound"))
+
+
+@query(
+    "t7_folds_hold_all_classes",
+    "SELECT f.fold::INT AS fold, TARGET::INT AS TARGET, (total // 10 + CASE WHEN f.fold < total % 10 THEN 1 ELSE 0 END)::BIGINT AS n FROM range(10) f(fold), "
+    f"(SELECT TARGET, count(*) AS total FROM ({oracle_text('application')}) WHERE TARGET IS NOT NULL GROUP BY 1)",
+)
+def t7c(t: Tables):
+    """Rows of each class in each of the ten folds of the kept vectors."""
+    spread = ML.with_folds(application(t), "SK_ID_CURR", FEATURES, "TARGET", 10, 0)
+    return spread.groupBy("fold", F.col("TARGET").cast("int").alias("TARGET")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(
@@ -240,12 +282,26 @@ def t8b(t: Tables):
     df = application(t)
     return ML.evaluate_experiment(
         df.filter(TRAIN), df.filter(TEST), "SK_ID_CURR", FEATURES, "TARGET",
-        lambda: ML.forest_classifier("TARGET", trees=20), 0.5, "forest",
+        lambda: ML.forest_classifier("TARGET"), 0.5, "forest",
     )
 
 
+@query(
+    "t8_experiment_counts",
+    f"SELECT count(*) FILTER (WHERE TARGET = 1) AS positives, count(*) FILTER (WHERE TARGET = 0) AS negatives, true AS sound FROM ({oracle_text('application')}) WHERE {TEST}",
+)
+def t8c(t: Tables):
+    """The counts of an experiment add up to the validation rows, and its rates follow from its counts."""
+    out = t8b(t)
+    sound = [F.abs(F.coalesce(rate, F.lit(0.0)) * (F.col("tp") + F.col(other)) - F.col("tp")) < 1e-6 for rate, other in (("recall", "fn"), ("precision", "fp"))]
+    return out.select((F.col("tp") + F.col("fn")).alias("positives"), (F.col("tn") + F.col("fp")).alias("negatives"), (sound[0] & sound[1] & F.col("roc_auc").between(0, 1)).alias("sound"))
+
+
 @query("t9_grid_search")
 def t9(t: Tables):
-    return ML.grid_search(
-        application(t), "SK_ID_CURR", FEATURES, "TARGET", ML.forest_classifier, {"trees": [10, 20], "depth": [3, 5]}
-    )
+    return ML.grid_search(application(t), "SK_ID_CURR", FEATURES, "TARGET", ML.forest_classifier, {"trees": [50, 100], "depth": [3, 5]}, folds=5)
+
+
+@query("t9_one_row_per_combination", "SELECT '{''trees'': ' || trees || ', ''depth'': ' || depth || '}' AS params, true AS sound FROM (VALUES (50), (100)) t(trees), (VALUES (3), (5)) d(depth)")
+def t9b(t: Tables):
+    return t9(t).select("params", F.col("roc_auc").between(0, 1).alias("sound"))

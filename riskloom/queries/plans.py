@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
-from riskloom.functions.columns import numeric_columns
+from riskloom.functions.columns import DENIED
 from riskloom.operators import drift as D
 from riskloom.operators import models as ML
 from riskloom.operators import profile as P
 from riskloom.operators.aggregate import stat_name, stats_of
 from riskloom.operators.correlate import drop_correlated
-from riskloom.operators.sampling import stratified_sample
+from riskloom.operators.impute import fit_medians
 from riskloom.plans import application as PA
 from riskloom.plans import bureau as PB
 from riskloom.plans import client_table as PC
@@ -18,7 +20,7 @@ from riskloom.plans import installments as PI
 from riskloom.plans import previous as PP
 from riskloom.plans import scoring as PS
 from riskloom.plans import snapshots as SN
-from riskloom.queries.base import Tables, all_rounded, query, rounded, scratch, sql_all_rounded, sql_spec
+from riskloom.queries.base import Tables, all_rounded, once, query, rounded, scratch, sql_all_rounded, sql_spec
 from riskloom.queries.loan_tables import LOAN_TABLES, oracle_text
 from riskloom.queries.quality import CATEGORY_SQL, TEST, TRAIN, _deciles, _distance_sql, _share_sql, sides
 from riskloom.queries.scalar import (
@@ -35,7 +37,8 @@ from riskloom.queries.scalar import (
     YIELD,
 )
 from riskloom.queries.tables import REF_CAT, REF_NUM, REF_SQL, sql_ends
-from riskloom.sources.tables import stage_read, stage_write
+from riskloom.session import checkpointed
+from riskloom.sources.tables import export_json, stage_read, stage_write
 
 
 def table(t: Tables, name: str):
@@ -328,7 +331,9 @@ def client_features(t: Tables) -> dict:
     return out
 
 
+@once
 def client_tables(t: Tables):
+    """Finished client tables and the dropped columns; built once per session, since four queries start from them."""
     train, test = application_tables(t, neighbours=None)
     features = client_features(t)
     sides_ = []
@@ -352,35 +357,87 @@ def p8(t: Tables):
     return train.unionByName(test)
 
 
-def small_client_tables(t: Tables):
-    """All application features, for the queries on what follows the build."""
-    clean = PA.add_application_features(PA.clean_application(table(t, "application")))
-    base = clean.select("SK_ID_CURR", "TARGET", "SEGMENT", *numeric_columns(clean, ["SK_ID_CURR", "TARGET"]))
-    path = scratch(t.spark)
-    stage_write(base, path)
-    staged = stage_read(t.spark, path)
-    train, test, _ = PC.finish_clients(staged.filter(TRAIN).drop("SEGMENT"), staged.filter(TEST).drop("SEGMENT"))
-    return train, test
-
-
-# boosting rounds at most: the held-out tenth of the small driver tables does not end the fit early
-ROUNDS = 20
+@once
+def selection(t: Tables):
+    """Importances of both models on the client table, and the features that are the best of either."""
+    train, test, _ = client_tables(t)
+    importances, features = PS.select_features(train, test)
+    return checkpointed(importances), features
 
 
 @query("p9_feature_selection")
 def p9(t: Tables):
-    train, test = small_client_tables(t)
-    importances, _ = PS.select_features(train, test, rounds=ROUNDS)
-    return importances
+    return selection(t)[0]
+
+
+@query("p9_union_of_best", "SELECT 2 AS models, true AS sound")
+def p9b(t: Tables):
+    """The selected features are those among the best 25 of a model; each model's importances lie in 0 to 1 and reach both."""
+    table = p9(t)
+    best = (F.col("boosted_ranking") < 25) | (F.col("forest_ranking") < 25)
+    ends = [F.min(f"{m}_normalized") == 0 for m in ("boosted", "forest")] + [F.max(f"{m}_normalized") == 1 for m in ("boosted", "forest")]
+    sound = F.bool_and(best == (F.col("action") == "Select")) & reduce(lambda x, y: x & y, ends)
+    return table.agg(F.lit(2).alias("models"), sound.alias("sound"))
+
+
+def fitted_scoring(t: Tables) -> PS.FittedScoring:
+    """The model on the selected features with the state that a later table needs."""
+    train, _, gone = client_tables(t)
+    _, features = selection(t)
+    rows = ML.balanced(train, "TARGET")
+    model = ML.fit_classifier(rows, features, "TARGET", ML.boosted_classifier("TARGET"))
+    return PS.FittedScoring([c for c in gone if c not in set(features)], fit_medians(train, features), features, model)
+
+
+@once
+def scored_set(t: Tables):
+    train, test, _ = client_tables(t)
+    state = fitted_scoring(t)
+    out = PS.scored_and_explained(train.unionByName(test), train, state.model, state.features)
+    return checkpointed(PS.dashboard_set(out, PS.general_info(table(t, "application"))))
 
 
 @query("p10_scoring_set")
 def p10(t: Tables):
-    train, test = small_client_tables(t)
-    features = [f for f in ("AMT_CREDIT", "CREDIT_ANNUITY_RATIO", "EXT_SOURCE_MEAN", "DAYS_BIRTH") if f in train.columns]
-    model = ML.fit_classifier(ML.balanced(train, "TARGET"), features, "TARGET", ML.boosted_classifier("TARGET", ROUNDS))
-    out = PS.scored_and_explained(train.unionByName(test), train, model, features)
-    return PS.dashboard_set(out, PS.general_info(table(t, "application")))
+    return scored_set(t)
+
+
+@query(
+    "p10_sample_of_each_class",
+    f"SELECT TARGET, least(count(*), 100) AS n, true AS sound FROM ({oracle_text('application')}) WHERE TARGET IS NOT NULL GROUP BY TARGET",
+)
+def p10b(t: Tables):
+    """100 clients of each class; scores, decisions and contributions agree with each other."""
+    out = p10(t)
+    why = [c for c in out.columns if c.startswith("WHY_")]
+    gap = reduce(lambda x, y: x + y, [F.col(c) for c in why]) - (F.col("proba") - F.col("expected"))
+    sound = F.col("proba").between(0, 1) & (F.abs(gap) < 1e-6) & ((F.col("prediction") == DENIED) == (F.col("credit_score") >= 50))
+    return out.groupBy("TARGET").agg(F.count(F.lit(1)).alias("n"), F.bool_and(sound).alias("sound"))
+
+
+@query(
+    "a8_scores_as_documents",
+    f"SELECT count(*) AS documents, true AS complete FROM (SELECT row_number() OVER (PARTITION BY TARGET) AS i FROM ({oracle_text('application')}) WHERE TARGET IS NOT NULL) WHERE i <= 100",
+)
+def a8b(t: Tables):
+    """The scored clients exported as JSON documents and read back: every column of every client."""
+    out, path = p10(t), scratch(t.spark)
+    export_json(out, path)
+    back = t.spark.read.schema(out.schema).json(path)
+    same = reduce(lambda x, y: x & y, [F.col(f"b.`{c}`").eqNullSafe(F.col(f"a.`{c}`")) for c in out.columns])
+    return out.alias("a").join(back.alias("b"), F.col("a.SK_ID_CURR") == F.col("b.SK_ID_CURR")).agg(F.count(F.lit(1)).alias("documents"), F.bool_and(same).alias("complete"))
+
+
+@query("a2_saved_scoring", f"SELECT SK_ID_CURR, true AS equal FROM ({oracle_text('application')}) WHERE {TEST}")
+def a2b(t: Tables):
+    """A later table is scored alike by the fitted state and by the state that was saved and read by another session."""
+    _, test, _ = client_tables(t)
+    state, path = fitted_scoring(t), scratch(t.spark)
+    state.save(t.spark, path)
+    again = PS.FittedScoring.load(t.spark.newSession(), path)
+    a, b = (s.score(test).select("SK_ID_CURR", "credit_score", "prediction") for s in (state, again))
+    b = b.select("SK_ID_CURR", F.col("credit_score").alias("c"), F.col("prediction").alias("p"))
+    return a.join(b, "SK_ID_CURR").select("SK_ID_CURR", ((F.col("c") == F.col("credit_score")) & (F.col("p") == F.col("prediction"))).alias("equal"))
 
 
 @query(

@@ -16,6 +16,7 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8) -> SparkS
         .appName("riskloom")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.scheduler.mode", "FAIR")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "12g"))

@@ -22,6 +22,7 @@ from riskloom.session import checkpointed
 
 Spec = Mapping[str, str | Sequence[str]]
 ORDERED = {"first", "last"}
+HOT_KEY_ROWS = 1_000_000
 PLAIN = {"mean": "avg", "max": "max", "min": "min", "count": "count"}
 
 
@@ -170,13 +171,44 @@ def agg_with_ends(
     last: int | None = None,
     first: int | None = None,
     suffixes: Mapping[str, str] | None = None,
+    hot_rows: int | None = HOT_KEY_ROWS,
 ) -> DataFrame:
     """The spec over the latest ``last`` rows, the ``first`` rows and all rows of each key.
 
-    Each branch is aggregated by key before the branches meet, so the joins reuse the hash
-    partitioning of the aggregates and move no raw row.
+    One scan and one exchange: a row's place from the front and from the end come from one window, and all three
+    subsets are conditional aggregates on that partitioning, whose sort position is the place (one number, so
+    first and last stay in a hash aggregate). Clients with more than ``hot_rows`` rows, found by a count of the
+    keys alone, would be one window each: their ends are limited before the shuffle instead. ``hot_rows=None``
+    skips the count.
     """
     names = {"last": f"_LAST_{last}", "first": f"_FIRST_{first}", "all": "_ALL"} | dict(suffixes or {})
+    if not order:
+        raise ValueError("taking rows from an end needs an explicit order with a unique tie-break")
+    rows = df.filter(all_present(keys))
+    if hot_rows is None:
+        return _placed_ends(rows, keys, spec, order, last, first, names)
+    hot = rows.groupBy(*keys).count().filter(F.col("count") > hot_rows).select(*keys)
+    if hot.limit(1).count() == 0:
+        return _placed_ends(rows, keys, spec, order, last, first, names)
+    marked = F.broadcast(hot) if small_enough(hot) else hot
+    cold = _placed_ends(rows.join(marked, list(keys), "left_anti"), keys, spec, order, last, first, names)
+    return cold.unionByName(_limited_ends(rows.join(marked, list(keys), "left_semi"), keys, spec, order, last, first, names))
+
+
+def _placed_ends(rows: DataFrame, keys, spec: Spec, order, last, first, names: Mapping[str, str]) -> DataFrame:
+    by_key = Window.partitionBy(*keys)
+    up = F.row_number().over(by_key.orderBy(*[F.asc_nulls_last(c) for c in order]))
+    placed = rows.withColumns({"__up": up, "__size": F.count(F.lit(1)).over(by_key)})
+    parts = [Part(spec, names["all"])]
+    if first:
+        parts.insert(0, Part(spec, names["first"], F.col("__up") <= first))
+    if last:
+        parts.insert(0, Part(spec, names["last"], F.col("__up") > F.col("__size") - last))
+    return aggregate_parts(placed, keys, parts, ["__up"])
+
+
+def _limited_ends(df: DataFrame, keys, spec: Spec, order, last, first, names: Mapping[str, str]) -> DataFrame:
+    """Every branch limited to its rows before the shuffle and aggregated before the branches meet."""
     out = group_agg(df, keys, spec, order, names["all"])
     # inside an end the position is one number, which keeps its first/last aggregates primitive
     if first:

@@ -7,19 +7,21 @@ weights and repeats the last value.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom.functions.columns import all_present
 from riskloom.operators.aggregate import small_enough
 from riskloom.session import checkpointed
 
 HOT_KEY_ROWS = 1_000_000
+ROWS_PER_TASK = 1_000_000
 
 
 def _targets(columns: Sequence[str] | Mapping[str, str]) -> dict[str, str]:
@@ -37,24 +39,24 @@ def ewm_mean(
 ) -> DataFrame:
     """Exponentially weighted mean per key, added as ``EXP_<column>`` (or the given names).
 
-    ``position`` names an extra column with whole numbers that grow in order within each key; later
-    first/last aggregates can use this one number instead of the order columns.
+    ``position`` names an extra column with the row's place in its key, from 0; later first/last aggregates
+    can use this one number instead of the order columns.
 
-    Ordinary keys are computed with windows on one exchange. Keys with more than ``hot_rows`` rows
-    are found by a counted pre-pass and go through the range-partitioned form, which cuts a single
-    key over many tasks. ``hot_rows=None`` skips the pre-pass.
+    Rows are dealt by key and sorted once, and the means are folded over the sorted rows as they stream past in
+    Arrow batches, many keys at a time; no key is held. Keys with more than ``hot_rows`` rows, found by a count
+    of the key columns alone, are cut by range over many tasks instead. ``hot_rows=None`` skips the count.
     """
     if not order:
         raise ValueError("an exponentially weighted mean needs an explicit order with a unique tie-break")
     targets = _targets(columns)
     rows = df.filter(all_present(keys))
     if hot_rows is None:
-        return _ewm_windows(rows, targets, keys, order, alpha, position)
+        return _ewm_sorted(rows, targets, keys, order, alpha, position)
     hot = rows.groupBy(*keys).count().filter(F.col("count") > hot_rows).select(*keys)
     if hot.limit(1).count() == 0:
-        return _ewm_windows(rows, targets, keys, order, alpha, position)
+        return _ewm_sorted(rows, targets, keys, order, alpha, position)
     marked = F.broadcast(hot) if small_enough(hot) else hot
-    cold = _ewm_windows(rows.join(marked, list(keys), "left_anti"), targets, keys, order, alpha, position)
+    cold = _ewm_sorted(rows.join(marked, list(keys), "left_anti"), targets, keys, order, alpha, position)
     wide = _ewm_ranged(rows.join(marked, list(keys), "left_semi"), targets, keys, order, alpha, position)
     return cold.unionByName(wide)
 
@@ -70,42 +72,6 @@ def ewm_mean_global(
     return _ewm_ranged(df, _targets(columns), [], order, alpha, position)
 
 
-def _ewm_windows(
-    df: DataFrame, targets: Mapping[str, str], keys: Sequence[str], order: Sequence[str], alpha: float, position: str | None
-) -> DataFrame:
-    """Window form. Weights grow instead of shrinking (``x / r^pos``), restarting every block so
-    that they stay in double range; the block before supplies its sums through a range frame, and
-    older blocks weigh less than 1e-200. All columns share two sorts on one exchange."""
-    grow = 1.0 / (1.0 - alpha)
-    block_rows = max(1, math.floor(200 / math.log10(grow)))
-    by_order = Window.partitionBy(*keys).orderBy(*[F.asc_nulls_last(c) for c in order])
-    rows = (
-        df.withColumn("__rn", (F.row_number().over(by_order) - 1).cast("long"))
-        .withColumns({"__block": F.floor(F.col("__rn") / F.lit(float(block_rows)))})
-        .withColumn("__grow", F.pow(F.lit(grow), (F.col("__rn") - F.col("__block") * block_rows).cast("double")))
-    )
-    inside = Window.partitionBy(*keys, "__block").orderBy("__rn").rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy(*keys).orderBy("__block").rangeBetween(-1, -1)
-    upto = Window.partitionBy(*keys).orderBy("__block", "__rn").rowsBetween(Window.unboundedPreceding, 0)
-    shrink = F.lit(grow ** -float(block_rows))
-    sums = {}
-    for i, source in enumerate(targets.values()):
-        x = F.col(source).cast("double")
-        terms = {"n": x * F.col("__grow"), "d": F.when(x.isNotNull(), F.col("__grow"))}
-        for t, e in terms.items():
-            sums[f"__{t}{i}"] = F.sum(e).over(inside)
-            sums[f"__{t}p{i}"] = F.sum(e).over(before)
-    rows = rows.withColumns(sums)
-    fresh = {}
-    for i, source in enumerate(targets.values()):
-        num = F.col(f"__n{i}") + F.coalesce(F.col(f"__np{i}"), F.lit(0.0)) * shrink
-        den = F.col(f"__d{i}") + F.coalesce(F.col(f"__dp{i}"), F.lit(0.0)) * shrink
-        fresh[f"__e{i}"] = F.when(F.col(source).isNotNull(), F.try_divide(num, den))
-    rows = rows.withColumns(fresh)
-    held = [F.last(f"__e{i}", ignorenulls=True).over(upto).alias(out) for i, out in enumerate(targets)]
-    return rows.select(*df.columns, *held, *([F.col("__rn").alias(position)] if position else []))
-
-
 def _ewm_scan(x: np.ndarray, starts: np.ndarray, decay: float, carry: tuple[np.ndarray, np.ndarray] | None):
     """Weighted means of consecutive rows; ``starts`` marks the first row of each key and ``carry``
     is the (mean, weight) reached before row 0. The recurrence is solved by doubling."""
@@ -137,93 +103,131 @@ def _ewm_scan(x: np.ndarray, starts: np.ndarray, decay: float, carry: tuple[np.n
     return held, (held[-1], den[-1])
 
 
+class _Fold:
+    """Weighted means and places of sorted rows, batch after batch. The state is what the last row left:
+    its key, mean and weight per column, and the rows of its key so far."""
+
+    def __init__(self, keys: Sequence[str], sources: Sequence[str], decay: float, state=None) -> None:
+        self.keys, self.sources, self.decay = list(keys), list(sources), decay
+        self.key, self.reached, self.rows = state if state else (None, None, 0)
+
+    def _starts(self, batch: pa.RecordBatch) -> np.ndarray:
+        starts = np.zeros(batch.num_rows, bool)
+        for name in self.keys:
+            column = batch.column(name)
+            starts[1:] |= pc.not_equal(column.slice(1), column.slice(0, len(column) - 1)).to_numpy(zero_copy_only=False)
+        first = [batch.column(name)[0].as_py() for name in self.keys]
+        starts[0] = self.key is None or first != self.key
+        self.key = [batch.column(name)[-1].as_py() for name in self.keys]
+        return starts
+
+    def step(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        """Means (rows x columns) and places of one batch."""
+        starts = self._starts(batch)
+        x = np.column_stack([pc.cast(batch.column(c), pa.float64(), safe=False).to_numpy(zero_copy_only=False) for c in self.sources])
+        held, self.reached = _ewm_scan(x, starts, self.decay, self.reached)
+        at = np.arange(len(starts))
+        since = np.maximum.accumulate(np.where(starts, at, -1))
+        place = np.where(since >= 0, at - since, at + self.rows)
+        self.rows = int(place[-1]) + 1
+        return held, place
+
+
+def _folded(kept: Sequence[str], targets: Mapping[str, str], position: str | None):
+    """One output batch: the kept columns as they came, the means, and the place."""
+
+    def out(batch: pa.RecordBatch, held: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
+        made = [pa.array(held[:, i], mask=np.isnan(held[:, i])) for i in range(held.shape[1])]
+        made += [pa.array(place.astype(np.int64))] if position else []
+        return pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *made], names=[*kept, *targets, *([position] if position else [])])
+
+    return out
+
+
+def _folded_schema(df: DataFrame, targets: Mapping[str, str], position: str | None) -> T.StructType:
+    added = [T.StructField(t, T.DoubleType()) for t in targets] + ([T.StructField(position, T.LongType())] if position else [])
+    return T.StructType([*df.schema.fields, *added])
+
+
+def _ewm_sorted(
+    df: DataFrame, targets: Mapping[str, str], keys: Sequence[str], order: Sequence[str], alpha: float, position: str | None
+) -> DataFrame:
+    """One exchange by key and one sort; every key is folded inside one task without being held."""
+    decay, sources, kept, names = 1.0 - alpha, list(targets.values()), list(df.columns), list(keys)
+    out = _folded(kept, targets, position)
+
+    def run(batches):
+        fold = _Fold(names, sources, decay)
+        for batch in batches:
+            if batch.num_rows:
+                yield out(batch, *fold.step(batch))
+
+    dealt = df.repartition(*keys).sortWithinPartitions(*[F.asc_nulls_last(c) for c in [*keys, *order]])
+    return dealt.mapInArrow(run, _folded_schema(df, targets, position))
+
+
 def _ewm_ranged(
     df: DataFrame, targets: Mapping[str, str], keys: Sequence[str], order: Sequence[str], alpha: float, position: str | None
 ) -> DataFrame:
     """Range-partitioned form for a global order or for keys too long for one task.
 
-    Rows are range-partitioned by key and order (so one key spreads over tasks) and checkpointed,
-    which fixes the partitions. One pass reduces every partition to the state it ends in, one row
-    per partition; the states are chained on the driver, and a second pass applies them.
+    Rows are range-partitioned by key and order (so one key spreads over tasks, as many as the counted rows
+    need) and checkpointed, which fixes the partitions. One pass over keys and values reduces every partition to
+    the state it ends in, one row per partition; the states are chained on the driver, and a second pass applies them.
     """
-    decay = 1.0 - alpha
+    decay, sources, kept, names = 1.0 - alpha, list(dict.fromkeys(targets.values())), list(df.columns), list(keys)
+    columns = list(targets.values())
     sort = [F.asc_nulls_last(c) for c in [*keys, *order]]
-    key_text = F.to_json(F.struct(*keys)) if keys else F.lit("")
-    ranged = checkpointed(
-        df.withColumn("__key", key_text)
-        .repartitionByRange(*sort)
-        .sortWithinPartitions(*sort)
-        .withColumn("__part", F.spark_partition_id())
-    )
-    kept, sources, names_out = list(df.columns), list(targets.values()), list(targets)
-
-    def chunks(batches, carries):
-        state, last_key = None, None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            if last_key is None and carries is not None:
-                found = carries.get(int(pdf["__part"].iloc[0]))
-                if found is not None:
-                    last_key, state = found[0], (np.array(found[1]), np.array(found[2]))
-            x = pdf[sources].to_numpy(dtype=float, na_value=np.nan)
-            names = pdf["__key"].to_numpy()
-            starts = np.empty(len(pdf), dtype=bool)
-            starts[0] = names[0] != last_key
-            starts[1:] = names[1:] != names[:-1]
-            held, state = _ewm_scan(x, starts, decay, state)
-            last_key = names[-1]
-            yield pdf, names, starts, held, state
+    parts = max(2, -(-df.count() // ROWS_PER_TASK))
+    ranged = checkpointed(df.repartitionByRange(parts, *sort).sortWithinPartitions(*sort).withColumn("__part", F.spark_partition_id()))
 
     def ends(batches):
-        part, first_key, tail, last_key, state = None, None, 0, None, None
-        for pdf, names, starts, _, state in chunks(batches, None):
-            if part is None:
-                part, first_key = int(pdf["__part"].iloc[0]), names[0]
-            where = np.flatnonzero(starts)
-            tail = len(pdf) - where[-1] if len(where) else tail + len(pdf)
-            last_key = names[-1]
+        part, first, fold = None, None, _Fold(names, columns, decay)
+        for batch in batches:
+            if batch.num_rows:
+                if part is None:
+                    part, first = batch.column("__part")[0].as_py(), repr([batch.column(c)[0].as_py() for c in names])
+                fold.step(batch)
         if part is not None:
-            yield pd.DataFrame(
-                {"part": [part], "first_key": [first_key], "last_key": [last_key], "tail": [int(tail)],
-                 "mean": [list(state[0])], "weight": [list(state[1])]}
-            )
-
-    schema = "part int, first_key string, last_key string, tail long, mean array<double>, weight array<double>"
-    states = sorted(ranged.select("__part", "__key", *set(sources)).mapInPandas(ends, schema).collect())
-    carries: dict[int, tuple[str, list[float], list[float]]] = {}
-    carried: tuple[str, np.ndarray, np.ndarray] | None = None
-    for row in states:
+            last = repr(fold.key)
+            mean, weight = fold.reached
+            yield pa.RecordBatch.from_pylist([{"part": part, "first": first, "last": last, "rows": fold.rows, "mean": [None if np.isnan(m) else float(m) for m in mean], "weight": [float(w) for w in weight]}], schema=ends_schema)
+
+    ends_schema = pa.schema([("part", pa.int32()), ("first", pa.string()), ("last", pa.string()), ("rows", pa.int64()), ("mean", pa.list_(pa.float64())), ("weight", pa.list_(pa.float64()))])
+    text = "part int, first string, last string, rows long, mean array<double>, weight array<double>"
+    narrow = ranged.select("__part", *names, *[c for c in sources if c not in set(names)])
+    carries, carried = {}, None
+    for row in sorted(narrow.mapInArrow(ends, text).collect()):  # one row per partition
         mean = np.array([np.nan if m is None else m for m in row["mean"]], dtype=float)
-        weight = np.array(row["weight"], dtype=float)
+        weight, rows = np.array(row["weight"], dtype=float), row["rows"]
         if carried is not None:
-            carries[row["part"]] = (carried[0], list(carried[1]), list(carried[2]))
+            carries[row["part"]] = carried
             # only a partition that holds nothing but the carried key passes that state on
-            if row["first_key"] == carried[0] == row["last_key"]:
-                aged = carried[2] * decay ** row["tail"]
+            if row["first"] == carried[0] == row["last"]:
+                aged = carried[2] * decay**rows
                 total = weight + aged
                 with np.errstate(invalid="ignore", divide="ignore"):
-                    joined = (np.nan_to_num(mean) * weight + np.nan_to_num(carried[1]) * aged) / total
-                mean = np.where(total > 0, joined, np.where(np.isnan(mean), carried[1], mean))
-                weight = total
-        carried = (row["last_key"], mean, weight)
+                    both = (np.nan_to_num(mean) * weight + np.nan_to_num(carried[1]) * aged) / total
+                mean = np.where(total > 0, both, np.where(np.isnan(mean), carried[1], mean))
+                weight, rows = total, rows + carried[3]
+        carried = (row["last"], mean, weight, rows)
+
+    out = _folded(kept, targets, position)
 
     def apply(batches):
-        seen = 0
-        for pdf, _, _, held, _ in chunks(batches, carries):
-            out = pdf[kept].copy()
-            for i, name in enumerate(names_out):
-                out[name] = held[:, i]
-            if position:
-                # partitions are numbered in order, so this grows along every key
-                out[position] = pdf["__part"].astype("int64") * (1 << 40) + np.arange(seen, seen + len(pdf))
-                seen += len(pdf)
-            yield out
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    added = ", ".join([f"`{t}` double" for t in targets] + ([f"`{position}` long"] if position else []))
-    result = ranged.mapInPandas(apply, f"{fields}, {added}")
-    return result.withColumns({t: F.nanvl(F.col(t), F.lit(None)) for t in targets})
+        fold = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if fold is None:
+                found = carries.get(batch.column("__part")[0].as_py())
+                first = [batch.column(c)[0].as_py() for c in names]
+                # a state of another key starts afresh
+                state = (first, (found[1], found[2]), found[3]) if found is not None and found[0] == repr(first) else None
+                fold = _Fold(names, columns, decay, state)
+            yield out(batch, *fold.step(batch))
+
+    return ranged.mapInArrow(apply, _folded_schema(df, targets, position))
 
 
 # -- tables with one row per feature, level or threshold ------------------------------------------

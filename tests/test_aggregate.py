@@ -107,3 +107,17 @@ def test_levels_with_like_names_get_columns_of_their_own(spark):
     row = A.category_shares(df, ["k"], "c", "C", ["x-y", "x y"]).first()
     assert row.asDict() == {"k": "a", "C_x_y": 1 / 3, "C_x_y_2": 1 / 3}
     assert list(A.categories("c", ["x y", "X y"])) == ["_X Y", "_X Y_2", "_REST"]
+
+
+def test_ends_take_one_scan_and_hash_aggregates(spark, tmp_path):
+    df = spark.range(1000).selectExpr("id % 50 AS k", "id AS o", "cast(id % 7 as double) AS x")
+    df.write.parquet(f"{tmp_path}/rows")
+    spec = {"x": "mean sum last first"}
+    rows = spark.read.parquet(f"{tmp_path}/rows")
+    out = A.agg_with_ends(rows, ["k"], spec, ["o"], last=5, first=2, hot_rows=None)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 1 and "SortAggregate" not in plan
+    # clients beyond the bound are limited before the shuffle; the result is the same
+    same = A.agg_with_ends(rows.withColumn("k", F.when(F.col("o") < 400, F.lit(0)).otherwise(F.col("k"))), ["k"], spec, ["o"], last=5, first=2, hot_rows=None)
+    cut = A.agg_with_ends(rows.withColumn("k", F.when(F.col("o") < 400, F.lit(0)).otherwise(F.col("k"))), ["k"], spec, ["o"], last=5, first=2, hot_rows=100)
+    assert sorted(map(tuple, same.select(sorted(same.columns)).collect())) == sorted(map(tuple, cut.select(sorted(cut.columns)).collect()))

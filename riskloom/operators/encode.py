@@ -21,21 +21,28 @@ def first_seen_codes(
 ) -> DataFrame:
     """Rows (variable, value, code): levels numbered from 1 by first appearance in ``order``.
 
-    A missing value is a level of its own. All columns share one scan and one shuffle of partial
-    minima. The numbering sees one row per level: few levels are numbered by a window, many (by
-    their count) over range partitions.
+    A missing value is a level of its own. The first step finds each level's least value of the leading order
+    column (one number, so partial minima stay in a hash aggregate); only rows that tie on it are compared
+    in the remaining order columns. The numbering sees one row per level: few levels are numbered by a
+    window, many (by their count) over range partitions.
     """
-    position = sort_position(df, order)
     cells = F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).cast("string").alias("value")) for c in cs])
-    seen = checkpointed(
-        df.select(position.alias("position"), F.explode(cells).alias("e"))
-        .groupBy(F.col("e.variable").alias("variable"), F.col("e.value").alias("value"))
-        .agg(F.min("position").alias("position"))
-    )
-    if seen.count() > window_levels:
-        numbered = range_positions(seen, ["variable"], ["position"])
+    lead, rest = sort_position(df, order[:1]), order[1:]
+    position = sort_position(df, rest) if rest else F.lit(0)
+    rows = df.select(lead.alias("lead"), position.alias("position"), F.explode(cells).alias("e")).select("lead", "position", "e.*")
+    seen = checkpointed(rows.groupBy("variable", "value").agg(F.min("lead").alias("lead")))
+    levels = seen.count()
+    if rest:
+        least = F.broadcast(seen) if levels <= BROADCAST_ROWS else seen
+        same = F.col("r.value").eqNullSafe(F.col("s.value")) & (F.col("r.variable") == F.col("s.variable")) & F.col("r.lead").eqNullSafe(F.col("s.lead"))
+        ties = rows.alias("r").join(least.alias("s"), same, "left_semi")
+        seen = checkpointed(ties.groupBy("variable", "value").agg(F.min("lead").alias("lead"), F.min("position").alias("position")))
+    else:
+        seen = seen.withColumn("position", F.lit(0))
+    if levels > window_levels:
+        numbered = range_positions(seen, ["variable"], ["lead", "position"])
         return numbered.select("variable", "value", (F.col("rank") + 1).alias("code"))
-    w = Window.partitionBy("variable").orderBy("position")
+    w = Window.partitionBy("variable").orderBy("lead", "position")
     return seen.select("variable", "value", F.row_number().over(w).cast("long").alias("code"))
 
 

@@ -4,16 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.functions.columns import numeric_columns, split_by_kind
+from riskloom.operators.moments import column_moments
 from riskloom.operators.quantiles import exact_quantiles
+from riskloom.session import checkpointed
 
 # The percentiles printed when none are asked for.
 DEFAULT_PERCENTILES = [0, 25, 50, 75, 90, 92, 94, 96, 98, 100]
 
+# digests of 16 bytes that are broadcast at most
+BROADCAST_DIGESTS = 500_000
+
 
 def frequencies(df: DataFrame, cs: Sequence[str]) -> DataFrame:
     """Rows (variable, value as text, n) for many columns in one scan and one shuffle.
@@ -42,6 +49,40 @@ def modes(df: DataFrame, cs: Sequence[str]) -> DataFrame:
     )
 
 
+def distinct_numbers(df: DataFrame, cs: Sequence[str]) -> dict[str, int]:
+    """Number of distinct present values of numeric columns: each travels as a column number and 64 bits, once per task."""
+    if not cs:
+        return {}
+    whole = {f.name for f in df.schema.fields if isinstance(f.dataType, T.IntegralType)}
+    typed = df.selectExpr(*[f"cast(`{c}` as {'bigint' if c in whole else 'double'}) AS c{i}" for i, c in enumerate(cs)])
+
+    def run(batches):
+        held: dict[int, list[np.ndarray]] = {}
+        size = 0
+
+        def out():
+            for i, parts in held.items():
+                bits = np.unique(np.concatenate(parts))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(bits), i, np.int32)), pa.array(bits)], names=["c", "bits"])
+
+        for batch in batches:
+            for i, column in enumerate(batch.columns):
+                x = column.drop_null().to_numpy(zero_copy_only=False)
+                if x.dtype.kind == "f":
+                    x = (np.unique(x[~np.isnan(x)]) + 0.0).view(np.int64)  # one zero
+                x = np.unique(x)
+                held.setdefault(i, []).append(x)
+                size += len(x)
+            if size > 1 << 21:
+                yield from out()
+                held, size = {}, 0
+        yield from out()
+
+    found = typed.mapInArrow(run, "c int, bits long").distinct().groupBy("c").count().collect()  # one row per column
+    counts = {r["c"]: r["count"] for r in found}
+    return {c: counts.get(i, 0) for i, c in enumerate(cs)}
+
+
 def value_counts(df: DataFrame, c: str) -> DataFrame:
     """Count per value and its percentage of all rows; missing values are not listed."""
     total = df.agg(F.count(F.lit(1)).alias("total"))
@@ -90,22 +131,24 @@ def column_types(df: DataFrame) -> DataFrame:
 
 def table_profile(df: DataFrame) -> DataFrame:
     """One row per column: type, missing, repeated, fill share, and the moments or the mode."""
-    numeric = set(numeric_columns(df))
-    aggs: list[Column] = [F.count(F.lit(1)).alias("n")]
-    for i, c in enumerate(df.columns):
-        aggs.append(F.count(c).alias(f"c{i}"))
-        if c in numeric:
-            x = F.col(c).cast("double")
-            aggs += [F.avg(x).alias(f"a{i}"), F.stddev_samp(x).alias(f"s{i}"), F.min(x).alias(f"l{i}"), F.max(x).alias(f"h{i}")]
-    base = df.agg(*aggs).first()
-    quartiles = exact_quantiles(df, [c for c in df.columns if c in numeric], [0.25, 0.5, 0.75])
-    shape = {r["variable"]: r for r in modes(df, df.columns).collect()}
+    numbers = numeric_columns(df)
+    numeric = set(numbers)
+    texts = [c for c in df.columns if c not in numeric]
+    base = df.agg(F.count(F.lit(1)).alias("n"), *[F.count(c).alias(f"c{i}") for i, c in enumerate(texts)]).first()
+    n, known = base["n"], column_moments(df, numbers)
+    present = {c: base[f"c{i}"] for i, c in enumerate(texts)} | {c: m.present for c, m in known.items()}
+    quartiles = exact_quantiles(df, numbers, [0.25, 0.5, 0.75])
+    values = distinct_numbers(df, numbers)
+    shape = {r["variable"]: r for r in modes(df, texts).collect()} if texts else {}
     out = []
-    n = base["n"]
-    for i, c in enumerate(df.columns):
-        filled = base[f"c{i}"]
-        distinct = shape[c]["distinct"] if c in shape else 0
-        moments = [base[f"a{i}"], base[f"s{i}"], base[f"l{i}"], *quartiles[c], base[f"h{i}"]] if c in numeric else [None] * 7
+    for c in df.columns:
+        filled = present[c]
+        distinct = values[c] if c in numeric else shape[c]["distinct"] if c in shape else 0
+        moments = [None] * 7
+        if c in numeric and filled:
+            m = known[c]
+            spread = m.deviation * (filled / (filled - 1)) ** 0.5 if filled > 1 else None
+            moments = [m.mean, spread, m.low, *quartiles[c], m.high]
         top = [None, None] if c in numeric or c not in shape else [shape[c]["mode"], shape[c]["frequency"]]
         out.append(
             (c, df.schema[c].dataType.simpleString(), n - filled, n - (n - filled) - distinct,
@@ -232,16 +275,25 @@ def client_comparison(df: DataFrame, key: str, client, reference: DataFrame) ->
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
-    """Rows, distinct rows and surplus copies."""
-    return (
-        df.groupBy(*df.columns)
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .agg(
-            F.coalesce(F.sum("copies"), F.lit(0)).alias("table_rows"),
-            F.count(F.lit(1)).alias("distinct_rows"),
-            F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicate_rows"),
-        )
+    """Rows, distinct rows and surplus copies.
+
+    Rows are counted by a 128-bit digest; only rows that share theirs are compared as they are, so a table
+    without copies exchanges digests alone.
+    """
+    cs = [F.col(f"`{c}`") for c in df.columns]
+    low, high = F.xxhash64(*cs), F.xxhash64(F.lit(1), *[c.isNull() for c in cs], *reversed(cs))
+    digests = df.select(low.alias("__low"), high.alias("__high")).groupBy("__low", "__high").agg(F.count(F.lit(1)).alias("copies"))
+    digests = checkpointed(digests)
+    single = digests.where("copies = 1").agg(F.count(F.lit(1)).alias("single"))
+    shared = digests.where("copies > 1").select("__low", "__high")
+    if shared.count() <= BROADCAST_DIGESTS:
+        shared = F.broadcast(shared)
+    alike = df.withColumns({"__low": low, "__high": high}).join(shared, ["__low", "__high"], "left_semi")
+    exact = alike.groupBy(*cs).agg(F.count(F.lit(1)).alias("copies")).agg(
+        F.count(F.lit(1)).alias("different"), F.coalesce(F.sum("copies"), F.lit(0)).alias("rows")
     )
+    total, different = F.col("single") + F.col("rows"), F.col("single") + F.col("different")
+    return single.join(F.broadcast(exact)).select(total.alias("table_rows"), different.alias("distinct_rows"), (total - different).alias("duplicate_rows"))  # one row each
 
 
 def key_overlap(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:

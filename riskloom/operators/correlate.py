@@ -7,13 +7,20 @@ from collections.abc import Sequence
 from statistics import NormalDist
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.columns import numeric_columns
+from riskloom.operators.moments import column_moments, matrix
+from riskloom.session import checkpointed
 
 NARROW = 20
+# columns of a block, and lanes of the first addition
+BLOCK, LANES = 128, 32
+_BLOCK_SCHEMA = "i int, j int, lane int, sums binary"
+_BLOCK_ARROW = pa.schema([("i", pa.int32()), ("j", pa.int32()), ("lane", pa.int32()), ("sums", pa.binary())])
 
 
 def correlation_matrix(df: DataFrame, cs: Sequence[str], narrow: int = NARROW) -> DataFrame:
@@ -37,54 +44,61 @@ def _corr_pairs(df: DataFrame, cs: list[str]) -> DataFrame:
     return row.select(F.explode(cells).alias("e")).select("e.*")
 
 
-def _corr_gram(df: DataFrame, cs: list[str]) -> DataFrame:
-    """Masked cross-product sums per task (matrix products on Arrow batches), added up per pair.
+def _corr_gram(df: DataFrame, cs: list[str], block: int = BLOCK, lanes: int = LANES) -> DataFrame:
+    """Masked cross-product sums by blocks of columns: one array of sums per block pair and task.
 
-    Values are centred on the column means first, so the sums of squares do not cancel. Scan tasks
-    are merged to a few per core, because every task sends one number set per column pair.
+    Values are centred on the column means first, so the sums of squares do not cancel. Scan tasks are merged
+    to a few per core, each sends one row per block pair, and the arrays are added in two levels, first in
+    ``lanes`` lanes, so that a block pair is not one task's work however many tasks there are.
     """
-    means = df.selectExpr(*[f"avg(`{c}`) AS m{i}" for i, c in enumerate(cs)]).first()
-    centre = np.array([float(means[f"m{i}"] or 0.0) for i in range(len(cs))])
+    means = column_moments(df, cs)
+    centre = np.array([means[c].mean or 0.0 for c in cs])
     d = len(cs)
+    starts = list(range(0, d, block))
     numbers = df.selectExpr(*[f"cast(`{c}` as double) AS c{i}" for i, c in enumerate(cs)])
+    numbers = numbers.coalesce(4 * df.sparkSession.sparkContext.defaultParallelism)
 
     def partial(batches):
         total = np.zeros((4, d, d))
         rows = 0
-        for pdf in batches:
-            x = pdf.to_numpy(dtype=float, na_value=np.nan) - centre
-            mask = (~np.isnan(x)).astype(float)
-            x = np.nan_to_num(x)
-            total[0] += mask.T @ mask
-            total[1] += x.T @ mask
-            total[2] += (x * x).T @ mask
-            total[3] += x.T @ x
-            rows += len(x)
+        for batch in batches:
+            if batch.num_rows:
+                x = matrix(batch) - centre
+                mask = (~np.isnan(x)).astype(float)
+                x = np.nan_to_num(x)
+                total += [mask.T @ mask, x.T @ mask, (x * x).T @ mask, x.T @ x]
+                rows += len(x)
         if rows:
             n, s, q, p = total
-            i, j = np.triu_indices(d, k=1)
-            for part in np.array_split(np.arange(len(i)), len(i) // 100_000 + 1):
-                a, b = i[part], j[part]
-                yield pd.DataFrame(
-                    {"i": a, "j": b, "n": n[a, b], "si": s[a, b], "sj": s[b, a], "qi": q[a, b], "qj": q[b, a], "p": p[a, b]}
-                )
-
-    sums = (
-        numbers.mapInPandas(partial, "i int, j int, n double, si double, sj double, qi double, qj double, p double")
-        .groupBy("i", "j")
-        .agg(*[F.sum(c).alias(c) for c in ("n", "si", "sj", "qi", "qj", "p")])
-    )
-    cov = F.col("p") - F.try_divide(F.col("si") * F.col("sj"), F.col("n"))
-    var_i = F.col("qi") - F.try_divide(F.col("si") * F.col("si"), F.col("n"))
-    var_j = F.col("qj") - F.try_divide(F.col("sj") * F.col("sj"), F.col("n"))
-    # a variance this far below the raw squares is rounding noise of a constant column
-    real = (var_i > F.col("qi") * 1e-13) & (var_j > F.col("qj") * 1e-13)
+            lane = (TaskContext.get().partitionId() if TaskContext.get() else 0) % lanes
+            for i in starts:
+                for j in (j for j in starts if j >= i):
+                    a, b = slice(i, i + block), slice(j, j + block)
+                    sums = np.stack([n[a, b], s[a, b], s[b, a].T, q[a, b], q[b, a].T, p[a, b]])
+                    yield pa.RecordBatch.from_pylist([{"i": i, "j": j, "lane": lane, "sums": sums.tobytes()}], schema=_BLOCK_ARROW)
+
+    def added(group: pa.Table) -> pa.Table:
+        sums = sum(np.frombuffer(v.as_py()) for v in group["sums"])
+        return pa.Table.from_pylist([{"i": group["i"][0].as_py(), "j": group["j"][0].as_py(), "lane": group["lane"][0].as_py(), "sums": sums.tobytes()}], schema=_BLOCK_ARROW)
+
+    def correlations(batches):
+        for batch in batches:
+            for r in batch.to_pylist():
+                wide = min(block, d - r["j"])
+                n, si, sj, qi, qj, p = np.frombuffer(r["sums"]).reshape(6, -1, wide)
+                with np.errstate(invalid="ignore", divide="ignore"):
+                    cov, vi, vj = p - si * sj / n, qi - si * si / n, qj - sj * sj / n
+                    # a variance this far below the raw squares is rounding noise of a constant column
+                    real = (vi > qi * 1e-13) & (vj > qj * 1e-13)
+                    value = np.where(real, cov / (np.sqrt(np.maximum(vi, 0)) * np.sqrt(np.maximum(vj, 0))), np.nan)
+                a, b = (k.ravel() for k in np.indices(value.shape))
+                later = (b + r["j"]) > (a + r["i"])
+                value = value.ravel()[later]
+                yield pa.RecordBatch.from_arrays([pa.array((a[later] + r["i"]).astype(np.int32)), pa.array((b[later] + r["j"]).astype(np.int32)), pa.array(value, mask=np.isnan(value))], names=["i", "j", "r"])
+
+    sums = numbers.mapInArrow(partial, _BLOCK_SCHEMA).groupBy("i", "j", "lane").applyInArrow(added, _BLOCK_SCHEMA).groupBy("i", "j").applyInArrow(added, _BLOCK_SCHEMA)
     names = "array(" + ", ".join(f"'{c}'" for c in cs) + ")"
-    return sums.select(
-        F.expr(f"get({names}, i) AS a"),
-        F.expr(f"get({names}, j) AS b"),
-        F.when(real, F.try_divide(cov, F.sqrt(F.greatest(var_i, F.lit(0.0))) * F.sqrt(F.greatest(var_j, F.lit(0.0))))).alias("r"),
-    )
+    return sums.mapInArrow(correlations, "i int, j int, r double").select(F.expr(f"get({names}, i) AS a"), F.expr(f"get({names}, j) AS b"), "r")
 
 
 def correlated_columns(df: DataFrame, threshold: float = 0.7, protect: Sequence[str] = ()) -> list[str]:
@@ -107,10 +121,10 @@ def drop_correlated(df: DataFrame, threshold: float = 0.7, protect: Sequence[str
 
 def equal_width_bins(df: DataFrame, cs: Sequence[str], bins: int = 10) -> DataFrame:
     """Replace numeric columns by the number of their equal-width bin."""
-    row = df.agg(*[e for i, c in enumerate(cs) for e in (F.min(c).alias(f"l{i}"), F.max(c).alias(f"h{i}"))]).first()
+    ends = column_moments(df, cs)
     out = {}
-    for i, c in enumerate(cs):
-        low, high = row[f"l{i}"], row[f"h{i}"]
+    for c in cs:
+        low, high = ends[c].low, ends[c].high
         if low is None or low == high:
             out[c] = F.when(F.col(c).isNotNull(), F.lit(0))
         else:
@@ -138,7 +152,10 @@ def _pair_cells(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
 
 def chi_squared(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Chi-squared statistic and Cramer's V of each column pair."""
-    cells = _pair_cells(df, pairs)
+    return _chi_of(_pair_cells(df, pairs))
+
+
+def _chi_of(cells: DataFrame) -> DataFrame:
     rows = cells.groupBy("a", "b", "va").agg(F.sum("n").alias("nr"))
     cols = cells.groupBy("a", "b", "vb").agg(F.sum("n").alias("nc"))
     shape = rows.groupBy("a", "b").agg(F.count(F.lit(1)).alias("r"), F.sum("nr").alias("total")).join(
@@ -197,18 +214,25 @@ def _phi_k(chi2: float, row_counts: Sequence[int], col_counts: Sequence[int]) ->
 
 
 def phi_k(df: DataFrame, pairs: Sequence[tuple[str, str]], max_levels: int = 2_000) -> DataFrame:
-    """Phi-K of each pair of (binned) columns. Counts come from Spark; one number per pair is solved here."""
-    stats = chi_squared(df, pairs).collect()
-    widest = max((max(s["r"], s["c"]) for s in stats), default=0)
-    if widest > max_levels:
-        raise ValueError(f"a column has {widest} levels; bin it before measuring Phi-K")
-    margins: dict[tuple[str, str, str], list[int]] = {}
-    cells = _pair_cells(df, pairs)
-    for side, name in (("va", "a"), ("vb", "b")):
-        for r in cells.groupBy("a", "b", side).agg(F.sum("n").alias("n")).orderBy(side).collect():
-            margins.setdefault((r["a"], r["b"], name), []).append(r["n"])
-    out = [(s["a"], s["b"], _phi_k(s["chi2"], margins[s["a"], s["b"], "a"], margins[s["a"], s["b"], "b"])) for s in stats]
-    return df.sparkSession.createDataFrame(out, "a string, b string, phi_k double")
+    """Phi-K of each pair of (binned) columns. Counts, margins and solutions all come from Spark, a pair at a time."""
+    cells = checkpointed(_pair_cells(df, pairs))
+
+    def margin(side: str, name: str) -> DataFrame:
+        counts = cells.groupBy("a", "b", side).agg(F.sum("n").alias("n"))
+        return counts.groupBy("a", "b").agg(F.sort_array(F.collect_list(F.struct(side, "n")))["n"].alias(name))
+
+    sizes = [cells.groupBy("a", "b").agg(F.count_distinct(side).alias("k")).agg(F.max("k")).first()[0] or 0 for side in ("va", "vb")]
+    if max(sizes) > max_levels:
+        raise ValueError(f"a column has {max(sizes)} levels; bin it before measuring Phi-K")
+    stats = _chi_of(cells).join(margin("va", "rows"), ["a", "b"]).join(margin("vb", "cols"), ["a", "b"])
+
+    def solve(batches):
+        for batch in batches:
+            found = [_phi_k(*v) for v in zip(*(batch.column(c).to_pylist() for c in ("chi2", "rows", "cols")), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(found, pa.float64())], names=["a", "b", "phi_k"])
+
+    dealt = stats.select("a", "b", "chi2", "rows", "cols").repartition(max(1, min(200, len(pairs))), "a", "b")
+    return dealt.mapInArrow(solve, "a string, b string, phi_k double")
 
 
 def phi_k_with_target(df: DataFrame, cs: Sequence[str], target: str, k: int = 10) -> DataFrame:

@@ -11,7 +11,8 @@ from riskloom.operators import impute as I
 from riskloom.operators import ordered as O
 from riskloom.operators import selection as S
 from riskloom.queries.base import Tables, all_rounded, query, rounded, sql_all_rounded
-from riskloom.queries.loan_tables import APPLICATION_NUMBERS, APPLICATION_TEXT, LOAN_TABLES, oracle_text
+from riskloom.operators.prefix import range_positions
+from riskloom.queries.loan_tables import APPLICATION_NUMBERS, APPLICATION_TEXT, LOAN_TABLES, PREVIOUS_REAL, PREVIOUS_TEXT, oracle_text
 from riskloom.functions.columns import one_hot, recode
 
 APP = oracle_text("application")
@@ -70,9 +71,18 @@ def q3(t: Tables):
 
 
 PREV = oracle_text("previous")
-CORR = ["AMT_CREDIT", "AMT_APPLICATION", "AMT_GOODS_PRICE", "AMT_ANNUITY", "AMT_DOWN_PAYMENT", "CNT_PAYMENT", "SELLERPLACE_AREA"]
-CORR_PAIRS = [(CORR[i], CORR[j]) for i in range(len(CORR)) for j in range(i + 1, len(CORR))]
-CORR_SQL = " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, corr({a}, {b}) AS r FROM ({PREV})" for a, b in CORR_PAIRS)
+CORR = PREVIOUS_REAL
+
+
+def _corr_sql(source: str, cs: list[str]) -> str:
+    """All pairs from one pass; a constant column has no correlation."""
+    pairs = [(a, b) for i, a in enumerate(cs) for b in cs[i + 1 :]]
+    cells = ", ".join(f"{{'a': '{a}', 'b': '{b}', 'r': corr({a}, {b})}}" for a, b in pairs)
+    return f"SELECT e.a AS a, e.b AS b, CASE WHEN isfinite(e.r) THEN e.r END AS r FROM (SELECT unnest([{cells}]) AS e FROM ({source}))"
+
+
+CORR_SQL = _corr_sql(PREV, CORR)
+APP_CORR_SQL = _corr_sql(APP, APPLICATION_NUMBERS)
 
 
 @query("q4_drop_correlated", f"SELECT DISTINCT b AS variable FROM ({CORR_SQL}) WHERE abs(r) > 0.7")
@@ -86,16 +96,22 @@ def q5(t: Tables):
     return rounded(C.correlation_matrix(t.sql(LOAN_TABLES["previous"]), CORR))
 
 
-@query("q5_correlation_matrix_wide", f"SELECT a, b, round(r, 6) + 0.0 AS r FROM ({CORR_SQL})")
+@query("q5_correlation_matrix_wide", f"SELECT a, b, round(r, 6) + 0.0 AS r FROM ({APP_CORR_SQL})")
 def q5b(t: Tables):
-    return rounded(C.correlation_matrix(t.sql(LOAN_TABLES["previous"]), CORR, narrow=0))
+    return rounded(C.correlation_matrix(application(t), APPLICATION_NUMBERS))
 
 
-PHI_PAIRS = [("NAME_CONTRACT_TYPE", "NAME_GOODS_CATEGORY"), ("NAME_CONTRACT_STATUS", "NAME_TYPE_SUITE"), ("NAME_CONTRACT_STATUS", "NAME_YIELD_GROUP")]
+@query("q4_drop_correlated_wide", f"SELECT DISTINCT b AS variable FROM ({APP_CORR_SQL}) WHERE abs(r) > 0.7")
+def q4b(t: Tables):
+    _, gone = C.drop_correlated(application(t).select("SK_ID_CURR", *APPLICATION_NUMBERS), 0.7, protect=["SK_ID_CURR"])
+    return t.spark.createDataFrame([(c,) for c in gone], "variable string")
+
+
+PHI_PAIRS = [(a, b) for i, a in enumerate(PREVIOUS_TEXT) for b in PREVIOUS_TEXT[i + 1 :]]
 
 
 def _chi_sql(a: str, b: str) -> str:
-    src = f"SELECT {a} AS va, {b} AS vb, count(*) AS n FROM ({PREV}) WHERE {a} IS NOT NULL AND {b} IS NOT NULL GROUP BY 1, 2"
+    src = f"SELECT {a} AS va, {b} AS vb, count(*) AS n FROM prev WHERE {a} IS NOT NULL AND {b} IS NOT NULL GROUP BY 1, 2"
     return (
         f"SELECT '{a}' AS a, '{b}' AS b, total, r, c, total * (term - 1) AS chi2, sqrt(greatest(term - 1, 0) / (least(r, c) - 1)) AS cramers_v FROM ("
         "SELECT sum(n)::BIGINT AS total, count(DISTINCT va) AS r, count(DISTINCT vb) AS c, sum(n::DOUBLE * n / (nr::DOUBLE * nc)) AS term FROM ("
@@ -105,7 +121,7 @@ def _chi_sql(a: str, b: str) -> str:
 
 @query(
     "q6_chi_squared",
-    "SELECT a, b, total, r, c, round(chi2, 6) + 0.0 AS chi2, round(cramers_v, 6) + 0.0 AS cramers_v FROM ("
+    f"WITH prev AS MATERIALIZED ({PREV}) SELECT a, b, total, r, c, round(chi2, 6) + 0.0 AS chi2, round(cramers_v, 6) + 0.0 AS cramers_v FROM ("
     + " UNION ALL ".join(_chi_sql(a, b) for a, b in PHI_PAIRS) + ")",
 )
 def q6(t: Tables):
@@ -119,9 +135,32 @@ def q6b(t: Tables):
 
 @query("q6_phi_k_target")
 def q6c(t: Tables):
-    cs = ["AMT_CREDIT", "AMT_ANNUITY", "EXT_SOURCE_2"]
-    df = C.equal_width_bins(application(t).select("TARGET", "NAME_INCOME_TYPE", *cs), cs)
-    return C.phi_k_with_target(df, ["NAME_INCOME_TYPE", *cs], "TARGET", 3)
+    """The ten columns most associated with the target, of all of the application."""
+    df = C.equal_width_bins(application(t).select("TARGET", *APPLICATION_TEXT, *APPLICATION_NUMBERS), APPLICATION_NUMBERS)
+    return C.phi_k_with_target(df, [*APPLICATION_TEXT, *APPLICATION_NUMBERS], "TARGET", 10)
+
+
+SPLITS = {"price": "o_totalprice", "shifted": "o_totalprice + 100000 * (o_custkey % 7)", "client": "o_custkey"}
+HALVES = "SELECT " + ", ".join(f"(2 * row_number() OVER (ORDER BY {e}, o_orderkey) <= count(*) OVER ())::INT AS {n}" for n, e in SPLITS.items()) + " FROM orders"
+SPLIT_PAIRS = [("price", "shifted"), ("price", "client"), ("shifted", "client")]
+
+
+@query(
+    "q6_phi_k_median_splits",
+    " UNION ALL ".join(
+        f"SELECT '{a}' AS a, '{b}' AS b, round(CASE WHEN chi2 <= 1 THEN 0 ELSE sin(pi() / 2 * sqrt((chi2 - 1) / (n - 1))) END, 3) + 0.0 AS phi_k "
+        f"FROM (SELECT count(*) AS n, count(*) * pow(4.0 * count(*) FILTER ({a} = 1 AND {b} = 1) / count(*) - 1, 2) AS chi2 FROM ({HALVES}))"
+        for a, b in SPLIT_PAIRS
+    ),
+)
+def q6d(t: Tables):
+    """Of two columns cut at their medians, Phi-K has a closed form: the quadrants of a bivariate normal."""
+    rows = t.orders.select("o_orderkey", *[F.expr(e).alias(n) for n, e in SPLITS.items()])
+    total = rows.count()
+    for n in SPLITS:
+        ranked = range_positions(rows.withColumn("all", F.lit(0)), ["all"], [n, "o_orderkey"])
+        rows = ranked.withColumn(n, (2 * (F.col("rank") + 1) <= total).cast("int")).drop("rank", "all")
+    return rounded(C.phi_k(rows, SPLIT_PAIRS), 3)
 
 
 CONST = {"always": "1", "never": "CAST(NULL AS INT)", "half": "CASE WHEN c_nationkey > 5 THEN 1 END", "varied": "c_nationkey"}

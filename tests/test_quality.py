@@ -39,6 +39,27 @@ def test_pairwise_correlation_with_gaps(spark, narrow):
             assert r["r"] == pytest.approx(want.loc[r["a"], r["b"]], abs=1e-9)
 
 
+def test_correlation_of_1500_columns(spark, tmp_path):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(300, 1500)) + 1e5
+    x[:, 700:705] = 3 * x[:, :5]
+    x[rng.random(x.shape) < 0.02] = np.nan
+    x[:, 9] = 1.0
+    pdf = pd.DataFrame(x, columns=[f"c{i}" for i in range(1500)])
+    C.nan_to_null(spark.createDataFrame(pdf)).repartition(3).write.parquet(f"{tmp_path}/wide")
+    df = spark.read.parquet(f"{tmp_path}/wide")
+    assert K.correlated_columns(df, 0.9) == [f"c{i}" for i in range(700, 705)]
+    got = K.correlation_matrix(df, list(pdf.columns))
+    assert got.count() == 1500 * 1499 // 2
+    some = got.filter("a IN ('c0', 'c140', 'c9') AND b IN ('c700', 'c1499', 'c141')").collect()
+    assert len(some) == 9
+    for r in some:
+        if r["a"] == "c9":
+            assert r["r"] is None
+        else:
+            assert r["r"] == pytest.approx(pdf[r["a"]].corr(pdf[r["b"]]), abs=1e-9)
+
+
 def test_phi_k_of_a_binned_normal_recovers_its_correlation(spark):
     rng = np.random.default_rng(5)
     x = rng.normal(size=20_000)

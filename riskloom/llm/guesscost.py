@@ -4,9 +4,12 @@ The guess cost of a value is the cheapest way to write it as words, dates, repea
 brute-force characters, in decimal logarithms of guesses, found by dynamic programming over the end of
 the value. A value that no cheap reading explains is reported as a span of kind ``guess``. Words are the
 frequent words of passwords, words that occur twice in the same text, and the words of the corpus, ranked by
-the number of documents that hold them.
+the number of documents that hold them. Values in a credential context are nobody's words: they count neither
+towards their text's words nor towards the corpus, and a word of one text alone, however often it is copied, is
+none of the corpus. So a secret is found however often it is repeated or copied.
 
-Defined results: null counts as an empty text, which has no spans; equal rows give equal results; a span
+Defined results: null counts as an empty text, which has no spans; an empty table gives an empty result; very long
+texts are scanned whole in time linear in their length; equal rows give equal results; a span
 of the fixed patterns always stays, and an added span may overlap one but is never wholly inside it; other
 columns are ignored.
 """
@@ -15,9 +18,9 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Collection, Mapping
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,7 +39,7 @@ MIN_COST, MIN_LENGTH = 10.0, 8
 LONGEST_WORD = 32
 # a corpus word holds this share of all pairs of document and word (so there are at most 500,000) and is in this many documents
 WORD_SHARE, WORD_DOCS = 2e-6, 3
-_COUNTED = 500_000
+_COUNTED = 1_000_000
 _LETTERS = re.compile(r"[^\W\d_]{3,}")
 
 _CONTEXT = re.compile(
@@ -100,27 +103,51 @@ def guess_cost(value: str, known: Collection[str] = (), ranks: Mapping[str, int]
     return best[n]
 
 
+def without_values(text: str, low: str) -> str:
+    """The lower-case text without the values in credential contexts."""
+    if not any(k in low for k in _HINTS):
+        return low
+    out, last = [], 0
+    for m in _CONTEXT.finditer(text):
+        out.append(text[last : m.start(1)])
+        last = m.end(1)
+    return " ".join([*out, text[last:]]).lower() if out else low
+
+
 def lexicon(docs: DataFrame, *, share: float = WORD_SHARE, least: int = WORD_DOCS) -> dict[str, int]:
-    """The rank of every corpus word by the number of documents that hold it, ties by the word."""
+    """The rank of every corpus word by the number of documents that hold it, ties by the word.
+
+    Words of a single text and its copies are left out: beside the count travel the least and the greatest
+    hash of the texts that hold a word.
+    """
 
     def run(batches):
-        seen: Counter[str] = Counter()
+        words: list[str] = []
+        counts: list[int] = []
+        hashes: list[int] = []
 
         def out():
-            return pa.RecordBatch.from_pydict({"word": pa.array(seen.keys(), pa.string()), "n": pa.array(seen.values(), pa.int64())})
+            column = pa.array(np.repeat(np.array(hashes, np.int64), counts))
+            table = pa.table({"word": pa.array(words, pa.string()), "h": column}).group_by("word").aggregate([("h", "count"), ("h", "min"), ("h", "max")])
+            yield from table.select(["word", "h_count", "h_min", "h_max"]).rename_columns(["word", "n", "low", "high"]).combine_chunks().to_batches()
 
         for batch in (part for whole in batches for part in slices(whole)):
-            for text in batch.column(0).to_pylist():
-                seen.update({w for w in _LETTERS.findall(text.lower()) if len(w) <= LONGEST_WORD})
-            if len(seen) > _COUNTED:
-                yield out()
-                seen.clear()
-        yield out()
-
-    counts = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, "word string, n long")
-    counts = checkpointed(counts.groupBy("word").agg(F.sum("n").alias("n")))
+            for text, h in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                own = {w for w in _LETTERS.findall(without_values(text, text.lower())) if len(w) <= LONGEST_WORD}
+                words.extend(own)
+                counts.append(len(own))
+                hashes.append(h)
+            if len(words) > _COUNTED:
+                yield from out()
+                words, counts, hashes = [], [], []
+        if words:
+            yield from out()
+
+    text = F.coalesce("text", F.lit(""))
+    counts = docs.select(text.alias("text"), F.xxhash64(text).alias("h")).mapInArrow(run, "word string, n long, low long, high long")
+    counts = checkpointed(counts.groupBy("word").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high")))
     total = counts.agg(F.sum("n")).first()[0] or 0
-    rows = counts.where(F.col("n") >= max(float(least), share * total)).toArrow()
+    rows = counts.where((F.col("n") >= max(float(least), share * total)) & (F.col("low") < F.col("high"))).select("word", "n").toArrow()
     order = sorted(zip(rows.column("n").to_pylist(), rows.column("word").to_pylist(), strict=True), key=lambda x: (-x[0], x[1]))
     return {w: i + 1 for i, (_, w) in enumerate(order)}
 
@@ -138,7 +165,7 @@ def find(text: str, min_cost: float = MIN_COST, ranks: Mapping[str, int] | None
             if known is None:
                 seen: set[str] = set()
                 known = set()
-                for w in _LETTERS.findall(low):
+                for w in _LETTERS.findall(without_values(text, low)):
                     (known if w in seen else seen).add(w)
             cost = guess_cost(value, known, ranks)
             top = max(top, cost)

@@ -4,10 +4,11 @@ Training counts byte trigrams of lower-case letters over all labelled training r
 distribution per language. A document is cut into words; the likelihood of each word under each language
 follows from its trigrams, and expectation-maximisation finds the proportions of the languages. The set
 of languages is then chosen by likelihood less a penalty per language (half the logarithm of the number
-of words plus a constant).
+of words plus a constant), over sets of every size; the proportions fitted on that set give the prediction, its
+score and the reported mixture.
 
-Defined results: ``und`` with score 0 for null texts and texts without a letter; equal texts get equal
-results; ties go to the language that sorts first; with no labelled row every result is ``und``; other
+Defined results: ``und`` with score 0 for null texts and texts without a letter; an empty table gives an empty
+result; very long texts are read whole, in runs of a megabyte of texts; equal texts get equal results; ties go to the language that sorts first; with no labelled row every result is ``und``; other
 columns are ignored. The model holds one row per language of the labels, so it is small by nature.
 """
 
@@ -22,6 +23,7 @@ from pyspark.sql import types as T
 from riskloom.llm.common import pieces, strings, text_or_empty
 
 BITS = 15
+TOLERANCE, MOST_STEPS = 1e-3, 1000
 _CHUNK = 1 << 20
 _LETTER = np.zeros(256, np.uint8)
 _LETTER[97:123] = np.arange(97, 123)
@@ -80,24 +82,39 @@ def word_logs(data: np.ndarray, offsets: np.ndarray, model: np.ndarray) -> tuple
     return out, np.diff(np.append(word, len(bucket))).astype(np.float32), at
 
 
-def mixture(logs: np.ndarray, weight: np.ndarray, at: np.ndarray, allowed: np.ndarray, steps: int) -> tuple[np.ndarray, np.ndarray]:
-    """Proportions of the allowed languages per text after some steps, and the log-likelihood reached."""
+def mixture(logs: np.ndarray, weight: np.ndarray, at: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Proportions of the allowed languages per text, stepped until none changes by ``TOLERANCE``, and the log-likelihood reached."""
     n, text = np.diff(at), np.repeat(np.arange(len(at) - 1), np.diff(at))
     peak = logs.max(1, keepdims=True)
     like = np.exp(logs - peak)
     total = np.add.reduceat(weight, at[:-1])
     share = allowed / allowed.sum(1, keepdims=True)
-    for _ in range(steps):
-        got = like * share[text]
-        got *= (weight / np.maximum(got.sum(1), 1e-30))[:, None]
-        share = np.add.reduceat(got, at[:-1], axis=0) / total[:, None]
-        share = np.where(allowed > 0, np.maximum(share, 1e-9), 0)
+    going = np.arange(len(n))
+    rows, own, first = np.arange(len(text)), like, at[:-1]
+    for _ in range(MOST_STEPS):
+        if not len(going):
+            break
+        # texts that have settled are left alone
+        got = own * np.repeat(share[going], n[going], axis=0)
+        got *= (weight[rows] / np.maximum(got.sum(1), 1e-30))[:, None]
+        new = np.add.reduceat(got, first, axis=0) / total[going][:, None]
+        new = np.where(allowed[going] > 0, np.maximum(new, 1e-9), 0)
+        moved = np.abs(new - share[going]).max(1) > TOLERANCE
+        share[going] = new
+        if not moved.all():
+            keep = np.repeat(moved, n[going])
+            going, rows, own = going[moved], rows[keep], own[keep]
+            first = np.concatenate([[0], np.cumsum(n[going])])[:-1]
     fit = np.add.reduceat(np.log(np.maximum((like * share[text]).sum(1), 1e-30)) + peak[:, 0], at[:-1])
     return (share / share.sum(1, keepdims=True)).astype(np.float32), np.where(n > 0, fit, 0)
 
 
 def identify(data: np.ndarray, offsets: np.ndarray, model: np.ndarray, penalty: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per text: proportions over all languages, languages in the chosen set as a mask, number of words."""
+    """Per text: proportions fitted on the chosen set, that set as a mask, number of words.
+
+    Sets are the most probable 1, 2, ... up to all languages of the unrestricted fit; the one with the highest
+    likelihood less its penalty is chosen.
+    """
     n_lang = len(model)
     logs, weight, at = word_logs(data, offsets, model)
     n = np.diff(at)
@@ -107,23 +124,28 @@ def identify(data: np.ndarray, offsets: np.ndarray, model: np.ndarray, penalty:
     if not len(some):
         return share, chosen, n
     starts = np.append(at[some], at[-1])
-    share[some], _ = mixture(logs, weight, starts, np.ones((len(some), n_lang), np.float32), 10)
+    share[some], whole = mixture(logs, weight, starts, np.ones((len(some), n_lang), np.float32))
     order = np.argsort(-share[some], axis=1, kind="stable")
     chosen[some, order[:, 0]] = True
-    # only texts with a second language worth a look are fitted again with smaller sets
-    open_ = some[np.sort(share[some], axis=1)[:, -2] > 0.02] if n_lang > 1 else some[:0]
+    # the fit with one language needs no steps; where all languages together gain less than one more costs, no other set is better
+    one = np.add.reduceat(np.take_along_axis(logs, np.repeat(order[:, :1], n[some], axis=0), 1)[:, 0], starts[:-1])
+    cost = 0.5 * np.log(np.maximum(n[some], 2)) + penalty
+    single = whole - one <= cost
+    open_, best, cost = some[~single], (one - cost)[~single], cost[~single]
+    share[some[single]] = chosen[some[single]]
     if len(open_):
         take = np.concatenate([np.arange(at[i], at[i + 1]) for i in open_])
         sub = np.concatenate([[0], np.cumsum(n[open_])])
         rank = np.argsort(np.argsort(-share[open_], axis=1, kind="stable"), axis=1)
-        best = np.full(len(open_), -np.inf)
-        for k in range(1, min(4, n_lang) + 1):
+        share[open_] = chosen[open_]
+        for k in range(2, n_lang + 1):
             allowed = (rank < k).astype(np.float32)
-            _, fit = mixture(logs[take], weight[take], sub, allowed, 6)
-            value = fit - k * (0.5 * np.log(np.maximum(n[open_], 2)) + penalty)
+            fitted, fit = mixture(logs[take], weight[take], sub, allowed)
+            value = fit - k * cost
             better = value > best
             best[better] = value[better]
             chosen[open_[better]] = allowed[better] > 0
+            share[open_[better]] = fitted[better]
     return share, chosen, n
 
 
@@ -169,7 +191,7 @@ def detect(docs: DataFrame, names: list[str], model: np.ndarray, *, penalty: flo
     return rows.mapInArrow(keeping, T.StructType([rows.schema["row"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
 
 
-def accepted(docs: DataFrame, names: list[str], model: np.ndarray, *, least: float = 0.5) -> DataFrame:
-    """The documents of which one learned language holds at least ``least``, with the input's columns."""
-    rows = detect(docs, names, model, keep=True).where((F.col("lang_pred") != "und") & (F.col("score") >= least))
+def accepted(docs: DataFrame, names: list[str], model: np.ndarray) -> DataFrame:
+    """The documents whose chosen set holds learned languages, however many, with the input's columns."""
+    rows = detect(docs, names, model, keep=True).where(F.col("lang_pred") != "und")
     return rows.select(*[F.col("row")[c].alias(c) for c in docs.columns])

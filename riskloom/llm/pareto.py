@@ -3,11 +3,12 @@
 Targets: sources, ordered by code point with null last, carry repeating weights and share a multiple of
 all words; no target exceeds ``cap`` times its source's words, and what is cut off goes to the others
 by weight. A document is then taken ``floor(target / source words)`` whole times for certain, and once
-more with the remaining fraction as its inclusion probability: documents are ranked by
-``odds(u) / odds(inclusion)`` with a random number ``u`` that is a function of the document's id, and
-the first of the ranking that fill the remaining words are selected.
+more with an inclusion probability in proportion to its size (so that the expected words are those that remain
+to the target; ``MOST`` at most): documents are ranked by ``odds(u) / odds(inclusion)`` with a random number
+``u`` that is a function of the document's id, and the first of the ranking that fill the remaining words are
+selected.
 
-Defined results: null or empty texts have size 0; an empty table gives no rows; rows that repeat an id
+Defined results: null or empty texts have size 0 and no further copy; an empty table gives no rows; rows that repeat an id
 are selected together; other columns are ignored; a null id is an id of its own.
 
 A source may hold any share of the rows: the place where its ranking is cut is found from sums per
@@ -25,6 +26,9 @@ from riskloom.llm.common import n_words, small
 from riskloom.session import checkpointed
 
 
+MOST = 0.98
+
+
 def uniform(doc_id: Column, seed: str) -> Column:
     """A number strictly between 0 and 1 that depends on the id and the seed only."""
     text = F.coalesce(doc_id.cast("string"), F.lit("null"))
@@ -67,16 +71,20 @@ def mix_sources(
         .withColumn("part", F.col("rate") - F.col("whole"))
         .withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
     )
+    squares = sizes.groupBy(F.col("source").alias("_source")).agg(F.sum((F.col("size") * F.col("size")).cast("decimal(38,0)")).cast("double").alias("squares"))
+    share_of = share_of.join(small(squares), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+    share_of = checkpointed(share_of.withColumn("per_word", F.when(F.col("squares") > 0, F.col("rest") / F.col("squares")).otherwise(0.0)).drop("squares"))
     share_small = small(share_of)
 
     def ranked(df: DataFrame, side: DataFrame) -> DataFrame:
         u = uniform(F.col("doc_id"), seed)
         df = df.join(side.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-        odds = (u / (F.lit(1.0) - u)) / (F.col("part") / (F.lit(1.0) - F.col("part")))
-        df = df.withColumn("rank", F.when(F.col("part") > 0, odds))
+        odds = (u / (F.lit(1.0) - u)) / (F.col("inclusion") / (F.lit(1.0) - F.col("inclusion")))
+        df = df.withColumn("inclusion", F.least(F.col("per_word") * F.col("size"), F.lit(MOST)))
+        df = df.withColumn("rank", F.when((F.col("part") > 0) & (F.col("inclusion") > 0), odds)).drop("inclusion")
         return df.withColumn("bucket", F.floor(F.col("rank") / (F.lit(1.0) + F.col("rank")) * buckets))
 
-    order = ranked(sizes, share_small).where("part > 0")
+    order = ranked(sizes, share_small).where("rank is not null")
     sums = order.groupBy("place", "bucket").agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
     run = Window.partitionBy("place").orderBy("bucket")
     sums = sums.withColumn("before", F.sum("words").over(run) - F.col("words"))
@@ -93,7 +101,7 @@ def mix_sources(
     out = ranked(source, small(share_of))
     here = F.struct("rank", F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long")).alias("id"))
     chosen = F.col("cut_bucket").isNull() | (F.col("bucket") < F.col("cut_bucket")) | ((F.col("bucket") == F.col("cut_bucket")) & (here <= F.col("last")))
-    extra = F.when((F.col("part") > 0) & F.coalesce(chosen, F.lit(False)), 1).otherwise(0)
+    extra = F.when(F.col("rank").isNotNull() & F.coalesce(chosen, F.lit(False)), 1).otherwise(0)
     out = out.withColumn("copies", (F.col("whole") + extra).cast("int")).withColumn("taken", (F.col("copies") * F.col("size")).cast("long"))
     return out.select(*(["row"] if keep_text else []), "doc_id", "size", "source_size", "target", "copies", "taken")
 
@@ -121,10 +129,12 @@ p AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END
 q AS (SELECT *, floor(rate) AS whole, rate - floor(rate) AS part, target - floor(rate) * source_size AS rest FROM p),
 u AS (SELECT d.doc_id, d.size, q.*, (('0x' || substr(md5('mix:' || coalesce(d.doc_id::VARCHAR, 'null')), 1, 12))::BIGINT::DOUBLE + 0.5) / 281474976710656.0::DOUBLE AS x
   FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source),
-o AS (SELECT *, CASE WHEN part > 0 THEN (x / (1.0 - x)) / (part / (1.0 - part)) END AS rank FROM u),
+o AS (SELECT *, CASE WHEN part > 0 AND inclusion > 0 THEN (x / (1.0 - x)) / (inclusion / (1.0 - inclusion)) END AS rank
+  FROM (SELECT u.*, least(CASE WHEN squares > 0 THEN rest / squares ELSE 0.0 END * size, 0.98::DOUBLE) AS inclusion
+    FROM u JOIN (SELECT source, sum(size * size)::DOUBLE AS squares FROM d GROUP BY source) e ON e.source IS NOT DISTINCT FROM u.source)),
 a AS (SELECT *, sum(size) OVER (PARTITION BY place ORDER BY rank, doc_id) AS upto, sum(size) OVER (PARTITION BY place, rank, doc_id) AS tied FROM o)
 SELECT doc_id, size, source_size, target,
-  (whole + CASE WHEN part > 0 AND upto - tied + tied / 2.0 <= rest THEN 1 ELSE 0 END)::INT AS copies,
-  ((whole + CASE WHEN part > 0 AND upto - tied + tied / 2.0 <= rest THEN 1 ELSE 0 END) * size)::BIGINT AS taken
+  (whole + CASE WHEN part > 0 AND inclusion > 0 AND upto - tied + tied / 2.0 <= rest THEN 1 ELSE 0 END)::INT AS copies,
+  ((whole + CASE WHEN part > 0 AND inclusion > 0 AND upto - tied + tied / 2.0 <= rest THEN 1 ELSE 0 END) * size)::BIGINT AS taken
 FROM a
 """

@@ -9,17 +9,19 @@ document's duplicate cluster is already in the bin, or its source is there ``per
 
 A document longer than a bin is cut into full bins of its own and a remainder, which is packed like
 any other. Defined results: null texts and texts without a word take no room and get no bin (``bin``
-is null); equal rows are members of one cluster and go to different bins; null sources and null
-clusters are a source and a cluster like any other; an empty table gives no rows.
+is null); equal rows are members of one cluster and go to different bins; null sources are a source like any
+other and rows without a class are clusters of equal texts; an empty table gives no rows; a very long text is cut
+into bins without being read again; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.llm.chosenpath import similarity_classes
 from riskloom.llm.common import n_words, parts_for, text_or_empty
 
 CAPACITY, SHARD_ROWS, PER_SOURCE = 2048, 4096, 4
@@ -103,10 +105,20 @@ def _shard(capacity: int, per_source: int):
     return run
 
 
-def best_fit(docs: DataFrame, *, cluster: Column | None = None, capacity: int = CAPACITY, per_source: int = PER_SOURCE, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """One row per piece of a document: its place in the document and its bin. Clusters default to equal texts."""
-    cluster = F.xxhash64(text_or_empty()) if cluster is None else cluster
-    rows = docs.select("doc_id", F.col("source").cast("string").alias("source"), cluster.cast("string").alias("cluster"), n_words().alias("size"))
+def near_copies(docs: DataFrame) -> DataFrame:
+    """doc_id and the class of near copies it is in, one row per id."""
+    return similarity_classes(docs).groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
+
+
+def best_fit(docs: DataFrame, *, classes: DataFrame | None = None, capacity: int = CAPACITY, per_source: int = PER_SOURCE, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """One row per piece of a document: its place in the document and its bin.
+
+    Clusters are the given ``classes`` (doc_id, class_id); without them, and for rows that have none, equal texts.
+    """
+    rows = docs.select("doc_id", F.col("source").cast("string").alias("source"), F.xxhash64(text_or_empty()).cast("string").alias("cluster"), n_words().alias("size"))
+    if classes is not None:
+        given = classes.select(F.col("doc_id").alias("_id"), F.concat(F.lit("class "), F.col("class_id").cast("string")).alias("_class"))
+        rows = rows.join(given, rows["doc_id"] == given["_id"], "left").withColumn("cluster", F.coalesce("_class", "cluster")).drop("_id", "_class")
     shards = parts_for(docs.count(), shard_rows, 1)
     # the cluster takes part in the deal, so that rows which repeat one id spread as well
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster", "size", F.lit(7)), F.lit(shards)).cast("int"))

@@ -29,7 +29,8 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op2_best_fit_packing")
 def op2(spark, folder):
-    return packing.best_fit(documents(spark, folder))
+    docs = documents(spark, folder)
+    return packing.best_fit(docs, classes=packing.near_copies(docs))
 
 
 @query("op10_pareto_mix", pareto.ORACLE)

@@ -2,7 +2,7 @@
 
 Texts are range-partitioned by id and tokenised once; the ids are kept as compressed blocks of whole
 documents. From them come the shared table (one row per vocabulary entry) and the number of ids per
-partition, whose running sum gives every block its place. Blocks are then coded independently and written
+partition, whose running sum gives every block its place beside the ids that its own partition holds before it. Blocks are then coded independently and written
 as one Parquet table (columns ``BLOCK_COLUMNS``) beside the table of frequencies; readers may take any
 blocks in any order.
 
@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import rans
@@ -196,15 +196,15 @@ def _tokenise(path: str, end: int):
     def run(batches):
         words = _words.setdefault(path, None) or Words(path)
         _words[path] = words
-        part, block, press = TaskContext.get().partitionId(), 0, zstandard.ZstdCompressor(1)
+        part, block, done, press = TaskContext.get().partitionId(), 0, 0, zstandard.ZstdCompressor(1)
         held: list = []
 
         def row():
-            nonlocal block, held
+            nonlocal block, done, held
             keys, sizes, ids = (np.concatenate(x) for x in zip(*held, strict=True))
             held = []
-            raw = pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "block": pa.array([block], pa.int32()), "n_ids": pa.array([len(ids)], pa.int64()), "doc_ids": [keys.tobytes()], "lengths": [sizes.astype(np.int64).tobytes()], "ids": [press.compress(ids.astype(np.uint16 if ids.max() < 1 << 16 else np.uint32).tobytes())], "wide": [bool(ids.max() >= 1 << 16)]})
-            block += 1
+            raw = pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "block": pa.array([block], pa.int32()), "before": pa.array([done], pa.int64()), "n_ids": pa.array([len(ids)], pa.int64()), "doc_ids": [keys.tobytes()], "lengths": [sizes.astype(np.int64).tobytes()], "ids": [press.compress(ids.astype(np.uint16 if ids.max() < 1 << 16 else np.uint32).tobytes())], "wide": [bool(ids.max() >= 1 << 16)]})
+            block, done = block + 1, done + len(ids)
             return raw
 
         for batch in batches:
@@ -254,7 +254,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str, *, end: int = END) -> No
     try:
         # texts go to the workers in smaller batches than by default
         spark.conf.set(kept, min(_BATCH, int(before)) if int(before) > 0 else _BATCH)
-        tokens = checkpointed(rows.mapInArrow(_tokenise(tokenizer, end), "part int, block int, n_ids long, doc_ids binary, lengths binary, ids binary, wide boolean"))
+        tokens = checkpointed(rows.mapInArrow(_tokenise(tokenizer, end), "part int, block int, before long, n_ids long, doc_ids binary, lengths binary, ids binary, wide boolean"))
     finally:
         spark.conf.set(kept, before)
     # one row per vocabulary entry, one per partition
@@ -266,10 +266,6 @@ def write(docs: DataFrame, tokenizer: str, folder: str, *, end: int = END) -> No
     freq = np.zeros(int(counts["id"].max()) + 1 if len(counts) else 1, np.int64)
     freq[counts["id"].to_numpy(np.int64)] = rans.frequencies(counts["n"].to_numpy())
     shared = spark.sparkContext.broadcast((freq, begin))
-    # places within a partition come from the block sizes before, of which there are few
-    before = F.sum("n_ids").over(Window.partitionBy("part").orderBy("block")) - F.col("n_ids")
-    place = tokens.select("part", "block", "n_ids").withColumn("before", before).select("part", "block", "before")
-
     def code(batches):
         freq, begin = shared.value
         table = rans.Table(freq)
@@ -280,7 +276,8 @@ def write(docs: DataFrame, tokenizer: str, folder: str, *, end: int = END) -> No
                 yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "block": batch.column("block").slice(i, 1), "first": pa.array([begin[part] + batch.column("before")[i].as_py()], pa.int64()), "n_ids": batch.column("n_ids").slice(i, 1), "doc_ids": batch.column("doc_ids").slice(i, 1), "lengths": batch.column("lengths").slice(i, 1), "payload": [payload]})
 
     spark.createDataFrame([(int(i), int(freq[i])) for i in np.flatnonzero(freq)], "id long, frequency long").coalesce(1).write.parquet(f"{folder}/table")
-    tokens.join(F.broadcast(place) if sum(sizes.values()) < BLOCK_IDS * 50_000 else place, ["part", "block"]).mapInArrow(code, BLOCK_COLUMNS).write.parquet(f"{folder}/blocks")
+    # one narrow pass over the kept partitions, so the files follow each other in the order of the ids
+    tokens.mapInArrow(code, BLOCK_COLUMNS).write.parquet(f"{folder}/blocks")
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:

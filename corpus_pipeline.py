@@ -1,7 +1,9 @@
 """The corpus pipeline: language, near copies, personal data, source mix, packing.
 
 Every stage applies one operator with production parameters to all that the stage before kept. All but the
-last return the columns of the documents.
+last return the columns of the documents. An empty table passes through all stages; null texts go in the first;
+rows that repeat one text are near copies, of which one stays; very long texts are read whole; columns besides
+those of the documents are kept as they are until the last stage.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from riskloom.llm import chosenpath, disclosure, languages, packing, pareto
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a learned language, or of which none holds half, go."""
+    """Documents without a learned language go: null and empty texts, texts without a letter."""
     names, model = languages.train(docs.where(~languages.held_out()), docs["lang"])
     return languages.accepted(docs, names, model)
 

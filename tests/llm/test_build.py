@@ -55,6 +55,27 @@ def test_packing_equals_naive_best_fit(items):
     assert packing.pack(*args, 20, 3) == naive_pack(*args, 20, 3)
 
 
+def test_near_copies_never_share_a_bin(make):
+    words = [f"w{i}" for i in range(60)]
+    near = [(i, " ".join([*words[:-1], f"end{i}"])) for i in range(12)]
+    rows = [*near, *[(100 + i, f"another text number {i} of its own") for i in range(30)], (None, " ".join(words)), (7, " ".join(words))]
+    docs = make(rows)
+    bins = defaultdict(list)
+    for r in packing.best_fit(docs, classes=packing.near_copies(docs)).collect():
+        bins[r["bin"]].append(r["doc_id"])
+    assert all(sum(i is not None and i < 12 for i in ids) <= 1 for ids in bins.values())
+    assert sum(map(len, bins.values())) == len(rows)
+
+
+def test_larger_documents_have_larger_odds(make):
+    rows = [(i, "w " * (10 if i % 2 else 40), "en", "s") for i in range(4000)] + [(10_000 + i, "w " * 25, "en", "t") for i in range(200)]
+    got = pareto.mix_sources(make(rows)).where("source_size > 50000").collect()
+    part = got[0]["target"] / got[0]["source_size"] % 1
+    extra = {n: np.mean([r["copies"] - min(x["copies"] for x in got) for r in got if r["size"] == n]) for n in (10, 40)}
+    assert abs(sum(r["taken"] for r in got) - got[0]["target"]) <= 40 and 0 < part < 1
+    assert extra[40] > 2 * extra[10] > 0
+
+
 def test_packing_keeps_all_words_and_all_rules(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = packing.best_fit(docs, shard_rows=300).collect()

@@ -7,6 +7,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -149,6 +150,61 @@ def test_languages_of_held_out_documents_and_mixtures(spark, make):
     assert (got[3]["lang_pred"], got[3]["score"]) == ("und", 0.0) == (got[4]["lang_pred"], got[4]["score"])
 
 
+def test_repeated_and_copied_secrets_are_reported(make):
+    assert guesscost.find("password is kqzjxwvbnmty")[1] == guesscost.find("password is kqzjxwvbnmty and once more kqzjxwvbnmty")[1] == [("guess", 12, 24)]
+    copies = [(i, "the password is kqzjxwvbnmty, and kqzjxwvbnmty it stays") for i in range(5)]
+    lines = [(10 + i, f"line {i}: the secret is patience for all of us") for i in range(5)]
+    got = {r["doc_id"]: r["spans"] for r in guesscost.scan_secrets(make([*copies, *lines])).collect()}
+    assert {got[i] for i in range(5)} == {"guess:16:28"}
+    # nobody's words: a value that only contexts hold is no word, one that texts hold elsewhere is
+    ranks = guesscost.lexicon(make([*copies, *lines, *[(30 + i, f"{i} has patience") for i in range(3)]]), share=0.0, least=3)
+    assert "kqzjxwvbnmty" not in ranks and {"patience", "line", "secret"} <= set(ranks)
+
+
+def plain_mixture(logs, allowed):
+    """Expectation-maximisation for one text, word by word, until nothing moves; weights are letters."""
+    share = {k: 1 / len(allowed) for k in allowed}
+    for _ in range(3000):
+        sums = dict.fromkeys(allowed, 0.0)
+        for word, letters in logs:
+            peak = max(word[k] for k in allowed)
+            got = {k: share[k] * math.exp(word[k] - peak) for k in allowed}
+            for k in allowed:
+                sums[k] += letters * got[k] / sum(got.values())
+        new = {k: max(v / sum(n for _, n in logs), 1e-9) for k, v in sums.items()}
+        moved = max(abs(new[k] - share[k]) for k in allowed)
+        share = new
+        if moved <= languages.TOLERANCE:
+            break
+    return share, sum(max(w.values()) + math.log(sum(share[k] * math.exp(w[k] - max(w.values())) for k in allowed)) for w, _ in logs)
+
+
+def test_chosen_languages_equal_a_plain_version():
+    rng = np.random.default_rng(4)
+    n_lang, penalty = 6, 5.0
+    model = np.log(rng.dirichlet(np.full(1 << languages.BITS, 0.02), n_lang) + 1e-7).astype(np.float32)
+    letters = "abcdefghij"
+    texts = [" ".join("".join(rng.choice(list(letters), rng.integers(1, 7))) for _ in range(int(rng.integers(1, 90)))) for _ in range(25)]
+    raw = [t.encode() for t in texts]
+    data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+    logs, weight, at = languages.word_logs(data, offsets, model)
+    share, chosen, n = languages.identify(data, offsets, model, penalty)
+    sizes = set()
+    for i in range(len(texts)):
+        words = [({k: float(logs[w, k]) for k in range(n_lang)}, float(weight[w])) for w in range(at[i], at[i + 1])]
+        first, _ = plain_mixture(words, range(n_lang))
+        order = sorted(range(n_lang), key=lambda k: (-first[k], k))
+        fits = [(fit - k * (0.5 * math.log(max(len(words), 2)) + penalty), shares) for k in range(1, n_lang + 1) for shares, fit in [plain_mixture(words, order[:k])]]
+        value, want = max(fits, key=lambda f: f[0])
+        near = sorted(v for v, _ in fits)[-2:]
+        if len(near) == 2 and near[1] - near[0] < 0.05:
+            continue  # too close to call in single precision
+        sizes.add(len(want))
+        assert set(np.flatnonzero(chosen[i])) == set(want)
+        assert all(abs(share[i, k] - want.get(k, 0.0)) < 0.02 for k in range(n_lang))
+    assert len(sizes) > 1
+
+
 def plain_quality(docs):
     """The whole operator in plain Python."""
     word = re.compile("[^\x20\x09-\x0d]+")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from riskloom.functions.columns import (
     interest,
     nullify_where,
+    numeric_columns,
     recode,
     row_max,
     row_mean,
@@ -21,7 +22,9 @@ from riskloom.functions.columns import (
     weighted_sum,
 )
 from riskloom.operators.aggregate import group_statistics
+from riskloom.operators.correlate import correlated_columns
 from riskloom.operators.encode import response_encode
+from riskloom.operators.impute import fill, fit_medians, fit_modes, sparse_columns
 from riskloom.operators.models import chained_model_impute, expected_terms
 from riskloom.operators.neighbours import knn_target_mean
 from riskloom.session import checkpointed
@@ -29,6 +32,7 @@ from riskloom.session import checkpointed
 # Document flags without information, sentinel and outlier bounds, yes/no codes.
 UNINFORMATIVE_FLAGS = ["FLAG_DOCUMENT_2", "FLAG_DOCUMENT_4", "FLAG_DOCUMENT_10", "FLAG_DOCUMENT_12", "FLAG_DOCUMENT_20"]
 EMPLOYED_SENTINEL = 365243
+SPARSE_LIMITS = (68.0, 67.0)  # percent missing in train and in test
 SOCIAL_CIRCLE_LIMIT = 30
 YES_NO_CODES = {
     "EMERGENCYSTATE_MODE": {"Yes": 0, "No": 1, None: 0},
@@ -114,6 +118,46 @@ def clean_application(df: DataFrame, compat: bool = False) -> DataFrame:
     return df.drop(*UNINFORMATIVE_FLAGS).withColumns(changed)
 
 
+def drop_sparse_and_fill(
+    train: DataFrame,
+    test: DataFrame,
+    key: str = "SK_ID_CURR",
+    target: str = "TARGET",
+    limits: tuple[float, float] = SPARSE_LIMITS,
+    own_medians: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """What comes before the derived columns: sparse columns go, gaps get medians and modes.
+
+    A column goes from a table where it misses more than that table's limit (train, test) in percent; columns
+    that derived columns need stay. Fills are fitted on train; ``own_medians=True`` fits test's on test.
+    """
+    needed = {key, target, *derived_from()}
+    train, test = (df.drop(*sparse_columns(df, limit, needed & set(df.columns))) for df, limit in zip((train, test), limits, strict=True))
+
+    def fitted(df: DataFrame) -> dict:
+        return fit_medians(df, numeric_columns(df, [key, target])) | fit_modes(df)
+
+    on_train = fitted(train)
+    on_test = fitted(test) if own_medians else on_train
+    return fill(train, on_train), fill(test, {c: v for c, v in on_test.items() if c in test.columns})
+
+
+def derived_from() -> list[str]:
+    """Columns that the derived columns and the group features are made from."""
+    pairs = [c for _, a, b in [*RATIOS, *DIFFERENCES] for c in (a, b)]
+    circles = [f"{kind}_{n}_CNT_SOCIAL_CIRCLE" for kind in ("OBS", "DEF") for n in (30, 60)]
+    housing = [f"{h}_{kind}" for h in HOUSING for kind in ("AVG", "MODE", "MEDI")]
+    changed = ["HOUR_APPR_PROCESS_START", "DAYS_LAST_PHONE_CHANGE", "DAYS_REGISTRATION", "DAYS_ID_PUBLISH", "TOTALAREA_MODE", "AMT_GOODS_PRICE", "CNT_FAM_MEMBERS"]
+    groups = [c for keys in GROUP_KEYS for c in keys] + list(GROUP_STATS)
+    return sorted({*pairs, *circles, *housing, *changed, *groups, *CONTACT_FLAGS, *RATINGS, *REGION_FLAGS, *EXT, *DOCUMENTS, *ENQUIRIES})
+
+
+def prune_correlated(train: DataFrame, test: DataFrame, protect: Sequence[str], threshold: float = 0.7) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Columns that correlate with an earlier one in train go from both tables."""
+    gone = correlated_columns(train, threshold, protect)
+    return train.drop(*gone), test.drop(*gone), gone
+
+
 def application_columns() -> tuple[dict, dict]:
     """Derived columns in two layers; the second uses the first."""
     income, credit = F.col("AMT_INCOME_TOTAL"), F.col("AMT_CREDIT")
@@ -177,16 +221,21 @@ def build_application(
     exclude_self: bool = True,
     categorical: Sequence[str] = (),
     impute_rounds: int = 1000,
-    term_rounds: int = 100,
+    term_rounds: int = 5000,
+    prepare: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """Features of cleaned train and test applications; everything fitted is fitted on train only.
 
+    The order is: model-based values, sparse columns and fills (unless ``prepare=False``), derived columns,
+    expected terms, neighbours, group statistics, class shares.
     ``categorical`` names numeric columns to be treated as categories.
     """
     if impute_ext:
         train, test = chained_model_impute(
             train, [test], ["EXT_SOURCE_2", "EXT_SOURCE_3", "EXT_SOURCE_1"], exclude=[key, target, *EXT], rounds=impute_rounds
         )
+    if prepare:
+        train, test = drop_sparse_and_fill(train, test, key, target)
     train, test = add_application_features(train), add_application_features(test)
     if previous is not None:
         train, test = expected_terms(previous, [train, test], rounds=term_rounds)

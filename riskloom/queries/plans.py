@@ -12,7 +12,7 @@ from riskloom.operators import models as ML
 from riskloom.operators import profile as P
 from riskloom.operators.aggregate import stat_name, stats_of
 from riskloom.operators.correlate import drop_correlated
-from riskloom.operators.impute import fit_medians
+from riskloom.operators.impute import fill_own_medians, fit_medians
 from riskloom.plans import application as PA
 from riskloom.plans import bureau as PB
 from riskloom.plans import client_table as PC
@@ -21,7 +21,7 @@ from riskloom.plans import previous as PP
 from riskloom.plans import scoring as PS
 from riskloom.plans import snapshots as SN
 from riskloom.queries.base import Tables, all_rounded, once, query, rounded, scratch, sql_all_rounded, sql_spec
-from riskloom.queries.loan_tables import LOAN_TABLES, oracle_text
+from riskloom.queries.loan_tables import APPLICATION_NUMBERS, APPLICATION_TEXT, LOAN_TABLES, oracle_text
 from riskloom.queries.quality import CATEGORY_SQL, TEST, TRAIN, _deciles, _distance_sql, _share_sql, sides
 from riskloom.queries.scalar import (
     APP_CLEAN,
@@ -66,6 +66,13 @@ def with_columns(source: str, columns: dict[str, str]) -> str:
     return "SELECT *, " + ", ".join(f"{e} AS {n}" for n, e in columns.items()) + f" FROM ({source})"
 
 
+def sql_filled(inner: str, key: str, columns: list[str]) -> str:
+    """Every column but the key filled with its median."""
+    medians = ", ".join(f"median({c}) AS {c}" for c in columns)
+    picked = ", ".join(f"coalesce(src.{c}::DOUBLE, med.{c}::DOUBLE) AS {c}" for c in columns)
+    return f"WITH src AS MATERIALIZED ({inner}), med AS MATERIALIZED (SELECT {medians} FROM src) SELECT src.{key}, {picked} FROM src, med"
+
+
 def share_sql(column: str, levels: list[str], prefix: str, suffix: str = "") -> str:
     return ", ".join(
         f"avg(CASE WHEN {column} = '{v}' THEN 1.0 ELSE 0.0 END) AS {prefix}_{v.replace(' ', '_')}{suffix}" for v in levels
@@ -74,7 +81,17 @@ def share_sql(column: str, levels: list[str], prefix: str, suffix: str = "") ->
 
 # -- application ---------------------------------------------------------------------------------
 
-APP_WIDE = with_columns(APP_CLEAN, {k: v for k, v in APP_FEATURES.items()})
+APP_FILLED = (
+    f"clean AS MATERIALIZED ({APP_CLEAN}), filled AS MATERIALIZED (SELECT * REPLACE ("
+    + ", ".join(f"coalesce({c}, (SELECT median({c}) FROM clean WHERE {TRAIN})) AS {c}" for c in APPLICATION_NUMBERS)
+    + ", "
+    + ", ".join(
+        f"coalesce({c}, (SELECT {c} FROM clean WHERE {c} IS NOT NULL AND {TRAIN} GROUP BY 1 ORDER BY count(*) DESC, {c} LIMIT 1)) AS {c}"
+        for c in APPLICATION_TEXT
+        if c not in ("FLAG_OWN_CAR", "FLAG_OWN_REALTY", "EMERGENCYSTATE_MODE")
+    )
+    + ") FROM clean)"
+)
 APP_CATS = [
     "NAME_CONTRACT_TYPE", "CODE_GENDER", "NAME_INCOME_TYPE", "NAME_EDUCATION_TYPE", "NAME_FAMILY_STATUS", "NAME_HOUSING_TYPE",
     "OCCUPATION_TYPE", "ORGANIZATION_TYPE",
@@ -94,7 +111,7 @@ def _p1_sql() -> str:
             f" LEFT JOIN (SELECT {c}, avg(1 - TARGET) AS {c}_0, avg(TARGET) AS {c}_1 FROM train WHERE {c} IS NOT NULL GROUP BY 1) r{i} ON r{i}.{c} = a.{c}"
         )
         picked.append(f"r{i}.{c}_0, r{i}.{c}_1")
-    return f"WITH app AS ({APP_WIDE}), train AS (SELECT * FROM app WHERE {TRAIN}) SELECT a.SK_ID_CURR, {', '.join(picked)} FROM app a{joins}"
+    return f"WITH {APP_FILLED}, app AS ({with_columns('filled', APP_FEATURES)}), train AS (SELECT * FROM app WHERE {TRAIN}) SELECT a.SK_ID_CURR, {', '.join(picked)} FROM app a{joins}"
 
 
 def application_tables(t: Tables, **options):
@@ -145,11 +162,12 @@ BUREAU_LEVELS = {
     "CREDIT_ACTIVE": ["Active", "Bad debt", "Closed", "Sold"],
     "CREDIT_TYPE": ["Car loan", "Consumer credit", "Credit card", "Mortgage"],
 }
+BALANCE_COLUMNS = names_of(PB.MONTH_STATS) + [n for s in YEARS for n in names_of(PB.YEAR_STATS, s)]
 BUREAU_NUMBERS = [
     "DAYS_CREDIT", "CREDIT_DAY_OVERDUE", "DAYS_CREDIT_ENDDATE", "DAYS_ENDDATE_FACT", "AMT_CREDIT_MAX_OVERDUE", "CNT_CREDIT_PROLONG",
     "AMT_CREDIT_SUM", "AMT_CREDIT_SUM_DEBT", "AMT_CREDIT_SUM_LIMIT", "AMT_CREDIT_SUM_OVERDUE", "DAYS_CREDIT_UPDATE", "AMT_ANNUITY",
     *BUREAU_FEATURES, *BUREAU_RATIOS,
-    *names_of(PB.MONTH_STATS), *names_of(PB.YEAR_STATS, "_YEAR_0"), *names_of(PB.YEAR_STATS, "_YEAR_1"), *names_of(PB.YEAR_STATS, "_YEAR_REST"),
+    *BALANCE_COLUMNS,
 ]
 ACTIVITY = {
     "_CREDITACTIVE_CLOSED": "CREDIT_ACTIVE = 'Closed'",
@@ -160,7 +178,7 @@ ACTIVITY = {
 
 def _p3_sql() -> str:
     rows = with_columns(
-        f"SELECT b.*, s.* EXCLUDE (SK_ID_BUREAU) FROM ({BUREAU_CLEAN}) b LEFT JOIN ({_p2_sql()}) s ON s.SK_ID_BUREAU = b.SK_ID_BUREAU",
+        f"SELECT b.*, s.* EXCLUDE (SK_ID_BUREAU) FROM ({BUREAU_CLEAN}) b LEFT JOIN ({sql_filled(_p2_sql(), 'SK_ID_BUREAU', BALANCE_COLUMNS)}) s ON s.SK_ID_BUREAU = b.SK_ID_BUREAU",
         BUREAU_FEATURES | BUREAU_RATIOS,
     )
     parts = [sql_spec(PB.LOAN_STATS, s, w, "SK_ID_BUREAU") for s, w in ACTIVITY.items()]
@@ -170,7 +188,10 @@ def _p3_sql() -> str:
 
 
 def bureau_clients(t: Tables):
-    balance = PB.build_bureau_balance(table(t, "bureau_balance"))
+    # the loans' status statistics are finished and filled before they meet the loans
+    path = scratch(t.spark)
+    stage_write(PB.build_bureau_balance(table(t, "bureau_balance")), path)
+    balance = fill_own_medians(stage_read(t.spark, path), ["SK_ID_BUREAU"])
     return PB.build_bureau(PB.clean_bureau(table(t, "bureau")), balance)
 
 
@@ -315,7 +336,7 @@ def p6(t: Tables):
 
 
 def client_features(t: Tables) -> dict:
-    """Feature tables, pruned one by one and staged because several decisions read them again."""
+    """Feature tables, filled with their medians and then pruned, one by one; staged because several decisions read them again."""
     built = {
         "bureau": bureau_clients(t),
         "previous": previous_clients(t),
@@ -327,14 +348,20 @@ def client_features(t: Tables) -> dict:
     for name, df in built.items():
         path = scratch(t.spark)
         stage_write(df, path)
-        out[name], _ = drop_correlated(stage_read(t.spark, path), 0.7, protect=["SK_ID_CURR"])
+        filled = fill_own_medians(stage_read(t.spark, path), ["SK_ID_CURR"])
+        out[name], _ = drop_correlated(filled, 0.7, protect=["SK_ID_CURR"])
     return out
 
 
 @once
 def client_tables(t: Tables):
     """Finished client tables and the dropped columns; built once per session, since four queries start from them."""
-    train, test = application_tables(t, neighbours=None)
+    staged = []
+    for side in application_tables(t, neighbours=None):
+        path = scratch(t.spark)
+        stage_write(side, path)
+        staged.append(stage_read(t.spark, path))
+    train, test, _ = PA.prune_correlated(*staged, protect=["SK_ID_CURR", "TARGET", *PC.BASE_NEEDED])
     features = client_features(t)
     sides_ = []
     for base in (train, test):

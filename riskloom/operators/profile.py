@@ -274,6 +274,71 @@ def client_comparison(df: DataFrame, key: str, client, reference: DataFrame) ->
     return rows.join(F.broadcast(reference), "variable", "inner")  # one row per column
 
 
+VIEW_NUMBERS = "c int, whisker_low double, whisker_high double, negatives long, positives long"
+
+
+def client_view(
+    df: DataFrame, key: str, client, target: str, numbers: Sequence[str], categories: Sequence[str], reach: float = 3.0, bins: int = 25
+) -> DataFrame:
+    """Everything one client is shown against, one row per variable.
+
+    Categories: the share of the client's category, its target rate, its rows per class, and the mode.
+    Numbers: mean, box (quartiles and the outermost values within ``reach`` IQRs), and the rows per class in the
+    client's equal-width bin. Each part reads the table once for all variables.
+    """
+    own = df.filter(F.col(key) == F.lit(client)).select(target, *numbers, *categories).first()  # one row
+    if own is None:
+        raise ValueError(f"no row with {key} = {client}")
+    moments, quartiles = column_moments(df, numbers), exact_quantiles(df, numbers, [0.25, 0.5, 0.75])
+    limits, spots = [], []
+    for c in numbers:
+        q1, _, q3 = quartiles[c]
+        limits.append((np.nan, np.nan) if q1 is None else (q1 - reach * (q3 - q1), q3 + reach * (q3 - q1)))
+        m, v = moments[c], own[c]
+        width = (m.high - m.low) / bins if m.present else 0.0
+        spots.append((m.low or 0.0, width, None if v is None else 0 if width == 0 else min(int((float(v) - m.low) // width), bins - 1)))
+    doubles = df.selectExpr(f"cast(`{target}` as int) AS y", *[f"cast(`{c}` as double) AS c{i}" for i, c in enumerate(numbers)])
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            y = batch.column(0).fill_null(-1).to_numpy()
+            rows = []
+            for i in range(len(numbers)):
+                x = batch.column(i + 1).to_numpy(zero_copy_only=False)
+                known = ~np.isnan(x)
+                low, high = x[known & (x >= limits[i][0])], x[known & (x <= limits[i][1])]
+                base, width, spot = spots[i]
+                at = np.minimum(np.floor((np.where(known, x, base) - base) / width), bins - 1) if width else np.zeros(len(x))
+                here = known & (at == spot) if spot is not None else np.zeros(len(x), bool)
+                rows.append((i, float(low.min()) if len(low) else None, float(high.max()) if len(high) else None, int((here & (y == 0)).sum()), int((here & (y == 1)).sum())))
+            columns = list(zip(*rows, strict=True))
+            kinds = (pa.int32(), pa.float64(), pa.float64(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(columns, kinds, strict=True)], names=["c", "whisker_low", "whisker_high", "negatives", "positives"])
+
+    boxes = doubles.mapInArrow(run, VIEW_NUMBERS).groupBy("c").agg(F.min("whisker_low").alias("low"), F.max("whisker_high").alias("high"), F.sum("negatives").alias("n0"), F.sum("positives").alias("n1"))
+    box = {r["c"]: r for r in boxes.collect()} if numbers else {}  # one row per number
+    cells = F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).cast("string").alias("value")) for c in categories])
+    mine = F.create_map(*[F.lit(x) for c in categories for x in (c, None if own[c] is None else str(own[c]))])
+    at = df.select(F.col(target).alias("y"), F.explode(cells).alias("e")).groupBy(F.col("e.variable").alias("variable")).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("e.value") == mine[F.col("e.variable")]).alias("n"),
+        *[F.count_if((F.col("e.value") == mine[F.col("e.variable")]) & (F.col("y") == k)).alias(f"n{k}") for k in (0, 1)],
+    )
+    shares = {r["variable"]: r for r in at.collect()} if categories else {}  # one row per category
+    tops = {r["variable"]: r["mode"] for r in modes(df, categories).collect()} if categories else {}
+    out = []
+    for c in categories:
+        s = shares[c]
+        rate = 100.0 * s["n1"] / s["n"] if s["n"] else None
+        out.append((c, None if own[c] is None else str(own[c]), 100.0 * s["n"] / s["rows"], rate, s["n0"], s["n1"], tops.get(c), *[None] * 6))
+    for i, c in enumerate(numbers):
+        q, b = quartiles[c], box[i]
+        out.append((c, None if own[c] is None else str(own[c]), None, None, b["n0"], b["n1"], None, moments[c].mean, *q, b["low"], b["high"]))
+    schema = "variable string, client_value string, percent double, rate double, negatives long, positives long, mode string, mean double, q25 double, median double, q75 double, whisker_low double, whisker_high double"
+    return df.sparkSession.createDataFrame(out, schema)
+
+
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """Rows, distinct rows and surplus copies.
 

@@ -6,12 +6,13 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from riskloom.functions.columns import DENIED
+from riskloom.functions.columns import DENIED, numeric_columns
 from riskloom.operators import drift as D
 from riskloom.operators import models as ML
 from riskloom.operators import profile as P
 from riskloom.operators.aggregate import stat_name, stats_of
-from riskloom.operators.correlate import drop_correlated
+from riskloom.operators.correlate import correlation_matrix, drop_correlated
+from riskloom.operators.moments import column_moments
 from riskloom.operators.impute import fill_own_medians, fit_medians
 from riskloom.plans import application as PA
 from riskloom.plans import bureau as PB
@@ -407,6 +408,18 @@ def p9b(t: Tables):
     return table.agg(F.lit(2).alias("models"), sound.alias("sound"))
 
 
+@query("p8_filled_and_pruned", f"SELECT count(*) AS clients, 0 AS gaps, 0 AS strong_pairs FROM ({oracle_text('application')})")
+def p8b(t: Tables):
+    """Every client once, no gap in any number, and no two of the training table's columns that correlate above 0.7."""
+    train, test, _ = client_tables(t)
+    both, numbers = train.unionByName(test), numeric_columns(train, ["SK_ID_CURR", "TARGET"])
+    clients, known = both.select("SK_ID_CURR").distinct().count(), column_moments(both, numbers)
+    rows = both.count()
+    gaps = sum(rows - m.present for m in known.values()) + rows - clients
+    strong = correlation_matrix(train, numbers).filter(F.abs("r") > 0.7 + 1e-9).count()
+    return t.spark.createDataFrame([(clients, gaps, strong)], "clients long, gaps int, strong_pairs int")
+
+
 def fitted_scoring(t: Tables) -> PS.FittedScoring:
     """The model on the selected features with the state that a later table needs."""
     train, _, gone = client_tables(t)
@@ -478,6 +491,45 @@ def p11(t: Tables):
     return rounded(P.client_comparison(df, "SK_ID_CURR", 7, P.reference_table(df, exclude=["SK_ID_CURR"])))
 
 
+def _view_number(c: str) -> str:
+    return (
+        f"SELECT '{c}' AS variable, (SELECT {c}::DOUBLE FROM one) AS client_number, NULL AS client_value, NULL AS percent, NULL AS rate, "
+        f"count(*) FILTER (TARGET = 0 AND bin = own) AS negatives, count(*) FILTER (TARGET = 1 AND bin = own) AS positives, NULL AS mode, avg(x) AS mean, "
+        "any_value(a) AS q25, any_value(m) AS median, any_value(b) AS q75, min(x) FILTER (x >= a - 3 * (b - a)) AS whisker_low, max(x) FILTER (x <= b + 3 * (b - a)) AS whisker_high "
+        "FROM (SELECT *, least(floor((x - lo) / nullif((hi - lo) / 25, 0)), 24) AS bin_, coalesce(least(floor((x - lo) / nullif((hi - lo) / 25, 0)), 24), 0) AS bin, "
+        "CASE WHEN v IS NOT NULL THEN coalesce(least(floor((v - lo) / nullif((hi - lo) / 25, 0)), 24), 0) END AS own FROM ("
+        f"SELECT TARGET, {c}::DOUBLE AS x, (SELECT {c}::DOUBLE FROM one) AS v, min({c}::DOUBLE) OVER () AS lo, max({c}::DOUBLE) OVER () AS hi, "
+        f"quantile_cont({c}::DOUBLE, 0.25) OVER () AS a, median({c}::DOUBLE) OVER () AS m, quantile_cont({c}::DOUBLE, 0.75) OVER () AS b FROM src) WHERE x IS NOT NULL)"
+    )
+
+
+def _view_category(c: str) -> str:
+    mine = f"{c} = (SELECT {c} FROM one)"
+    return (
+        f"SELECT '{c}', NULL, (SELECT CAST({c} AS VARCHAR) FROM one), 100.0 * count(*) FILTER ({mine}) / count(*), 100.0 * count(*) FILTER ({mine} AND TARGET = 1) / nullif(count(*) FILTER ({mine}), 0), "
+        f"count(*) FILTER ({mine} AND TARGET = 0), count(*) FILTER ({mine} AND TARGET = 1), (SELECT {c} FROM src WHERE {c} IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, {c} LIMIT 1), "
+        "NULL, NULL, NULL, NULL, NULL, NULL FROM src"
+    )
+
+
+VIEW_SQL = (
+    f"WITH src AS MATERIALIZED ({oracle_text('application')}), one AS MATERIALIZED (SELECT * FROM src WHERE SK_ID_CURR = 7) SELECT variable, round(client_number, 6) + 0.0 AS client_number, client_value, "
+    + ", ".join(f"round({c}, 6) + 0.0 AS {c}" for c in ("percent", "rate"))
+    + ", negatives, positives, mode, "
+    + ", ".join(f"round({c}, 6) + 0.0 AS {c}" for c in ("mean", "q25", "median", "q75", "whisker_low", "whisker_high"))
+    + " FROM (" + " UNION ALL ".join([_view_number(c) for c in REF_NUM] + [_view_category(c) for c in REF_CAT]) + ")"
+)
+
+
+@query("p11_client_view", VIEW_SQL)
+def p11b(t: Tables):
+    """The client's page as one table: reference values, box, density and category rates of every column."""
+    out = P.client_view(table(t, "application"), "SK_ID_CURR", 7, "TARGET", REF_NUM, REF_CAT)
+    number = F.when(F.col("mean").isNotNull(), F.col("client_value").cast("double"))
+    text = F.when(F.col("mean").isNull(), F.col("client_value"))
+    return rounded(out.select("variable", number.alias("client_number"), text.alias("client_value"), *out.columns[2:]))
+
+
 REPORT_SQL = (
     " UNION ALL ".join(
         f"SELECT d.variable, 'numeric' AS kind, ks, wasserstein, psi, jensen_shannon, NULL AS chi2, wasserstein >= 0.1 AS drifted FROM ({_distance_sql(c)}) d "

@@ -11,6 +11,7 @@ from riskloom.operators import metrics as M
 from riskloom.operators import models as ML
 from riskloom.operators import profile as P
 from riskloom.operators.explain import explain
+from riskloom.operators import neighbours as N
 from riskloom.operators.neighbours import knn_target_mean
 from riskloom.sources import tables as S
 
@@ -159,9 +160,11 @@ def test_profile_of_odd_columns(spark):
     assert (rows["c"]["top"], rows["c"]["top_count"]) == ("x", 2)
 
 
-@pytest.mark.parametrize("cell_rows", [None, 60])
+@pytest.mark.parametrize(("cell_rows", "coarse", "chunk"), [(None, 4096, 50_000), (60, 4096, 50_000), (20, 3, 15)])
 @pytest.mark.parametrize("exclude_self", [False, True])
-def test_neighbours_equal_brute_force_with_a_hot_point(spark, cell_rows, exclude_self):
+def test_neighbours_equal_brute_force_with_a_hot_point(spark, monkeypatch, cell_rows, coarse, chunk, exclude_self):
+    monkeypatch.setattr(N, "COARSE_CELLS", coarse)
+    monkeypatch.setattr(N, "CHUNK_ROWS", chunk)
     rng = np.random.default_rng(0)
     n, k = 600, 10
     pdf = pd.DataFrame(rng.integers(0, 12, (n, 3)).astype(float), columns=list("abc"))

@@ -6,10 +6,10 @@ under a minimum length are judged by the base rules alone, since short histogram
 
 Everything is DataFrame functions. Words are handled in arrays inside the row, so that no word is shuffled but
 for the count of common words, which is summed up before its exchange. Repeated three-word windows are found by
-sorting numbers that hold the window's hash above its place.
+sorting numbers that hold the window's hash above its place; those that meet are then compared word by word.
 
-Defined results: null and empty texts have no words and fail the base rule; equal texts of one language get equal
-results; a null language is a language of its own; words of equal count are taken in their order; an empty table
+Defined results: null and empty texts have no words and fail the base rule; very long texts are judged whole, in one
+row's arrays; equal texts of one language get equal results; a null language counts as the empty string; words of equal count are taken in their order; an empty table
 gives no rows; other columns are ignored.
 """
 
@@ -44,7 +44,12 @@ def repeated_words(df: DataFrame) -> DataFrame:
     df = df.withColumn("k", F.sort_array("k")).drop("h")
     high = lambda x: x.bitwiseAND(F.bitwise_not("low"))
     near = lambda x, i, d: F.coalesce(high(F.get("k", i + d)) == high(x), F.lit(False))
-    df = df.withColumn("at", F.filter("k", lambda x, i: near(x, i, -1) | near(x, i, 1))).withColumn("at", F.sort_array(F.transform("at", lambda x: x.bitwiseAND(F.col("low"))))).drop("k")
+    df = df.withColumn("at", F.filter("k", lambda x, i: near(x, i, -1) | near(x, i, 1))).withColumn("at", F.transform("at", lambda x: x.bitwiseAND(F.col("low")).cast("int"))).drop("k")
+    # windows that share a hash are compared by their words, which hold no space
+    same = F.transform("at", lambda p: F.struct(F.concat_ws(" ", F.get("words", p), F.get("words", p + 1), F.get("words", p + 2)).alias("w"), p.alias("p")))
+    df = df.withColumn("at", F.sort_array(same))
+    equal = lambda x, i, d: F.coalesce(F.get("at", i + d)["w"] == x["w"], F.lit(False))
+    df = df.withColumn("at", F.filter("at", lambda x, i: equal(x, i, -1) | equal(x, i, 1))).withColumn("at", F.sort_array(F.transform("at", lambda x: x["p"].cast("long"))))
     step = F.transform("at", lambda p, i: F.least(F.lit(3).cast("long"), F.coalesce(F.get("at", i + 1) - p, F.lit(3).cast("long"))))
     return df.withColumn("n_repeat_words", F.aggregate(step, F.lit(0).cast("long"), lambda a, x: a + x)).drop("at", "low", "n")
 

@@ -254,3 +254,14 @@ def test_quality_equals_plain_version(spark):
     for r in divergence.judge(docs).collect():
         assert tuple(r[n] for n in names) == want[r["doc_id"]][:7]
         assert abs(r["char_distance"] - want[r["doc_id"]][7]) < 2e-5 and abs(r["word_distance"] - want[r["doc_id"]][8]) < 2e-5
+
+
+def test_windows_with_one_hash_are_compared_by_their_words(make, monkeypatch):
+    text = " ".join(f"w{i % 97} x{i % 89}" for i in range(300))
+    docs = make([(1, text), (2, "a b c d a b c e f"), (3, "a a a a"), (4, "a b c x y z a b c")])
+    want = {r["doc_id"]: r["n_repeat_words"] for r in divergence.judge(docs).collect()}
+    assert (want[2], want[3], want[4]) == (6, 4, 6)
+    monkeypatch.setattr(divergence.F, "xxhash64", lambda *cs: divergence.F.lit(0).cast("long"))
+    words = divergence.with_words(docs)
+    got = {r["doc_id"]: r["n_repeat_words"] for r in divergence.repeated_words(words).collect()}
+    assert got == want

@@ -156,7 +156,14 @@ def test_pareto_takes_the_smallest_odds(make):
     u = dict(spark.range(2000).select("id", pareto.uniform(F.col("id"), "mix")).collect())
     for low in (0, 1000):
         own = {k: r for k, r in got.items() if (k >= 1000) == (low == 1000)}
-        rank = lambda k, own=own: (u[k] / (1 - u[k]), k)
+        first = next(iter(own.values()))
+        left = first["target"] - first["target"] // first["source_size"] * first["source_size"]
+        per_word = left / sum(r["size"] ** 2 for r in own.values())
+
+        def rank(k, own=own, per_word=per_word):
+            inclusion = min(pareto.MOST, per_word * own[k]["size"])
+            return (u[k] / (1 - u[k])) / (inclusion / (1 - inclusion)) if inclusion else float("inf"), k
+
         base = min(r["copies"] for r in own.values())
         more = [k for k, r in own.items() if r["copies"] > base]
         rest = [k for k, r in own.items() if r["copies"] == base]

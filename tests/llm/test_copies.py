@@ -124,10 +124,12 @@ def test_removed_bytes_equal_brute_force(make, monkeypatch):
         own = "".join(rng.choice("abcdefgh ü") for _ in range(rng.randint(0, 200)))
         cut = rng.randint(0, 40)
         rows.append((rng.randint(1, 50), own + passage[cut : cut + rng.randint(30, 90)] + own[:30] if i % 3 else own))
-    rows += [(7, "ab" * 100), (8, "ab" * 80), (9, "a" * 300), (9, "a" * 100), (60, None), (61, ""), (62, passage), (62, passage), (63, passage)]
-    for step in (1 << 20, 97):
+    rows += [(7, "ab" * 100), (8, "ab" * 80), (9, "a" * 300), (9, "a" * 100), (60, None), (61, ""), (62, passage), (62, passage), (63, passage), *[(64, passage + "x" * 60)] * 5]
+    # long texts in one piece and in many; no anchor, some and all anchors cut into windows; equal rows one by one and as one
+    for step, hot, shelf in ((1 << 20, suffixes.HOT, 6 << 20), (97, 6, 6 << 20), (1 << 20, 0, 300)):
         monkeypatch.setattr(suffixes, "_STEP", step)
-        got = sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in suffixes.remove_repeats(make(rows)).collect())
+        monkeypatch.setattr(suffixes, "SHELF_BYTES", shelf)
+        got = sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in suffixes.remove_repeats(make(rows), hot=hot).collect())
         assert got == brute_removal(rows, 50)
 
 

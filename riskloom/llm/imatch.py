@@ -118,33 +118,66 @@ def _packed(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     return np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64), raw
 
 
+def places(ids: np.ndarray, codes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """How many of the bounds (rows of id and code, ascending) are below each pair."""
+    place = np.searchsorted(bounds[:, 0], ids)
+    cut = np.unique(bounds[:, 0])
+    for b in cut[np.isin(cut, ids)]:
+        here = np.flatnonzero(ids == b)
+        i, j = np.searchsorted(bounds[:, 0], b), np.searchsorted(bounds[:, 0], b, "right")
+        place[here] = i + np.searchsorted(bounds[i:j, 1], codes[here])
+    return place
+
+
+def rough_bounds(cuts: list[int]) -> np.ndarray:
+    """Pairs of id and code that cut at the given ids; an id that is given ``m`` times is cut into ``m`` spans of codes."""
+    ids, m = np.unique(np.array(cuts, np.int64), return_counts=True)
+    rows = [(int(c), -(1 << 63) + ((j + 1) << 64) // int(n) - 1) for c, n in zip(ids, m, strict=True) for j in range(n)]
+    return np.array(rows, np.int64).reshape(-1, 2)
+
+
 def in_order(docs: DataFrame) -> tuple[DataFrame, int]:
     """Texts dealt to contiguous ranges of ids, each in descending order, followed by the document after the range.
 
-    The bounds of the ranges are ids of the table, so the document that follows a range is known by its id;
-    its row is copied to that range as a guest (``guest`` = 1). After the smallest id comes the largest.
+    Rows are ordered by id, rows of one id by the hash of their text, so that an id of very many rows is cut as
+    well. The greatest pair of each range is counted exactly; its row is copied to the range above as a guest
+    (``guest`` = 1). After the smallest id comes the largest.
     """
     parts = parts_for(text_bytes(docs), PART_BYTES)
     low = -(1 << 63)
-    keys = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(low)).alias("doc_id"))
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(low)).alias("doc_id"), text_or_empty().alias("text"))
+    rows = rows.select("doc_id", F.xxhash64("text").alias("code"), "text")
     cuts = [i / parts for i in range(1, parts)]
-    ends = keys.select(F.max("doc_id").alias("top"), F.percentile_approx("doc_id", cuts, 100 * parts).alias("cuts")).first()
-    top = ends["top"] if ends["top"] is not None else 0
-    bounds = np.array(sorted({c for c in ends["cuts"] or [] if c < top}), np.int64)
+    rough = rough_bounds(rows.agg(F.percentile_approx("doc_id", cuts, 100 * parts)).first()[0] or [])
+
+    def greatest(batches):
+        for batch in batches:
+            key, code = (batch.column(k).to_numpy() for k in range(2))
+            place = places(key, code, rough)
+            order = np.lexsort((code, key, place))
+            last = order[np.append(place[order][1:] != place[order][:-1], True)] if len(order) else order
+            yield pa.RecordBatch.from_arrays([pa.array(x[last], pa.int64()) for x in (place, key, code)], names=["place", "doc_id", "code"])
+
+    ends = rows.select("doc_id", "code").mapInArrow(greatest, "place long, doc_id long, code long").groupBy("place").agg(F.max(F.struct("doc_id", "code")).alias("end"))
+    bounds = np.array(sorted(tuple(r["end"]) for r in ends.collect()), np.int64).reshape(-1, 2)
+    top, bounds = bounds[-1:], bounds[:-1]
 
     def run(batches):
         for batch in batches:
-            key = batch.column(0).to_numpy()
-            own = np.searchsorted(bounds, key)
-            end, last = np.flatnonzero(np.isin(key, bounds)), np.flatnonzero(key == top)
+            key, code = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            own = places(key, code, bounds)
+            end = np.flatnonzero(own < len(bounds))
+            end = end[(bounds[own[end], 0] == key[end]) & (bounds[own[end], 1] == code[end])]
+            # of rows that are equal in id and text one guest will do
+            end = end[np.unique(own[end], return_index=True)[1]]
+            last = np.flatnonzero((key == top[0, 0]) & (code == top[0, 1]))[:1]
             place = np.concatenate([own, own[end] + 1, np.zeros(len(last), np.int64)])
             take = np.concatenate([np.arange(len(key)), end, last])
             guest = np.repeat([0, 1, 1], [len(key), len(end), len(last)])
-            yield pa.RecordBatch.from_arrays([pa.array(place.astype(np.int32)), pa.array(guest.astype(np.int32)), *[c.take(pa.array(take)) for c in batch.columns]], names=["place", "guest", "doc_id", "text"])
+            yield pa.RecordBatch.from_arrays([pa.array(place.astype(np.int32)), pa.array(guest.astype(np.int32)), *[c.take(pa.array(take)) for c in batch.columns]], names=["place", "guest", "doc_id", "code", "text"])
 
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(low)).alias("doc_id"), text_or_empty().alias("text"))
-    rows = rows.mapInArrow(run, "place int, guest int, doc_id long, text string").repartitionById(len(bounds) + 1, "place")
-    return rows.sortWithinPartitions("guest", F.col("doc_id").desc(), "text"), low
+    rows = rows.mapInArrow(run, "place int, guest int, doc_id long, code long, text string").repartitionById(len(bounds) + 1, "place")
+    return rows.sortWithinPartitions("guest", F.col("doc_id").desc(), F.col("code").desc(), "text").drop("code"), low
 
 
 SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"

@@ -149,6 +149,27 @@ def test_fingerprints_follow_their_definition(make, monkeypatch):
     assert got[500]["fingerprint"] == got[30]["fingerprint"] and got[501]["fingerprint"] == got[502]["fingerprint"]
 
 
+def test_ranges_hold_every_row(make, monkeypatch):
+    # ids beyond the whole numbers of a double, one id with more rows than a range, equal rows
+    monkeypatch.setattr(imatch, "PART_BYTES", 500)
+    rng = random.Random(8)
+    text = lambda: " ".join(rng.choice(WORDS) for _ in range(20))
+    rows = [((1 << 62) + 1_000_003 * i, text()) for i in range(80)] + [(5, text()) for _ in range(60)] + [(7, "same words")] * 9 + [(None, text())]
+    frame, _ = imatch.in_order(make(rows))
+    parts = frame.rdd.glom().map(lambda part: [(r["guest"], r["doc_id"], r["text"]) for r in part]).collect()
+    parts = [p for p in parts if p]
+    assert len(parts) > 20 and sum(sum(r[1] == 5 for r in p if not r[0]) > 0 for p in parts) > 3
+    assert all(p[-1][0] == 1 and sum(not r[0] for r in p) for p in parts)
+    whole = [r[1:] for p in reversed(parts) for r in p if not r[0]]
+    assert sorted(whole) == sorted((-(1 << 63) if k is None else k, t) for k, t in rows)
+    assert [k for k, _ in whole] == sorted((k for k, _ in whole), reverse=True)
+    # every range ends with the document that begins the next one, the last with the first of all
+    begin = [p[0][1:] for p in reversed(parts)]
+    guest = [next(r[1:] for r in p if r[0]) for p in reversed(parts)]
+    assert guest == begin[1:] + begin[:1]
+    assert imatch.fingerprints(make(rows)).count() == len(rows)
+
+
 def test_likeness_tells_edits_from_strangers(spark):
     rows = imatch.fingerprints(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect()
     assert np.mean([r["near_edited"] for r in rows]) > 0.3 > 0.05 > np.mean([r["near_next"] for r in rows])

@@ -2,16 +2,16 @@
 
 Texts are range-partitioned by id and tokenised once; the ids are kept as compressed blocks of whole
 documents. From them come the shared table (one row per vocabulary entry) and the number of ids per
-partition, whose running sum gives every block its place beside the ids that its own partition holds before it. Blocks are then coded independently and written
-as one Parquet table (columns ``BLOCK_COLUMNS``) beside the table of frequencies; readers may take any
-blocks in any order.
+partition, whose running sum gives every block its place beside the ids that its own partition holds before
+it. Blocks are then coded independently and written as one Parquet table (columns ``BLOCK_COLUMNS``) beside
+the table of frequencies; readers may take any blocks in any order.
 
 Parts between ASCII white space (and at stops after letters) are tokenised once per worker and reused: the
 tokenizer's own pre-tokenisation never joins characters across these places, so a text's ids are its parts'
 ids in order.
 
 Defined results: null counts as an empty text, which has only the end id; rows that repeat an id follow
-each other in the file; a null id comes first; an empty table gives an empty file; other columns are ignored.
+each other in the file, by a hash of their text; a null id comes first; an empty table gives an empty file; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -248,7 +248,9 @@ def write(docs: DataFrame, tokenizer: str, folder: str, *, end: int = END) -> No
     """Tokenise all texts and write the file: ``folder/table`` and ``folder/blocks``."""
     spark = docs.sparkSession
     parts = parts_for(text_bytes(docs), PART_BYTES)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).withColumn("code", F.xxhash64("text"))
+    # an id of very many rows is cut by the hash of its texts
+    rows = rows.repartitionByRange(parts, "doc_id", "code").sortWithinPartitions("doc_id", "code", "text").drop("code")
     kept = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(kept)
     try:
@@ -266,6 +268,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str, *, end: int = END) -> No
     freq = np.zeros(int(counts["id"].max()) + 1 if len(counts) else 1, np.int64)
     freq[counts["id"].to_numpy(np.int64)] = rans.frequencies(counts["n"].to_numpy())
     shared = spark.sparkContext.broadcast((freq, begin))
+
     def code(batches):
         freq, begin = shared.value
         table = rans.Table(freq)

@@ -18,7 +18,7 @@ the fixed patterns stay and added ones never overlap them; in a corpus of fewer
 ``(1 + prior) ** (1 / (1 - threshold))`` (58) an entity of one document gets no terms; other columns are
 ignored.
 
-Entities and terms travel as 64-bit hashes. Counts are summed before they are shuffled, so that an entity
+Entities and terms travel as 64-bit hashes, entities of the same documents as one. Counts are summed before they are shuffled, so that an entity
 or a term in a third of all documents is one partial sum per task.
 """
 
@@ -128,29 +128,74 @@ def term_frequency(docs: DataFrame) -> DataFrame:
     return docs.select(F.lower(text_or_empty()).alias("text")).mapInArrow(run, "term long, n int").groupBy("term").agg(F.sum("n").alias("f_term"))
 
 
-def near_terms(base: DataFrame, single: DataFrame, terms: DataFrame, n_docs: int, threshold: float, prior: float) -> DataFrame:
-    """Entities and terms of every document, without the pairs that cannot reach the threshold.
+def entity_classes(base: DataFrame) -> DataFrame:
+    """The classes of entities in every document, each with its number of documents.
+
+    Entities that occur in the same documents (the addresses of one list, for instance) are tied to the same terms,
+    so they are one class, known by the sums of two hashes of its documents.
+    """
+    links = base.select("doc_id", "digest", F.explode("entities").alias("entity"))
+    marks = [F.sum(F.xxhash64(F.lit(k), "doc_id", "digest").cast("decimal(20,0)")).alias(f"mark{k}") for k in range(2)]
+    single = links.groupBy("entity").agg(F.count(F.lit(1)).alias("f_entity"), *marks)
+    single = checkpointed(single.select("entity", F.xxhash64("f_entity", "mark0", "mark1").alias("class"), "f_entity"))
+    found = links.join(small(single), "entity").groupBy("doc_id", "digest").agg(F.collect_set(F.struct("class", "f_entity")).alias("classes"))
+    return found.withColumnsRenamed({"doc_id": "_id", "digest": "_digest"})
+
+
+def near_terms(base: DataFrame, terms: DataFrame, n_docs: int, threshold: float, prior: float) -> DataFrame:
+    """Classes of entities and terms of every document, without the pairs that cannot reach the threshold.
 
     Term and entity meet in ``f(e)`` documents at most, so a frequent term cannot reveal a rare entity. Only the
-    most frequent terms and entities are looked up; any other term may be as rare as need be, and any other
-    entity as frequent as the last one looked up.
+    most frequent terms are looked up; any other may be as rare as need be.
     """
-    words = terms.orderBy(F.desc("f_term"), "term").limit(BROADCAST_ROWS)
-    many = checkpointed(single.orderBy(F.desc("f_entity"), "entity").limit(BROADCAST_ROWS))
-    floor = many.agg(F.min("f_entity")).first()[0] or 0
-    rows = base.select("doc_id", "digest", F.explode("entities").alias("entity"), "terms").join(F.broadcast(many), "entity", "left")
-    rows = rows.select("doc_id", "digest", "entity", F.coalesce("f_entity", F.lit(floor)).alias("most"), F.posexplode("terms.term").alias("place", "term"))
-    rows = rows.join(F.broadcast(words), "term", "left")
-    known = F.col("most") / F.lit(float(n_docs))
-    least = F.coalesce("f_term", F.lit(0)) + F.lit(prior)
-    return rows.where(least * F.pow(known, F.lit(1 - threshold)) <= (F.col("most") + F.lit(prior) * known) * (1 + 1e-9)).select("doc_id", "digest", "entity", "place", "term")
-
-
-def revealing_terms(near: DataFrame, single: DataFrame, terms: DataFrame, n_docs: int, threshold: float, prior: float) -> DataFrame:
-    """Pairs of entity and term whose mutual information reaches the threshold."""
-    both = near.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("f_both"))
+    words = terms.orderBy(F.desc("f_term"), "term").limit(BROADCAST_ROWS).toPandas().sort_values("term")
+    words = base.sparkSession.sparkContext.broadcast((words["term"].to_numpy(np.int64), words["f_term"].to_numpy(np.int64)))
+
+    def pairs(keys, codes, found, classes, most):
+        """The pairs of one document in runs of at most ``_CHUNK``, or one class's."""
+        names, frequency = words.value
+        at = np.minimum(np.searchsorted(names, found), max(len(names) - 1, 0))
+        f_term = np.where(names[at] == found, frequency[at], 0) if len(names) else np.zeros(len(found), np.int64)
+        order = np.argsort(f_term, kind="stable")
+        known = most / n_docs
+        bound = (most + prior * known) * (1 + 1e-9) / known ** (1 - threshold) - prior
+        n = np.searchsorted(f_term[order], bound, "right")
+        for i, j in pieces(np.concatenate([[0], np.cumsum(n)]), _CHUNK):
+            count = n[i:j]
+            place = order[np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)]
+            yield [np.full(len(place), codes), np.repeat(classes[i:j], count), np.repeat(most[i:j], count), place, found[place]], [keys] * len(place)
+
+    def run(batches):
+        names = ["digest", "entity", "f_entity", "place", "term"]
+        for batch in batches:
+            at, to = (np.concatenate([[0], np.cumsum(pc.list_value_length(batch.column(k)).to_numpy())]) for k in (2, 3))
+            found, both = batch.column(2).flatten().to_numpy(), batch.column(3).flatten()
+            classes, most = (pc.struct_field(both, k).to_numpy(zero_copy_only=False) for k in ("class", "f_entity"))
+            held, ids, size = [], [], 0
+            for i, (key, code) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+                for part, keys in pairs(key, code, found[at[i] : at[i + 1]], classes[to[i] : to[i + 1]], most[to[i] : to[i + 1]]):
+                    held.append(part), ids.extend(keys)
+                    size += len(keys)
+                    if size >= _CHUNK:
+                        yield rows(held, ids, names)
+                        held, ids, size = [], [], 0
+            if size:
+                yield rows(held, ids, names)
+
+    def rows(held, ids, names):
+        columns = [np.concatenate(x) for x in zip(*held, strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *[pa.array(c, pa.int64()) for c in columns]], names=["doc_id", *names])
+
+    some = base.where("size(entities) > 0").select("doc_id", "digest", F.col("terms.term").alias("found"))
+    some = some.join(entity_classes(base), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")))
+    return some.select("doc_id", "digest", "found", "classes").mapInArrow(run, "doc_id long, digest long, entity long, f_entity long, place long, term long")
+
+
+def revealing_terms(near: DataFrame, terms: DataFrame, n_docs: int, threshold: float, prior: float) -> DataFrame:
+    """Pairs of a class of entities and a term whose mutual information reaches the threshold."""
+    both = near.groupBy("entity", "f_entity", "term").agg(F.count(F.lit(1)).alias("f_both"))
     # a term that stands beside a fixed span is not always a word of its own in the corpus
-    pairs = both.join(small(single), "entity").join(terms, "term", "left").withColumn("f_term", F.greatest("f_term", "f_both"))
+    pairs = both.join(terms, "term", "left").withColumn("f_term", F.greatest("f_term", "f_both"))
     known = F.col("f_entity") / F.lit(float(n_docs))
     pmi = F.log2((F.col("f_both") + F.lit(prior) * known) / ((F.col("f_term") + F.lit(prior)) * known))
     return pairs.where((known < 1) & (pmi >= F.lit(threshold) * -F.log2(known))).select("entity", "term")
@@ -159,14 +204,13 @@ def revealing_terms(near: DataFrame, single: DataFrame, terms: DataFrame, n_docs
 def scan_personal(docs: DataFrame, *, threshold: float = THRESHOLD, prior: float = PRIOR) -> DataFrame:
     """doc_id, digest of the text, counts, base_sha256, base spans and the added spans as start-stop pairs."""
     base = checkpointed(scan_base(docs))
-    single = base.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("f_entity"))
     terms, n_docs = checkpointed(term_frequency(docs)), base.count()
-    near = near_terms(base, single, terms, n_docs, threshold, prior)
-    pairs = small(checkpointed(revealing_terms(near, single, terms, n_docs, threshold, prior)))
+    near = near_terms(base, terms, n_docs, threshold, prior)
+    pairs = small(checkpointed(revealing_terms(near, terms, n_docs, threshold, prior)))
     added = near.join(pairs, ["entity", "term"]).groupBy("doc_id", "digest").agg(F.collect_set("place").alias("places"))
     added = added.withColumnsRenamed({"doc_id": "_id", "digest": "_digest"})
     out = base.join(added, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")), "left")
-    spans = F.sort_array(F.flatten(F.transform("places", lambda k: F.col("terms")[k]["places"])))
+    spans = F.sort_array(F.flatten(F.transform("places", lambda k: F.col("terms")[k.cast("int")]["places"])))
     return out.select("doc_id", "digest", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "base", spans.alias("added"))
 
 

@@ -8,6 +8,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -130,6 +131,63 @@ def test_terms_far_from_an_entity_and_of_rare_entities(make):
     assert not {"O'Neil", "Jean-Luc", "user47x", "Zorblax"} & set(" ".join(r["text"] for r in disclosure.sanitise(make(rows)).collect()).split())
 
 
+def plain_disclosure(texts, threshold, prior):
+    """Places of the revealing terms of every text: all entities and terms counted in dictionaries."""
+    edge = ".,;:!?\"'()[]{}<>"
+    entities, terms, f_entity, f_term, f_both = [], [], Counter(), Counter(), Counter()
+    for text in texts:
+        spans = disclosure.personal(text)
+        hidden = list(text)
+        for _, a, b in spans:
+            hidden[a:b] = " " * (b - a)
+        found = {}
+        for m in re.finditer(r"[^ \t\n\x0b\x0c\r]+", "".join(hidden)):
+            word = m.group()
+            a = m.start() + len(word) - len(word.lstrip(edge))
+            word = word.strip(edge)
+            if any(c.isalnum() for c in word):
+                found.setdefault(word.lower(), []).append((a, a + len(word)))
+        entities.append({f"{k}:{text[a:b].lower()}" for k, a, b in spans})
+        terms.append(found if spans else {})
+        f_entity.update(entities[-1])
+        f_term.update({w.strip(edge) for w in re.findall(r"[^ \t\n\x0b\x0c\r]+", text.lower())})
+        f_both.update((e, w) for e in entities[-1] for w in terms[-1])
+
+    def reveals(e, w):
+        known = f_entity[e] / len(texts)
+        pmi = math.log2((f_both[e, w] + prior * known) / ((max(f_term[w], f_both[e, w]) + prior) * known))
+        return known < 1 and pmi >= -threshold * math.log2(known)
+
+    return [sorted(x for w, at in found.items() if any(reveals(e, w) for e in mine) for x in at) for mine, found in zip(entities, terms, strict=True)]
+
+
+@pytest.mark.parametrize("chunk", [1 << 20, 50])
+def test_revealing_terms_equal_brute_force(spark, make, monkeypatch, chunk):
+    monkeypatch.setattr(disclosure, "_CHUNK", chunk)
+    rows = [(r["doc_id"], r["text"] or "") for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    base = 1 + max(k for k, _ in rows)
+    # one list of addresses in one text and in three, single ones in texts with and without the list
+    crowd = " ".join(f"member{i}@list.example" for i in range(40))
+    more = [f"{crowd} Quonset minutes {i}" + (" and solo7@list.example Vexilla" if i < 2 else "") for i in range(3)]
+    more += ["Vexilla again: solo7@list.example, member1@list.example Tarn", "nothing but Tarn and Quonset", " ".join(f"only{i}@once.example word{i}" for i in range(30))]
+    more += [more[0], more[0]]
+    rows += [(base + i, t) for i, t in enumerate(more)] + [(base, more[0])]
+    got = {}
+    for r in disclosure.scan_personal(make(rows)).collect():
+        got.setdefault(r["doc_id"], []).append([tuple(x) for x in r["added"] or []])
+    want = plain_disclosure([t for _, t in rows], disclosure.THRESHOLD, disclosure.PRIOR)
+    assert sum(map(len, got.values())) == len(rows) and any(want[: base // 2])
+    for (k, _), places in zip(rows, want, strict=True):
+        assert all(x == places for x in got[k])
+
+
+def test_lists_of_entities_are_one_class(make):
+    crowd = " ".join(f"member{i}@list.example" for i in range(200))
+    docs = make([(i, f"{crowd} word{i}") for i in range(3)] + [(3, "alone@list.example"), (4, None)])
+    found = {r["_id"]: r["classes"] for r in disclosure.entity_classes(disclosure.scan_base(docs)).collect()}
+    assert {k: [c["f_entity"] for c in v] for k, v in found.items()} == {0: [3], 1: [3], 2: [3], 3: [1]}
+
+
 def test_term_frequency_counts_documents(make):
     rows = [(1, "one two two, three"), (2, "Two. four"), (3, None)]
     got = {r["term"]: r["f_term"] for r in disclosure.term_frequency(make(rows)).collect()}

@@ -148,7 +148,8 @@ def near_terms(base: DataFrame, terms: DataFrame, n_docs: int, threshold: float,
     Term and entity meet in ``f(e)`` documents at most, so a frequent term cannot reveal a rare entity. Only the
     most frequent terms are looked up; any other may be as rare as need be.
     """
-    words = terms.orderBy(F.desc("f_term"), "term").limit(BROADCAST_ROWS).toPandas().sort_values("term")
+    # cut to the most frequent terms before they are fetched: a fetched limit would send as many from every partition
+    words = checkpointed(terms.orderBy(F.desc("f_term"), "term").limit(BROADCAST_ROWS)).toPandas().sort_values("term")
     words = base.sparkSession.sparkContext.broadcast((words["term"].to_numpy(np.int64), words["f_term"].to_numpy(np.int64)))
 
     def pairs(keys, codes, found, classes, most):

@@ -123,11 +123,14 @@ class Shelf:
 
     def n_contexts(self) -> np.ndarray:
         """How many different runs each anchor has in this shelf, by their hash (65,535 at most)."""
-        order = np.lexsort((self.run, self.of))
+        n = np.bincount(self.of, minlength=len(self.names))
+        more = np.flatnonzero(n[self.of] > 1)
+        order = more[np.lexsort((self.run[more], self.of[more]))]
         of, run = self.of[order], self.run[order]
-        new = np.ones(len(of), bool)
-        new[1:] = (of[1:] != of[:-1]) | (run[1:] != run[:-1])
-        return np.minimum(np.bincount(of[new], minlength=len(self.names)), 65535).astype(np.uint16)
+        again = np.zeros(len(of), bool)
+        again[1:] = (of[1:] == of[:-1]) & (run[1:] == run[:-1])
+        n -= np.bincount(of[again], minlength=len(n))
+        return np.minimum(n, 65535).astype(np.uint16)
 
     def contexts(self, shared: np.ndarray, hot: np.ndarray):
         """Distinct bytes of the runs of shared anchors, and of the windows of hot ones.

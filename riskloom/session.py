@@ -49,6 +49,25 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{shared_root(spark)}/{uuid.uuid4()}"
 
 
+# rows of a task: at least, while cores are idle, and at most
+FEW_ROWS, MANY_ROWS = 4_096, 50_000
+
+
+def task_count(rows: int, cores: int, few: int = FEW_ROWS, many: int = MANY_ROWS) -> int:
+    """Tasks for so many rows: four per core where each still has ``few`` rows, more where they would pass ``many``."""
+    return max(1, min(-(-rows // few), max(4 * cores, -(-rows // many))))
+
+
+def dealt(df: DataFrame, rows: int | None = None, few: int = FEW_ROWS, many: int = MANY_ROWS) -> DataFrame:
+    """Rows dealt evenly over tasks by their number.
+
+    Scans and adaptive shuffles cut a table by its bytes, so a table that is small on disk and then becomes wide or
+    is expanded would be one task's work. A table that fits one task stays as it is.
+    """
+    n = task_count(df.count() if rows is None else rows, df.sparkSession.sparkContext.defaultParallelism, few, many)
+    return df.repartition(n) if n > 1 else df
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the folder the session names."""
     context = df.sparkSession.sparkContext

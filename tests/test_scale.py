@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskloom.operators import models as ML
+from riskloom.operators.explain import explain
 from riskloom.queries.base import Tables
 from riskloom.queries.loan_tables import APPLICATION_NUMBERS, LOAN_TABLES
 from riskloom.session import dealt, task_count
@@ -17,11 +18,11 @@ def customers(spark, folder: str, n: int) -> Tables:
 
 
 def test_tasks_follow_the_rows():
-    assert [task_count(n, 12) for n in (0, 10, 4_096, 4_097, 90_000, 900_000, 5_400_000)] == [1, 1, 1, 2, 22, 48, 108]
+    assert [task_count(n, 12) for n in (0, 10, 10_000, 10_001, 90_000, 900_000, 5_400_000)] == [1, 1, 1, 2, 9, 48, 108]
 
 
 def test_a_dealt_table_keeps_its_rows_and_their_copies(spark):
-    rows = spark.range(0, 9_000, 1, 1).select(F.when(F.col("id") % 3 > 0, F.col("id") % 5).alias("k"))
+    rows = spark.range(0, 21_000, 1, 1).select(F.when(F.col("id") % 3 > 0, F.col("id") % 5).alias("k"))
     out = dealt(rows)
     assert out.rdd.getNumPartitions() > 1
     assert sorted(out.collect(), key=str) == sorted(rows.collect(), key=str)
@@ -32,4 +33,27 @@ def test_applications_and_their_vectors_are_not_one_task(spark, tmp_path):
     application = t.sql(LOAN_TABLES["application"])
     vectors = ML.kept_vectors(application, APPLICATION_NUMBERS, ["SK_ID_CURR", "TARGET"], "TARGET")
     per_task = [n for n in vectors.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()]
-    assert sum(per_task) == 20_000 and max(per_task) <= 2 * 4_096
+    assert sum(per_task) == 20_000 and max(per_task) <= 10_000
+
+
+def test_rows_of_a_fold_table_are_dealt_evenly(spark):
+    rows = spark.range(0, 60_000, 1, 4).select(F.col("id").alias("k"), (F.col("id") % 2).alias("y"), F.rand(1).alias("x"))
+    vectors = ML.with_folds(rows, "k", ["x"], "y", 10, 0)
+    per_task = vectors.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert sum(per_task) == 60_000 and max(per_task) <= 25_000
+    assert {r["count"] for r in vectors.groupBy("y", "fold").count().collect()} == {3_000}
+
+
+def test_clients_are_dealt_by_the_rows_they_expand_to(spark):
+    clients = spark.range(0, 64, 1, 1).select(F.col("id").alias("k"), (F.col("id") % 7).cast("double").alias("a"), (F.col("id") % 5).cast("double").alias("b"))
+    seen = []
+
+    def score(df):
+        seen.append(df.rdd.getNumPartitions())
+        return df.withColumn("probability", F.col("a") * 2 + F.col("b") * F.col("a"))
+
+    why = explain(clients, "k", ["a", "b"], clients, score, draws=5_000)
+    sums = why.groupBy("k").agg((F.sum("contribution") - F.max(F.col("score") - F.col("expected"))).alias("gap"), F.count("*").alias("n"))
+    assert seen[0] > 1
+    assert all(abs(r["gap"]) < 1e-9 and r["n"] == 2 for r in sums.collect())
+    assert sums.count() == 64

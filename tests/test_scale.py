@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from riskloom.operators import models as ML
 from riskloom.operators.explain import explain
+from riskloom.operators.ordered import ewm_mean
 from riskloom.queries.base import Tables
 from riskloom.queries.loan_tables import APPLICATION_NUMBERS, LOAN_TABLES
 from riskloom.session import dealt, task_count
@@ -57,3 +58,13 @@ def test_clients_are_dealt_by_the_rows_they_expand_to(spark):
     assert seen[0] > 1
     assert all(abs(r["gap"]) < 1e-9 and r["n"] == 2 for r in sums.collect())
     assert sums.count() == 64
+
+
+def test_months_are_dealt_by_their_number_for_wide_aggregates(spark):
+    rows = spark.range(0, 600_000, 1, 4).select((F.col("id") % 90_000).alias("k"), F.floor(F.col("id") / 90_000).alias("m"), F.col("id").cast("double").alias("x"))
+    out = ewm_mean(rows, ["x"], ["k"], ["m"], 0.5, by_key=True)
+    per_task = out.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert len(per_task) == 12 and sum(per_task) == 600_000
+    small = ewm_mean(rows.filter("k < 50"), ["x"], ["k"], ["m"], 0.5)
+    both = out.join(small, ["k", "m"]).filter(out["EXP_x"] == small["EXP_x"])
+    assert both.count() == small.count() > 0

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskloom.operators import models as ML
+from riskloom.operators.aggregate import dealt_by_key
 from riskloom.operators.explain import explain
 from riskloom.operators.ordered import ewm_mean
 from riskloom.queries.base import Tables
@@ -68,3 +69,14 @@ def test_months_are_dealt_by_their_number_for_wide_aggregates(spark):
     small = ewm_mean(rows.filter("k < 50"), ["x"], ["k"], ["m"], 0.5)
     both = out.join(small, ["k", "m"]).filter(out["EXP_x"] == small["EXP_x"])
     assert both.count() == small.count() > 0
+
+
+
+def test_rows_are_dealt_by_key_before_wide_aggregates(spark):
+    rows = spark.range(0, 60_000, 1, 2).selectExpr("nullif(id % 6000, 0) AS k", "id AS x")
+    out = dealt_by_key(rows, ["k"], rows)
+    clients = out.rdd.mapPartitions(lambda part: [{r["k"] for r in part}]).collect()
+    assert len(clients) == 6 and sum(map(len, clients)) == len(set.union(*clients)) == 5_999
+    assert out.count() == rows.filter("k is not null").count()
+    # a key of many rows is left to partial aggregates, a table of one task's rows as it is
+    assert dealt_by_key(rows, ["k"], rows, hot_rows=9) is rows and dealt_by_key(rows.limit(0), ["k"], rows.limit(0)).count() == 0

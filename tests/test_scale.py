@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskloom.operators import models as ML
+from riskloom.operators import quantiles as Q
 from riskloom.operators.aggregate import dealt_by_key
 from riskloom.operators.explain import explain
 from riskloom.operators.ordered import ewm_mean
@@ -72,6 +73,19 @@ def test_months_are_dealt_by_their_number_for_wide_aggregates(spark):
 
 
 
+def test_sampled_columns_are_not_one_task(spark):
+    rows = spark.range(0, 5_000, 1, 4).selectExpr(*[f"cast((id * {i + 3}) % 997 as double) AS c{i}" for i in range(60)])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    try:
+        columns = Q._by_column(Q._sampled(rows, 1.0, 60), 60).rdd.mapPartitions(lambda part: [len({r["c"] for r in part})]).collect()
+        medians = Q.exact_quantiles(rows, rows.columns, [0.5], sample_rows=500)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    assert sum(columns) == 60 and max(columns) <= 15
+    assert medians == {c: [m] for c, m in rows.toPandas().median().items()}
+
+
+
 def test_rows_are_dealt_by_key_before_wide_aggregates(spark):
     rows = spark.range(0, 60_000, 1, 2).selectExpr("nullif(id % 6000, 0) AS k", "id AS x")
     out = dealt_by_key(rows, ["k"], rows)

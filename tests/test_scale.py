@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from riskloom.operators import models as ML
 from riskloom.operators import quantiles as Q
-from riskloom.operators.aggregate import dealt_by_key
+from riskloom.operators.aggregate import dealt_by_key, group_statistics, merge_client_tables
 from riskloom.operators.explain import explain
 from riskloom.operators.ordered import ewm_mean
 from riskloom.queries.base import Tables
@@ -86,6 +86,21 @@ def test_sampled_columns_are_not_one_task(spark):
 
 
 
+def test_rows_pass_joins_as_one_column(spark):
+    rows = spark.createDataFrame([(1, "a", "x", 2.0), (2, None, "y", None), (2, "b", "x", 4.0), (None, "a", "x", 6.0)], "id int, g string, h string, v double")
+    fit = rows.filter("g = 'a'")
+    (out,) = group_statistics(fit, [rows], [["g"], ["h", "g"]], {"v": "mean max"})
+    made = [f"V_{s}_AGG_{k}" for k in ("g", "h_g") for s in ("MEAN", "MAX")]
+    assert out.columns == ["h", "g", "id", "v", *made]
+    got = {(r["id"], r["v"]): [r[c] for c in made] for r in out.collect()}
+    assert got == {(1, 2.0): [4.0, 6.0] * 2, (None, 6.0): [4.0, 6.0] * 2, (2, None): [None] * 4, (2, 4.0): [None] * 4}
+    merged = merge_client_tables(rows, {"t": spark.createDataFrame([(1, 7.0, 8), (None, 1.0, 1)], "id int, v double, w int"), "empty": rows.select("id").filter("id = 1")}, "id")
+    assert merged.columns == ["id", "g", "h", "v", "t_v", "w"]
+    assert sorted(((r["id"], r["v"], r["t_v"], r["w"]) for r in merged.collect()), key=str) == sorted([(1, 2.0, 7.0, 8), (2, None, None, None), (2, 4.0, None, None), (None, 6.0, None, None)], key=str)
+    assert all("__row" in df._jdf.queryExecution().executedPlan().toString() for df in (out, merged))
+
+
+
 def test_rows_are_dealt_by_key_before_wide_aggregates(spark):
     rows = spark.range(0, 60_000, 1, 2).selectExpr("nullif(id % 6000, 0) AS k", "id AS x")
     out = dealt_by_key(rows, ["k"], rows)

@@ -72,7 +72,6 @@ def test_months_are_dealt_by_their_number_for_wide_aggregates(spark):
     assert both.count() == small.count() > 0
 
 
-
 def test_sampled_columns_are_not_one_task(spark):
     rows = spark.range(0, 5_000, 1, 4).selectExpr(*[f"cast((id * {i + 3}) % 997 as double) AS c{i}" for i in range(60)])
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -85,7 +84,6 @@ def test_sampled_columns_are_not_one_task(spark):
     assert medians == {c: [m] for c, m in rows.toPandas().median().items()}
 
 
-
 def test_rows_pass_joins_as_one_column(spark):
     rows = spark.createDataFrame([(1, "a", "x", 2.0), (2, None, "y", None), (2, "b", "x", 4.0), (None, "a", "x", 6.0)], "id int, g string, h string, v double")
     fit = rows.filter("g = 'a'")
@@ -100,7 +98,6 @@ def test_rows_pass_joins_as_one_column(spark):
     assert all("__row" in df._jdf.queryExecution().executedPlan().toString() for df in (out, merged))
 
 
-
 def test_rows_are_dealt_by_key_before_wide_aggregates(spark):
     rows = spark.range(0, 60_000, 1, 2).selectExpr("nullif(id % 6000, 0) AS k", "id AS x")
     out = dealt_by_key(rows, ["k"], rows)

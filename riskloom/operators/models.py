@@ -237,7 +237,8 @@ def expected_terms(
         )
 
     known = inputs(previous.select("AMT_CREDIT", "AMT_ANNUITY", "CNT_PAYMENT").dropna(), fill=False)
-    rows = known.withColumn("__y", F.col("CNT_PAYMENT").cast("double"))
+    # a few bytes of a loan on disk become a vector that every round reads, so loans are dealt by their number
+    rows = dealt(known.withColumn("__y", F.col("CNT_PAYMENT").cast("double")), None, FEW_FITTED, MANY_FITTED)
     model = fit(rows, features, "__y", boosted_regressor("__y", rounds, depth, rate, seed=125))
     return [
         model.transform(as_features(inputs(df, fill=True), features)).select(*df.columns, F.col("prediction").alias(name))

@@ -106,3 +106,17 @@ def test_rows_are_dealt_by_key_before_wide_aggregates(spark):
     assert out.count() == rows.filter("k is not null").count()
     # a key of many rows is left to partial aggregates, a table of one task's rows as it is
     assert dealt_by_key(rows, ["k"], rows, hot_rows=9) is rows and dealt_by_key(rows.limit(0), ["k"], rows.limit(0)).count() == 0
+
+
+def test_loans_with_known_terms_are_dealt_by_their_number(spark, monkeypatch):
+    seen = []
+
+    class Fitted:
+        def transform(self, df):
+            return df.withColumn("prediction", F.lit(1.0))
+
+    monkeypatch.setattr(ML, "fit", lambda rows, *_: seen.append(rows) or Fitted())
+    loans = spark.range(0, 60_000, 1, 1).selectExpr("cast(id as double) AS AMT_CREDIT", "cast(id % 9 as double) AS AMT_ANNUITY", "cast(id % 60 as double) AS CNT_PAYMENT")
+    (out,) = ML.expected_terms(loans, [loans])
+    per_task = seen[0].rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert sum(per_task) == out.count() == 60_000 and max(per_task) <= 25_000

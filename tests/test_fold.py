@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from riskloom.operators import aggregate as A
 from riskloom.operators import models as ML
+from riskloom.operators.correlate import correlated_columns
+from riskloom.operators.impute import fill, fit_medians
+from riskloom.operators.moments import column_moments, kept_numbers
+from riskloom.plans import client_table as PC
 from riskloom.plans import snapshots as SN
 from riskloom.queries import plans as QP
 
@@ -80,3 +84,24 @@ def test_feature_tables_are_built_side_by_side(monkeypatch):
     t = type("T", (), {"spark": type("S", (), {"sparkContext": type("C", (), {"applicationId": "none"})})(), "folder": "none", "customer": None})()
     QP.client_tables(t)
     assert calls[0] == (6, 6)
+
+
+def test_kept_numbers_give_the_same_decisions(spark):
+    """One kept array column serves medians, moments and correlations as the columns themselves do, before and after they are filled."""
+    data = [(i, None if i % 3 == 0 else float(i % 17), NAN if i % 50 == 0 else i / 8, i % 5, None, 2.0 * (i % 17)) for i in range(400)]
+    df = spark.createDataFrame(data, "id int, a double, b double, c int, d double, e double")
+    df = df.selectExpr("id", "a", "b", "c", "d", "e", *[f"cast((id * {n}) % 31 as double) AS n{n}" for n in range(3, 24)])
+    cs = df.columns[1:]
+    numbers = kept_numbers(df, cs)
+    assert len(numbers.table.columns) == 1
+    medians = fit_medians(df, cs)
+    assert fit_medians(df, cs, numbers) == medians and "d" not in medians
+    filled = fill(df, medians)
+    for table, kept in ((df, numbers), (filled, numbers.filled(medians))):
+        of = [[(m.present, m.low, m.high, m.mean and round(m.mean, 9)) for m in column_moments(table, cs, k).values()] for k in (kept, None)]
+        assert of[0] == of[1]
+        assert correlated_columns(table, 0.7, ["id"], kept) == correlated_columns(table, 0.7, ["id"])
+    # the filled NaN stays one; a column that has no value stays empty and is the sparse one
+    assert column_moments(filled, ["b"])["b"].present == column_moments(filled, cs, numbers.filled(medians))["b"].present < 400
+    train, _, gone = PC.finish_clients(df, df, ["id"])
+    assert "d" in gone and "a" not in gone and "e" not in train.columns

@@ -49,6 +49,18 @@ def test_folded_statistics_equal_sql(spark, batch):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+@pytest.mark.parametrize("batch", [10_000, 1])
+def test_zeros_keep_their_sign_as_in_sql(spark, batch):
+    df = spark.createDataFrame([(1, 1, -0.0), (2, 1, 0.0), (2, 2, -0.0), (3, 1, -0.0), (3, 2, 0.0), (4, 1, -0.0), (4, 2, -1.0)], "k int, o int, x double").coalesce(1)
+    parts = [A.Part({"x": "mean sum max min last"})]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        folded = A.aggregate_parts(df, ["k"], parts, ["o"], seen=A.KeyCounts(7, 2)).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(map(str, folded)) == sorted(map(str, A.aggregate_parts(df, ["k"], parts, ["o"]).collect()))
+
+
 def test_hot_keys_and_other_kinds_stay_sql(spark):
     df = rows(spark)
     seen = A.key_counts(df, ["k"])
